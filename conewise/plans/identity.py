@@ -19,6 +19,7 @@ from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import mode_per_key
 from conewise.operators.rank import global_row_number
+from conewise.sources.sinks import cut_lineage
 
 IDENTITY_COLUMNS = ["cliente_id_mail_phone", "id_mail", "id_phone", "tipo_identidad", "cliente_id",
                     "email", "telefono", "nombre", "is_activo", "created_at"]
@@ -42,10 +43,12 @@ def resolve_identity(clientes: DataFrame, pedidos: DataFrame,
                      catch_all=R.CATCH_ALL_CUSTOMERS) -> DataFrame:
     phones = unified_phones(clientes, pedidos, catch_all)
     has_email = F.col("email").isNotNull() & (F.col("email") != "")
-    cu = clientes.select("cliente_id", "email", "nombre", "is_activo", "created_at").join(
-        phones, "cliente_id", "left")
+    # one row per customer, read by every branch below: cut once
+    cu = cut_lineage(clientes.select("cliente_id", "email", "nombre", "is_activo", "created_at")
+                     .join(phones, "cliente_id", "left")
+                     .withColumn("_has_email", F.coalesce(has_email, F.lit(False))))
 
-    with_email = cu.filter(has_email)
+    with_email = cu.filter("_has_email")
     emails = global_row_number(
         with_email.select("email").distinct(), [F.col("email").asc()], "id_mail")
     email_group = with_email.join(emails, "email")
@@ -53,32 +56,27 @@ def resolve_identity(clientes: DataFrame, pedidos: DataFrame,
     # one row per phone (lowest e-mail id) before joining: no fan-out even
     # when many e-mail identities share one phone
     phone_to_mail = (email_group.filter(F.col("telefono").isNotNull())
-                     .groupBy("telefono").agg(F.min("id_mail").alias("id_mail")))
-    no_email = cu.filter(~has_email | F.col("email").isNull())
-    bridged = no_email.filter(F.col("telefono").isNotNull()).join(phone_to_mail, "telefono")
-    unresolved = no_email.join(bridged.select("cliente_id"), "cliente_id", "left_anti")
-
-    with_phone = unresolved.filter(F.col("telefono").isNotNull())
+                     .groupBy("telefono").agg(F.min("id_mail").alias("_bridge")))
+    # bridge or not in one left join (no join + anti-join pair)
+    no_email = cu.filter(~F.col("_has_email")).join(phone_to_mail, "telefono", "left")
+    unresolved_phone = F.col("_bridge").isNull() & F.col("telefono").isNotNull()
     phone_ids = global_row_number(
-        with_phone.select("telefono").distinct(), [F.col("telefono").asc()], "_rn"
-    ).select("telefono", (-F.col("_rn")).alias("id_phone"))
-    phone_group = with_phone.join(phone_ids, "telefono")
-    nothing = unresolved.filter(F.col("telefono").isNull())
+        no_email.filter(unresolved_phone).select("telefono").distinct(), [F.col("telefono").asc()], "_rn"
+    ).select("telefono", (-F.col("_rn")).alias("_pid"))
+    rest = no_email.join(phone_ids, "telefono", "left")
 
     null_long = F.lit(None).cast("bigint")
     null_str = F.lit(None).cast("string")
-    rest = ["cliente_id"]
     tail = ["nombre", "is_activo", "created_at"]
     g1 = email_group.select(F.col("id_mail").alias("cliente_id_mail_phone"), "id_mail",
                             null_long.alias("id_phone"), F.lit("email").alias("tipo_identidad"),
-                            *rest, "email", "telefono", *tail)
-    g2 = bridged.select(F.col("id_mail").alias("cliente_id_mail_phone"), "id_mail",
-                        null_long.alias("id_phone"), F.lit("phone_bridge").alias("tipo_identidad"),
-                        *rest, null_str.alias("email"), "telefono", *tail)
-    g3 = phone_group.select(F.col("id_phone").alias("cliente_id_mail_phone"), null_long.alias("id_mail"),
-                            "id_phone", F.lit("phone_only").alias("tipo_identidad"),
-                            *rest, null_str.alias("email"), "telefono", *tail)
-    g4 = nothing.select(null_long.alias("cliente_id_mail_phone"), null_long.alias("id_mail"),
-                        null_long.alias("id_phone"), F.lit("sin_identidad").alias("tipo_identidad"),
-                        *rest, null_str.alias("email"), null_str.alias("telefono"), *tail)
-    return g1.unionByName(g2).unionByName(g3).unionByName(g4)
+                            "cliente_id", "email", "telefono", *tail)
+    bridged = F.col("_bridge").isNotNull()
+    g2 = rest.select(
+        F.coalesce("_bridge", "_pid").alias("cliente_id_mail_phone"),
+        F.col("_bridge").alias("id_mail"),
+        F.col("_pid").alias("id_phone"),
+        F.when(bridged, "phone_bridge").when(F.col("_pid").isNotNull(), "phone_only")
+         .otherwise("sin_identidad").alias("tipo_identidad"),
+        "cliente_id", null_str.alias("email"), "telefono", *tail)
+    return g1.unionByName(g2)

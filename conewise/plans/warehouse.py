@@ -16,19 +16,46 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from conewise.plans import cost, customers, facts, finance, identity, ranking, staging
+from conewise.sources.sinks import materialise, table_root
+
+
+def table(fn):
+    """A model materialised as a table (Parquet in the shared folder) when the
+    warehouse is built with ``tables=True``; otherwise a lazy view."""
+    name = fn.__name__
+
+    def build(self):
+        df = fn(self)
+        if not self.tables:
+            return df
+        if self._root is None:
+            self._root = table_root(df.sparkSession)
+        return materialise(df, name, "table", self._root)
+
+    build.__name__ = name
+    build.__doc__ = fn.__doc__
+    return cached_property(build)
 
 
 class Shop:
-    def __init__(self, raw: dict[str, DataFrame], as_of: str, points_as_of: str | None = None):
+    """``tables=True`` writes the shared intermediates and the facts once per
+    build (identity, first order, cost, order fact, customer dimension, daily
+    fact), so each consumer starts from files instead of re-deriving them.
+    Staging models stay views: they are projections of a scan."""
+
+    def __init__(self, raw: dict[str, DataFrame], as_of: str, points_as_of: str | None = None,
+                 tables: bool = True):
         self.raw = raw
         self.as_of = as_of
         self.points_as_of = points_as_of or as_of
+        self.tables = tables
+        self._root: str | None = None
 
     @classmethod
     def from_test_tables(cls, spark: SparkSession, sf_dir: str, as_of: str = "2001-09-01",
-                         points_as_of: str = "2024-02-01") -> "Shop":
+                         points_as_of: str = "2024-02-01", tables: bool = True) -> "Shop":
         from conewise.sources.testdata import raw_tables
-        return cls(raw_tables(spark, sf_dir), as_of, points_as_of)
+        return cls(raw_tables(spark, sf_dir), as_of, points_as_of, tables)
 
     # ------------------------------------------------------------ staging
     @cached_property
@@ -87,21 +114,21 @@ class Shop:
     def stg_registro_diario(self): return staging.stg_registro_diario(self.raw["registro_diario_ventas"])  # noqa: E704
 
     # ------------------------------------------------------------ intermediate
-    @cached_property
+    @table
     def dim_mails(self): return identity.resolve_identity(self.stg_clientes, self.stg_pedidos)  # noqa: E704
 
     @cached_property
     def int_clima(self): return facts.weather_classes(self.stg_clima)  # noqa: E704
 
-    @cached_property
+    @table
     def int_primer_pedido(self): return facts.first_order(self.stg_pedidos, self.dim_mails)  # noqa: E704
 
-    @cached_property
+    @table
     def int_costos_pedido(self):  # noqa: E704
         return cost.order_cost(self.stg_pedidos, self.stg_pedidos_productos, self.stg_pedidos_productos_sabores,
                                self.stg_productos, self.stg_costos_sabores)
 
-    @cached_property
+    @table
     def int_clientes(self):  # noqa: E704
         return customers.customer_profile(self.stg_clientes, self.dim_mails, self.stg_clientes_direcciones,
                                           self.stg_zonas)
@@ -110,7 +137,7 @@ class Shop:
     def fx_monthly(self): return facts.fx_monthly(self.stg_dolar_blue)  # noqa: E704
 
     # ------------------------------------------------------------ marts
-    @cached_property
+    @table
     def fct_pedidos(self):  # noqa: E704
         return facts.order_fact(self.stg_pedidos, self.stg_clientes, self.stg_clientes_direcciones, self.stg_zonas,
                                 self.stg_pedidos_productos, self.stg_pedidos_productos_sabores, self.stg_productos,
@@ -120,11 +147,11 @@ class Shop:
     def int_ventas_diarias(self):  # noqa: E704
         return facts.daily_sales_base(self.fct_pedidos, self.stg_registro_diario)
 
-    @cached_property
+    @table
     def fct_ventas_diarias(self):  # noqa: E704
         return facts.daily_sales_fact(self.int_ventas_diarias, self.int_clima, self.stg_dolar_blue, self.fct_pedidos)
 
-    @cached_property
+    @table
     def dim_clientes(self):  # noqa: E704
         return customers.customer_dimension(self.stg_clientes, self.dim_mails, self.stg_clientes_direcciones,
                                             self.fct_pedidos, self.as_of)
