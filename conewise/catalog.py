@@ -1,11 +1,374 @@
-"""Operator-level queries (S, P, J, A, W, T, U, F, R, Q rows) over the staged shop tables."""
+"""Operator-level queries (S, P, J, A, T, R, Q rows) over the marts built from the test tables.
+
+Each query builds the warehouse from the whole test tables (``Shop``) and
+applies one report-side operator, so its work grows with the data.  The
+oracle SQL runs on DuckDB over the same model CTEs (``oracle.models_sql``).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from conewise import quality as Q
+from conewise.operators.aggregates import distinct_values, kpis, value_counts
+from conewise.oracle.models_sql import AVG, D
+from conewise.plans import reports as R
+from conewise.plans.warehouse import Shop
+from conewise.sources.readers import row_counts
+
+# Report rows and labels as the source dashboard shows them.
+PNL_ROWS_ARS = [
+    ("Ingresos", "ingresos_totales"),
+    ("Insumos (compra real)", "gasto_insumos"),
+    ("Margen Bruto", "margen_bruto"),
+    ("Margen Bruto %", "margen_bruto_pct"),
+    ("Gastos Operativos", "total_gastos_operativos"),
+    ("  Mano de Obra", "gasto_mano_obra"),
+    ("  Alquiler", "gasto_alquiler"),
+    ("  Servicios", "gasto_servicios"),
+    ("  Marketing", "gasto_marketing"),
+    ("  Impuestos", "gasto_impuestos"),
+    ("  Logistica", "gasto_logistica"),
+    ("  Otros", "gasto_otros"),
+    ("Comisiones", "total_comisiones"),
+    ("Delivery", "costo_delivery"),
+    ("Resultado Operativo", "resultado_operativo"),
+    ("Resultado Op. %", "resultado_operativo_pct"),
+    ("COGS Sistema (ref.)", "cogs_total"),
+    ("Pedidos (Q)", "pedidos_totales"),
+    ("KG", "kg_totales"),
+]
+WATERFALL_STEPS = [
+    ("Ingresos", "ingresos_totales", 1),
+    ("Insumos", "gasto_insumos", -1),
+    ("Gastos Op.", "total_gastos_operativos", -1),
+    ("Comisiones", "total_comisiones", -1),
+    ("Delivery", "costo_delivery", -1),
+]
+WATERFALL_TOTAL = ("Resultado", "resultado_operativo")
+INFLOW_PARTS = [("Efectivo", "cobros_efectivo"), ("MP Neto", "cobros_mp_neto"),
+                ("Transferencia", "cobros_transferencia")]
+OUTFLOW_PARTS = [("Egresos Efectivo", "egresos_efectivo"), ("Egresos Tarjeta", "egresos_tarjeta"),
+                 ("Egresos MP", "egresos_mp"), ("Egresos Otro", "egresos_otro"), ("Delivery", "costo_delivery")]
+RETENTION_COLS = ["retencion_30d_pct", "retencion_60d_pct", "retencion_90d_pct"]
+RFM_TABLE_COLS = [
+    "cliente_id", "nombre", "segmento_cliente",
+    "recencia_score", "frecuencia_score", "monetario_score", "rfm_total",
+    "total_pedidos", "kg_total", "total_gastado", "total_gastado_usd", "ticket_promedio",
+    "dias_desde_ultimo_pedido", "recencia_label", "frecuencia_label",
+]
+TEMPERATURE_ORDER = ["Muy frio", "Frio", "Templado", "Calido", "Muy calido"]
+TEMP_MEANS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "venta_total_usd",
+              "pedidos_delivery", "pedidos_local", "pedidos_mostrador"]
+RAIN_MEANS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "pedidos_delivery"]
+SALES_SUMS = ["pedidos_totales", "kg_totales", "venta_total", "venta_total_usd"]
+
+
+def _on_shop(fn: Callable[[Shop], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query over a warehouse built from the whole test tables under ``sf_dir``."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Shop.from_test_tables(spark, sf_dir))
+    run.__name__ = fn.__name__
+    return run
+
+
+# ------------------------------------------------------------------ Spark side
+
+def _r01(shop):
+    return R.melt(shop.rpt_clientes_nuevos, ["mes"], RETENTION_COLS, "horizonte", "retencion_pct",
+                  value_type="decimal(10,1)")
+
+
+def _r02(shop):
+    return R.statement(shop.rpt_pnl, PNL_ROWS_ARS, "mes")
+
+
+def _r03(shop):
+    return R.waterfall(shop.rpt_pnl, "mes", WATERFALL_STEPS, WATERFALL_TOTAL)
+
+
+def _r04(shop):
+    cf = shop.rpt_cash_flow
+    return R.composition(cf, INFLOW_PARTS, "inflow").unionByName(
+        R.composition(cf, OUTFLOW_PARTS, "outflow", positive_only=True))
+
+
+def _r05(shop):
+    return R.season_matrix(shop.rpt_sabores, 15)
+
+
+def _r06(shop):
+    return R.filter_to_top(shop.rpt_egresos, "categoria", "monto_total", 5).select(
+        "mes", "categoria", "monto_total")
+
+
+def _r07(shop):
+    return R.signed_flow(shop.rpt_cash_flow, "mes", "total_inflows", "total_outflows")
+
+
+def _r08(shop):
+    return R.payment_mix(shop.fct_ventas_diarias)
+
+
+def _r09_temp(shop):
+    days = R.weather_days(shop.fct_ventas_diarias)
+    return R.order_by_labels(R.class_impact(days, "categoria_temperatura", "fecha", TEMP_MEANS),
+                             "categoria_temperatura", TEMPERATURE_ORDER)
+
+
+def _r09_rain(shop):
+    days = R.weather_days(shop.fct_ventas_diarias)
+    return R.class_impact(days, "categoria_precipitacion", "fecha", RAIN_MEANS).orderBy("pedidos_totales_prom")
+
+
+def _r10(shop):
+    return R.project_existing(shop.rpt_rfm, RFM_TABLE_COLS,
+                              [F.col("rfm_total").desc(), F.col("cliente_id")])
+
+
+def _r11(shop):
+    return R.top_n(shop.rpt_sabores, "kg_vendidos", 50, tie=["sabor_id"]).select(
+        "sabor_id", "sabor", "categoria", "kg_vendidos", "margen_estimado_por_kg_usd", "veces_pedido")
+
+
+def _a17(shop):
+    return value_counts(shop.dim_clientes, "segmento_cliente", "clientes")
+
+
+def _a18(grain):
+    def run(shop):
+        return R.rollup_time(shop.fct_ventas_diarias, "fecha", grain, SALES_SUMS)
+    run.__name__ = f"_a18_{grain}"
+    return run
+
+
+def _a19(shop):
+    return R.category_mean(shop.rpt_productos_vendidos, "categoria", "margen_pct",
+                           ["kg_vendidos", "ingreso_estimado"], digits=2)
+
+
+def _a20(shop):
+    d = shop.fct_ventas_diarias
+    return kpis(d, {
+        "dias": F.count(F.lit(1)),
+        "pedidos": F.sum("pedidos_totales"),
+        "kg": F.sum("kg_totales"),
+        "venta": F.sum("venta_total"),
+        "venta_usd": F.sum("venta_total_usd"),
+        "clientes_dia_max": F.max("clientes_unicos"),
+    })
+
+
+def _a21(shop):
+    return R.total_by_category(shop.rpt_egresos, "categoria", "monto_total", "monto_total")
+
+
+def _a23(shop):
+    return distinct_values(shop.dim_clientes, "barrio")
+
+
+def _p22(shop):
+    f = R.facet_filter(shop.fct_pedidos,
+                       {"tipo_retiro": ["delivery", "local"], "tipo_pago": None, "estado_nombre": None})
+    return f.select("pedido_id", "tipo_retiro", "tipo_pago", "estado_nombre", "total")
+
+
+def _p23(shop):
+    d = R.facet_filter(shop.dim_clientes, {"segmento_cliente": None})
+    return R.text_search(d, "nombre", "#0+1").select(
+        "cliente_id_mail_phone", "nombre", "segmento_cliente", "total_gastado")
+
+
+def _p24(shop):
+    return R.between_dates(shop.fct_ventas_diarias, "fecha", "1996-01-01", "1997-12-31").select(
+        "fecha", "pedidos_totales", "venta_total")
+
+
+def _p25(shop):
+    return R.tristate(shop.rpt_sabores, "is_sin_azucar", "only").select(
+        "sabor_id", "sabor", "veces_pedido", "kg_vendidos")
+
+
+def _p28(shop):
+    return R.dimension_filter(shop.rpt_margenes, "tipo_pago").select(
+        "mes", "dimension_valor", "pedidos", "venta_total", "margen_pct")
+
+
+def _t02(shop):
+    return R.top_n(shop.dim_clientes, "total_gastado", 20, tie=["cliente_id_mail_phone"]).select(
+        "cliente_id_mail_phone", "nombre", "total_pedidos", "total_gastado")
+
+
+def _t04(shop):
+    return R.latest_period_row(shop.rpt_pnl, "mes")
+
+
+def _t05(shop):
+    return R.head_sample(shop.fct_pedidos, "pedido_id", 3).select("pedido_id", "fecha", "total")
+
+
+def _q01(shop):
+    shop = shop
+    return Q.key_report({n: shop.model(n) for n in Q.KEYED_TABLES})
+
+
+def _q03(shop):
+    return Q.profile(shop.fct_pedidos)
+
+
+def _q04(shop):
+    return Q.cost_coverage(shop.int_costos_pedido)
+
+
+def _s03(shop):
+    return row_counts(shop.raw)
+
+
+ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
+    "R01_retention_melt": _r01,
+    "R02_pnl_statement": _r02,
+    "R03_pnl_waterfall": _r03,
+    "R04_cash_composition": _r04,
+    "R05_season_matrix": _r05,
+    "R06_expense_top5_trend": _r06,
+    "R07_signed_flow": _r07,
+    "R08_payment_mix": _r08,
+    "R09_weather_by_temperature": _r09_temp,
+    "R09_weather_by_rain": _r09_rain,
+    "R10_rfm_table": _r10,
+    "R11_flavour_scatter": _r11,
+    "A17_segment_counts": _a17,
+    "A18_sales_weekly": _a18("week"),
+    "A18_sales_monthly": _a18("month"),
+    "A19_category_margin_mean": _a19,
+    "A20_sales_kpis": _a20,
+    "A21_expenses_by_category": _a21,
+    "A23_barrio_choices": _a23,
+    "P22_order_facets": _p22,
+    "P23_customer_search": _p23,
+    "P24_sales_date_window": _p24,
+    "P25_sugar_free_flavours": _p25,
+    "P28_margins_by_payment": _p28,
+    "T02_top_customers": _t02,
+    "T04_latest_pnl": _t04,
+    "T05_order_preview": _t05,
+    "Q01_Q02_key_checks": _q01,
+    "Q03_profile_order_fact": _q03,
+    "Q04_cost_coverage": _q04,
+    "S03_load_audit": _s03,
+}
+
+
+# ------------------------------------------------------------------ oracle side
+
+def _union(parts: list[str]) -> str:
+    return "\nunion all\n".join(parts)
+
+
+def _oracle() -> dict[str, str]:
+    from conewise.sources.testdata import raw_sql
+    o: dict[str, str] = {}
+    o["R01_retention_melt"] = _union([
+        f"select mes, '{c}' as horizonte, cast({c} as decimal(10,1)) as retencion_pct from rpt_clientes_nuevos"
+        for c in RETENTION_COLS])
+    long = _union([
+        f"select strftime(mes, '%m-%y') as _p, {i + 1} as orden, '{label}' as concepto, "
+        f"cast({c} as decimal(38,4)) as valor from rpt_pnl"
+        for i, (label, c) in enumerate(PNL_ROWS_ARS)])
+    o["R02_pnl_statement"] = f"select * from (pivot ({long}) on _p using first(valor) group by orden, concepto)"
+    last = "(select * from rpt_pnl where mes = (select max(mes) from rpt_pnl))"
+    steps = [f"select mes, {i + 1} as orden, '{label}' as paso, cast({c} * {sign} as decimal(38,2)) as valor, "
+             f"'relative' as medida from {last}" for i, (label, c, sign) in enumerate(WATERFALL_STEPS)]
+    steps.append(f"select mes, {len(WATERFALL_STEPS) + 1} as orden, '{WATERFALL_TOTAL[0]}' as paso, "
+                 f"cast({WATERFALL_TOTAL[1]} as decimal(38,2)) as valor, 'total' as medida from {last}")
+    o["R03_pnl_waterfall"] = _union(steps)
+    comp = [f"select 'inflow' as lado, '{label}' as fuente, cast(coalesce(sum({c}), 0) as decimal(38,2)) as monto "
+            f"from rpt_cash_flow" for label, c in INFLOW_PARTS]
+    comp += [f"select * from (select 'outflow' as lado, '{label}' as fuente, "
+             f"cast(coalesce(sum({c}), 0) as decimal(38,2)) as monto from rpt_cash_flow) where monto > 0"
+             for label, c in OUTFLOW_PARTS]
+    o["R04_cash_composition"] = _union(comp)
+    o["R05_season_matrix"] = """select sabor_id, sabor, veces_pedido, pct_verano, pct_otono, pct_invierno, pct_primavera
+from rpt_sabores order by veces_pedido desc nulls last, sabor_id limit 15"""
+    o["R06_expense_top5_trend"] = """select mes, categoria, monto_total from rpt_egresos
+where categoria in (select categoria from rpt_egresos group by categoria
+                    order by sum(monto_total) desc nulls last, categoria limit 5)"""
+    o["R07_signed_flow"] = "select mes, total_inflows as inflow, -total_outflows as outflow from rpt_cash_flow"
+    o["R08_payment_mix"] = _union([
+        f"select strftime(fecha, '%Y-%m') as mes_str, '{label}' as medio_pago, sum({c}) as pedidos "
+        f"from fct_ventas_diarias group by 1"
+        for label, c in [("Efectivo", "pagos_efectivo"), ("MercadoPago", "pagos_mercadopago"),
+                         ("Transferencia", "pagos_transferencia")]])
+    wd = ("(select *, " + D("kg_totales / nullif(pedidos_totales, 0)", 16)
+          + " as kg_por_pedido from fct_ventas_diarias where temperatura_promedio is not null)")
+
+    def mean(c: str) -> str:
+        if c in ("kg_totales", "venta_total_usd"):
+            return f"round({AVG(c)}, 1)"
+        if c == "kg_por_pedido":
+            return "round(cast(avg(kg_por_pedido) as decimal(38,6)), 1)"
+        return f"round(avg({c}), 1)"
+    o["R09_weather_by_temperature"] = (
+        "select categoria_temperatura, count(fecha) as dias, "
+        + ", ".join(f"{mean(c)} as {c}_prom" for c in TEMP_MEANS)
+        + f" from {wd} group by categoria_temperatura")
+    o["R09_weather_by_rain"] = (
+        "select categoria_precipitacion, count(fecha) as dias, "
+        + ", ".join(f"{mean(c)} as {c}_prom" for c in RAIN_MEANS)
+        + f" from {wd} group by categoria_precipitacion")
+    o["R10_rfm_table"] = f"select {', '.join(RFM_TABLE_COLS)} from rpt_rfm"
+    o["R11_flavour_scatter"] = """select sabor_id, sabor, categoria, kg_vendidos, margen_estimado_por_kg_usd, veces_pedido
+from rpt_sabores order by kg_vendidos desc nulls last, sabor_id limit 50"""
+    o["A17_segment_counts"] = """select segmento_cliente, count(*) as clientes from dim_clientes
+where segmento_cliente is not null group by segmento_cliente"""
+    sums = ", ".join(f"sum({c}) as {c}" for c in SALES_SUMS)
+    o["A18_sales_weekly"] = (f"select cast(date_trunc('week', fecha) as date) as periodo, {sums} "
+                             f"from fct_ventas_diarias group by 1")
+    o["A18_sales_monthly"] = (f"select cast(date_trunc('month', fecha) as date) as periodo, {sums} "
+                              f"from fct_ventas_diarias group by 1")
+    o["A19_category_margin_mean"] = f"""select categoria, round({AVG('margen_pct')}, 2) as margen_pct_prom,
+sum(kg_vendidos) as kg_vendidos, sum(ingreso_estimado) as ingreso_estimado
+from rpt_productos_vendidos group by categoria"""
+    o["A20_sales_kpis"] = """select count(*) as dias, sum(pedidos_totales) as pedidos, sum(kg_totales) as kg,
+sum(venta_total) as venta, sum(venta_total_usd) as venta_usd, max(clientes_unicos) as clientes_dia_max
+from fct_ventas_diarias"""
+    o["A21_expenses_by_category"] = ("select categoria, sum(monto_total) as monto_total "
+                                     "from rpt_egresos group by categoria")
+    o["A23_barrio_choices"] = "select distinct barrio from dim_clientes where barrio is not null"
+    o["P22_order_facets"] = """select pedido_id, tipo_retiro, tipo_pago, estado_nombre, total from fct_pedidos
+where tipo_retiro in ('delivery', 'local') and tipo_pago is not null and estado_nombre is not null"""
+    o["P23_customer_search"] = """select cliente_id_mail_phone, nombre, segmento_cliente, total_gastado
+from dim_clientes where segmento_cliente is not null and coalesce(regexp_matches(nombre, '#0+1', 'i'), false)"""
+    o["P24_sales_date_window"] = """select fecha, pedidos_totales, venta_total from fct_ventas_diarias
+where fecha >= date '1996-01-01' and fecha <= date '1997-12-31'"""
+    o["P25_sugar_free_flavours"] = ("select sabor_id, sabor, veces_pedido, kg_vendidos from rpt_sabores "
+                                    "where is_sin_azucar = 1")
+    o["P28_margins_by_payment"] = ("select mes, dimension_valor, pedidos, venta_total, margen_pct from rpt_margenes "
+                                   "where dimension_tipo = 'tipo_pago'")
+    o["T02_top_customers"] = """select cliente_id_mail_phone, nombre, total_pedidos, total_gastado from dim_clientes
+order by total_gastado desc nulls last, cliente_id_mail_phone limit 20"""
+    o["T04_latest_pnl"] = "select * from rpt_pnl where mes = (select max(mes) from rpt_pnl)"
+    o["T05_order_preview"] = "select pedido_id, fecha, total from fct_pedidos order by pedido_id limit 3"
+    o["Q01_Q02_key_checks"] = _union([
+        f"""select '{t}' as tabla, '{k}' as clave, count(*) as filas,
+  (select count(*) from (select {k} from {t} where {k} is not null group by {k} having count(*) > 1)) as claves_duplicadas,
+  count(*) - count({k}) as claves_nulas from {t}"""
+        for t, k in Q.KEYED_TABLES.items()])
+    o["Q04_cost_coverage"] = """select mes, count(*) as pedidos, sum(total_lineas_sabor) as lineas_sabor,
+sum(sabores_con_costo) as sabores_con_costo, sum(sabores_con_promedio) as sabores_con_promedio,
+count(*) filter (where sabores_con_promedio > 0) as pedidos_con_promedio
+from int_costos_pedido group by mes"""
+    o["S03_load_audit"] = _union([f"select '{n}' as tabla, count(*) as filas from raw_{n}"
+                                  for n in raw_sql("duckdb")])
+    return o
+
 
-def queries():
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: _on_shop(fn) for k, fn in ON_SHOP.items()}
 
 
-def oracle_sql():
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return _oracle()

@@ -65,10 +65,18 @@ def _model_query(attr: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _normalized(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return normalize(fn(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "q")
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {k: _model_query(attr) for k, (attr, _) in MODELS.items()}
     from conewise import catalog
-    out.update(catalog.queries())
+    for k, fn in catalog.queries().items():
+        out[k] = _normalized(fn)
     return out
 
 
