@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source system has no streaming, incremental models, snapshots, watermarks
+or stateful operators; every model is a full refresh (SURVEY section 2.12).
+The batch jobs here read whole tables and can be re-run on new data as-is.
+"""
