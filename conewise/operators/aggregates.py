@@ -40,15 +40,21 @@ def pivot_counts(df: DataFrame, keys: Sequence[str], column: str, values: Mappin
     return df.groupBy(*keys).agg(*aggs)
 
 
-def join_ids(df: DataFrame, key: str, id_col: str, name: str, sep: str = ", ") -> DataFrame:
+def join_ids(df: DataFrame, key: str, id_col: str, name: str, sep: str = ", ",
+             bucket: int = 100_000) -> DataFrame:
     """Ordered id list ``'1, 2, 3'`` per key.
 
-    The output value itself grows with the group; it is the feature.  The
-    aggregate is ``listagg ... within group (order by id)``.
+    Two levels, so a key holding a large share of the rows is never sorted or
+    buffered whole in one task: ordered partial lists per (key, id range of
+    ``bucket`` ids), then the partials joined in range order.  Ranges are
+    monotone in the id, so the result is the id list in id order.  (The output
+    string itself grows with the key; it is the feature.)
     """
-    return df.groupBy(key).agg(
-        F.expr(f"listagg(cast({id_col} as string), '{sep}') within group (order by {id_col})").alias(name)
-    )
+    rng = F.floor(F.col(id_col) / F.lit(bucket)).alias("_rng")
+    parts = df.groupBy(key, rng).agg(
+        F.expr(f"listagg(cast({id_col} as string), '{sep}') within group (order by {id_col})").alias("_part"))
+    return parts.groupBy(key).agg(
+        F.expr(f"listagg(_part, '{sep}') within group (order by _rng)").alias(name))
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:

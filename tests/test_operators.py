@@ -82,6 +82,12 @@ def test_join_ids_ordered(spark):
     df = spark.createDataFrame([(1, 30), (1, 4), (1, 100), (2, 7)], "k int, id int")
     got = dict(A.join_ids(df, "k", "id", "ids").collect())
     assert got == {1: "4, 30, 100", 2: "7"}
+    # a hot key spread over many id ranges still comes out in id order
+    rnd = random.Random(3)
+    ids = rnd.sample(range(-500, 5000), 400)
+    hot = spark.createDataFrame([(1, i) for i in ids], "k int, id int")
+    got = A.join_ids(hot, "k", "id", "ids", bucket=37).collect()[0].ids
+    assert got == ", ".join(str(i) for i in sorted(ids))
 
 
 def test_rule_columns(spark):
