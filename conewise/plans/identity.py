@@ -49,21 +49,29 @@ def resolve_identity(clientes: DataFrame, pedidos: DataFrame,
                      .withColumn("_has_email", F.coalesce(has_email, F.lit(False))))
 
     with_email = cu.filter("_has_email")
-    emails = global_row_number(
-        with_email.select("email").distinct(), [F.col("email").asc()], "id_mail")
+    no_email = cu.filter(~F.col("_has_email"))
+    has_phone = F.col("telefono").isNotNull()
+    # Phones that need an id of their own (no e-mail, phone not used by any
+    # e-mail customer) do not depend on the e-mail ids, so e-mails and those
+    # phones are numbered in ONE distributed rank over (kind, key): e-mails
+    # first (kind 0, id = rank), then phones (kind 1, id = -(rank - #e-mails)).
+    mail_phones = with_email.filter(has_phone).select("telefono").distinct()
+    keys = (with_email.select(F.lit(0).alias("_kind"), F.col("email").alias("_key")).distinct()
+            .unionByName(no_email.filter(has_phone).join(mail_phones, "telefono", "left_anti")
+                         .select(F.lit(1).alias("_kind"), F.col("telefono").alias("_key")).distinct()))
+    ranked = global_row_number(keys, [F.col("_kind").asc(), F.col("_key").asc()], "_rn")
+    n_mail = ranked.agg(F.count_if(F.col("_kind") == 0).alias("_n_mail"))  # one row
+    emails = ranked.filter(F.col("_kind") == 0).select(F.col("_key").alias("email"), F.col("_rn").alias("id_mail"))
+    phone_ids = (ranked.filter(F.col("_kind") == 1).crossJoin(F.broadcast(n_mail))
+                 .select(F.col("_key").alias("telefono"), (F.col("_n_mail") - F.col("_rn")).alias("_pid")))
     email_group = with_email.join(emails, "email")
 
     # one row per phone (lowest e-mail id) before joining: no fan-out even
     # when many e-mail identities share one phone
-    phone_to_mail = (email_group.filter(F.col("telefono").isNotNull())
+    phone_to_mail = (email_group.filter(has_phone)
                      .groupBy("telefono").agg(F.min("id_mail").alias("_bridge")))
-    # bridge or not in one left join (no join + anti-join pair)
-    no_email = cu.filter(~F.col("_has_email")).join(phone_to_mail, "telefono", "left")
-    unresolved_phone = F.col("_bridge").isNull() & F.col("telefono").isNotNull()
-    phone_ids = global_row_number(
-        no_email.filter(unresolved_phone).select("telefono").distinct(), [F.col("telefono").asc()], "_rn"
-    ).select("telefono", (-F.col("_rn")).alias("_pid"))
-    rest = no_email.join(phone_ids, "telefono", "left")
+    # bridge or own phone id in left joins (no join + anti-join + union chain)
+    rest = no_email.join(phone_to_mail, "telefono", "left").join(phone_ids, "telefono", "left")
 
     null_long = F.lit(None).cast("bigint")
     null_str = F.lit(None).cast("string")
