@@ -96,16 +96,21 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores_linea, pro
     contrib = F.col("total") - cost_total
     rate = F.nullif(F.col("valor_blue"), zero)
 
-    j = (p.join(cli, "cliente_id", "left")
-          .join(dirs, "direccion_id", "left")
-          .join(zon, "zona_id", "left")
-          .join(prod_kg, "pedido_id", "left")
+    # Dimensions are joined to each other at their own size first (customer
+    # fields + identity per customer; address + zone per address), so the fact
+    # is shuffled once per key: pedido_id (all per-order aggregates share that
+    # partitioning), cliente_id, direccion_id.  Catch-all customers make
+    # cliente_id skewed; AQE's skew join splits those partitions.
+    cust = cli.join(ident, "cliente_id", "left")
+    addr = dirs.join(zon, "zona_id", "left").drop("zona_id")
+    j = (p.join(prod_kg, "pedido_id", "left")
           .join(flav, "pedido_id", "left")
           .join(costos.select("pedido_id", "costo_ingredientes", "costo_potes", "costo_bolsa", "costo_total"),
                 "pedido_id", "left")
-          .join(fx, F.to_date(ts) == F.col("_fx_fecha"), "left")
           .join(first, "pedido_id", "left")
-          .join(ident, "cliente_id", "left"))
+          .join(cust, "cliente_id", "left")
+          .join(addr, "direccion_id", "left")
+          .join(fx, F.to_date(ts) == F.col("_fx_fecha"), "left"))
     return j.select(
         "pedido_id", "cliente_id", "cliente_id_mail_phone", "direccion_id",
         "cliente_nombre", "cliente_email", "cliente_telefono",
