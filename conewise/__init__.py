@@ -6,8 +6,11 @@ planning.  Layout:
 
 - ``sources``    scans, seeds, exports, materialisation, test-table bindings
 - ``functions``  one-line column builders (flags, ladders, bands, calendar)
-- ``operators``  reusable joins, aggregates, windows, distributed rank, reshape, checks
-- ``plans``      the composite jobs (identity, cost, facts, customers, finance, rankings)
+- ``operators``  distributed rank, skew-safe per-key windows, multi-step aggregates
+- ``plans``      the composite jobs (identity, cost, facts, customers, finance,
+                 rankings), the ``Shop`` model graph and report-side jobs
+- ``quality``    key checks, frame profile, cost coverage
+- ``oracle``     DuckDB SQL the jobs are checked against
 - ``streaming``  nothing: the source system has no streaming work (see README)
 """
 
