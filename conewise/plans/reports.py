@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conewise.functions import columns as C
+from conewise.sources.sinks import cut_lineage
 
 # --------------------------------------------------------------------- filters
 
@@ -123,6 +124,10 @@ def statement(df: DataFrame, rows: Sequence[tuple[str, str]], period: str, fmt:
             for i, (label, c) in enumerate(rows)
         ])).alias("_r"),
     ).select("_p", "_r.*")
+    # the pivot reads its input twice (distinct labels, then the aggregate);
+    # the long frame is periods x concepts, so cut it once instead of
+    # computing the upstream mart twice
+    long = cut_lineage(long)
     return long.groupBy("orden", "concepto").pivot("_p").agg(F.first("valor"))
 
 

@@ -13,11 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # size post-shuffle partitions by bytes, not by the core count: on a large
-    # cluster this keeps each reduce task near 128 MB (fits executor memory,
-    # no spill), and small stages collapse to few tasks
+    # target ~128 MB per post-shuffle partition when AQE splits skewed
+    # partitions or rebalances; coalescing keeps at least the default
+    # parallelism (parallelismFirst), so small stages still use every core
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -382,7 +382,13 @@ def raw_tables(spark: SparkSession, sf_dir: str, persist: bool = True) -> dict[s
     for name, sql in _raw_sql(SPARK).items():
         needed = {t: df for t, df in base.items() if "{" + t + "}" in sql}
         df = spark.sql(sql, **needed)
-        out[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+        if persist:
+            # The test files are single row groups, read as one split each; a
+            # raw table at scale is many files.  Spreading the cached binding
+            # over the default parallelism once keeps its consumers' first
+            # stages from running in one task.
+            df = df.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+        out[name] = df
     _BOUND[key] = out
     return dict(out)
 
