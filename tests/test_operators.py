@@ -140,3 +140,17 @@ def test_filters_and_topk(spark):
 def test_latest_period_row(spark):
     df = spark.createDataFrame([(1, "a"), (3, "c"), (2, "b")], "m int, v string")
     assert [tuple(r) for r in R.latest_period_row(df, "m").collect()] == [(3, "c")]
+
+
+def test_global_rank_splits_a_hot_sort_value(spark):
+    # a third of the rows share one sort value; the unique tie id lets the
+    # range partitioner split them, so no partition holds the hot value whole
+    rows = [(i, 0 if i % 3 == 0 else i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, v long")
+    order = [F.col("v").asc(), F.col("id").asc()]
+    fixed = rank._sorted_checkpoint(df, order, 6)
+    sizes = [r["count"] for r in fixed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 1000 and sum(sizes) == 3000
+    got = rank.global_row_number(df, order, "rn", partitions=6).select("id", "rn")
+    exp = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
+    assert sorted(got.collect()) == sorted(exp.collect())
