@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import token_files
+from conewise.llm import exact_dedup, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_files": token_files.op9_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_exact_dedup": exact_dedup.ORACLE,
+}

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conewise.llm import tokens
-from conewise.llm.common import new_folder, plain_text, read_table
+from conewise.llm.common import new_folder, plain_text, read_table, ship
 
 MANIFEST = "part int, name string, width int, documents long, ids long"
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -58,6 +58,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     ``files`` defaults to ``spark.sql.shuffle.partitions``.
     """
     spark = docs.sparkSession
+    ship(spark)
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = mounted(folder)
     os.makedirs(path, exist_ok=True)
