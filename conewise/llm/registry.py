@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import exact_dedup, token_files
+from conewise.llm import exact_dedup, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op6_quality_rules": quality.op6_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_files": token_files.op9_token_files,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_quality_rules": quality.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
 }
