@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import exact_dedup, quality, token_files
+from conewise.llm import exact_dedup, pii, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_files": token_files.op9_token_files,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLES: dict[str, str] = {
