@@ -38,7 +38,7 @@ CAPACITY = 2048
 BLOCK = 4096
 ISLANDS = 2
 EPOCHS = 3
-GENERATIONS = 6
+GENERATIONS = 8
 POPULATION = 4
 #: A sequence this full may be injected.
 WELL_FILLED = 0.98

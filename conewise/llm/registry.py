@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import exact_dedup, pii, quality, token_files
+from conewise.llm import exact_dedup, packing, pii, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_packing": packing.op7_packing,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_pii": pii.op10_pii,
