@@ -19,6 +19,10 @@ LOWER = UPPER.lower()
 #: One run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of whole texts, or of pairs of sets, that a Python worker gets at a time.
+TEXT_ROWS = 1000
+PAIR_ROWS = 200
 _ARCHIVE = "conewise-workers.zip"
 _ROOTS: dict[str, tuple[SparkSession, str]] = {}
 
@@ -63,16 +67,24 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     This cuts lineage (a lost executor re-reads files), fixes row ids made by
     ``monotonically_increasing_id`` and gives joins real sizes and plain
     exchanges on both sides, which adaptive execution can split when skewed.
+    ``batch_rows`` bounds the rows that Python workers get at a time.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    before = spark.conf.get(_BATCH)
+    if batch_rows:
+        spark.conf.set(_BATCH, str(batch_rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def plain_text(c: str = "text") -> Column:
