@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import exact_dedup, jaccard_join, packing, pii, quality, token_files
+from conewise.llm import exact_dedup, jaccard_join, packing, pii, quality, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": url_filter.op1_url_filter,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_packing": packing.op7_packing,
