@@ -18,13 +18,17 @@ are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conewise.llm.common import plain_text, read_table, written
+from conewise.llm.common import plain_text, read_table, ship, written
 
 WINDOW = 3
 _BLANK = r"[^\x20\x09-\x0D]"
+_SPACE = " \t\n\v\f\r"
 _EDGES = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 
 
@@ -60,16 +64,70 @@ def covered_lines(docs: DataFrame) -> DataFrame:
                 F.sequence(F.col("place"), F.col("place") + (WINDOW - 1)))))).alias("covered")))
 
 
-def without_lines(text: Column, covered: Column) -> Column:
-    """The text without the non-blank lines of these numbers and the blank lines after them."""
-    lines = _lines(text)
-    full = F.transform(lines, lambda x: x.rlike(_BLANK).cast("int"))
-    # (number of the last non-blank line so far, kept lines), in one pass
-    step = F.aggregate(
-        F.arrays_zip(lines.alias("line"), full.alias("full")),
-        F.struct(F.lit(-1).cast("long").alias("n"), F.expr("cast(array() as array<string>)").alias("kept")),
-        lambda acc, x: F.struct(
-            (acc["n"] + x["full"]).alias("n"),
-            F.when(F.array_contains(covered, acc["n"] + x["full"]), acc["kept"]).otherwise(
-                F.concat(acc["kept"], F.array(x["line"]))).alias("kept")))
-    return F.array_join(step["kept"], "\n")
+def remaining(text: str, covered: set[int]) -> tuple[str, int]:
+    """The text without the non-blank lines of these numbers and the blank lines after them, and how many went."""
+    number, kept = -1, []
+    lines = text.split("\n")
+    for line in lines:
+        number += bool(line.strip(_SPACE))
+        if number not in covered:
+            kept.append(line)
+    return "\n".join(kept), len(lines) - len(kept)
+
+
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, removed = [], []
+        for text, covered in zip(batch.column("text"), batch.column("covered"), strict=True):
+            new, n = (text.as_py(), 0) if not covered.is_valid or not text.is_valid else remaining(text.as_py(), set(covered.as_py()))
+            texts.append(new)
+            removed.append(n)
+        yield pa.RecordBatch.from_pydict(
+            {"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string()), "n_removed": pa.array(removed, pa.int64())})
+
+
+def line_dedup(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, its text without repeated windows, and the number of lines removed."""
+    ship(docs.sparkSession)
+    covered = written(covered_lines(docs), "covered-lines")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"),
+                        F.xxhash64(plain_text()).alias("text_hash"))
+    joined = keyed.join(covered, keyed.id.eqNullSafe(covered.doc_id) & (keyed.text_hash == covered.tie), "left").select(
+        F.col("id").alias("doc_id"), "text", "covered")
+    return joined.mapInArrow(_cleaned, "doc_id long, text string, n_removed long")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH every AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
+),
+numbered AS (
+  SELECT doc_id, pos, line, regexp_matches(line, '[^\x20\x09-\x0D]') AS has_words,
+         sum(CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN 1 ELSE 0 END)
+           OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS n
+  FROM every
+),
+full_lines AS (
+  SELECT doc_id, n, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM numbered WHERE has_words
+),
+windows AS (
+  SELECT doc_id, n, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c
+  FROM full_lines WINDOW w AS (PARTITION BY doc_id ORDER BY n)
+),
+ranked AS (
+  SELECT doc_id, n, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, n) AS k FROM windows WHERE c IS NOT NULL
+),
+covered AS (SELECT DISTINCT doc_id, unnest([n, n + 1, n + 2]) AS n FROM ranked WHERE k > 1),
+kept AS (
+  SELECT x.doc_id, string_agg(x.line, chr(10) ORDER BY x.pos) AS text, count(*) AS n_kept
+  FROM numbered x LEFT JOIN covered c ON x.doc_id = c.doc_id AND x.n = c.n WHERE c.n IS NULL GROUP BY x.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) - coalesce(k.n_kept, 0) END AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
