@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import exact_dedup, jaccard_join, license_scan, line_dedup, packing, pii, quality, token_files, url_filter
+from conewise.llm import exact_dedup, jaccard_join, license_scan, line_dedup, packing, pii, piece_encoding, quality, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op3_piece_encoding": piece_encoding.op3_piece_encoding,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_quality_rules": quality.op6_quality_rules,
