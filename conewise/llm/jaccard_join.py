@@ -1,38 +1,40 @@
 r"""Exact n-gram Jaccard join in the metric space of shingle sets.
 
-The distance d(x, y) = 1 - |x & y| / |x | y| is a metric; documents link when
-it is at most r = 1 - threshold.  The join works on distinct sets ("classes"):
-documents with equal sets share a class.
-
-Pivots and regions.  Every one-shingle set {s} is a pivot: d(x, {s}) is
-1 - 1/|x| if s is in x, else 1, so a document's nearest pivots are its own
-shingles, and the region it lies in is that of its first shingle in one global
-order (shingles that few documents have come first).
-
-Windows.  Take as a pivot p the first k shingles of x: d(x, p) = 1 - k/|x|.  If
-y has none of them, d(y, p) = 1, and by the triangle inequality d(x, y) >= k/|x|.
-With k = floor(r |x|) + 1 this is more than r, so a linked y shares one of these
-k shingles, and replicating x to its first k regions loses no link.  The empty
-set is a pivot too: sizes of linked documents differ by a factor of at most
-1/threshold, so a region is cut into size bands of that ratio, each document
-standing in its own band and the next.
-
-Recursion.  Inside a region documents are pivots.  All members are compared
-with a pivot exactly; those within r hang on it.  Members that hang together
-need no further comparing, and a pivot compared with all leaves the region.  The
-rest goes on in the next round: small regions compare all pairs between
-different components, larger ones take several pivots again.  A region ends
-when it holds one component.  The first pivot of a region is its smallest class,
-the same in all regions of a group of near copies, so such a group takes about
-one comparison a member.
-
-The rounds need connected components only, so no pair inside a component is
-missed that could change the result: two members with distinct components are
-always compared before their region ends.
-
-The global order comes from counts of all documents' shingles in a table of
-fixed size (``SKETCH`` counters, one byte each when broadcast); shingles that
-share a counter only change the order, never the result.
+Documents link when the Jaccard distance 1 - |x & y| / |x | y| of their sets is
+at most 1 - t.  The join works on distinct sets ("classes"); documents with
+equal sets share a class.
+
+Pivots and regions.  Jaccard distances of unrelated texts are all close to 1, so
+whole documents make poor pivots: nearly every document would lie near the
+border of every region.  The universe of shingles is therefore dealt by hash
+into parts, and each part is a metric space of its own, with the symmetric
+difference as its metric.  The pivots of a part are the sets that documents have
+there, and a document lies in the Voronoi region of its nearest pivot, its own
+part, at distance 0.
+
+Windows.  Linked documents differ in at most D = floor((1-t)/(1+t) (|x| + |y|))
+shingles.  With p_k the pivots of x, one in each part, the triangle inequality
+gives a difference of at least sum |d(x, p_k) - d(y, p_k)| = sum d(y, p_k).  So a
+document that is not at distance 0 from more than D of the pivots is out of
+reach, and among D + 1 + ``SPARE`` parts linked documents share the region of
+at least 1 + ``SPARE`` of them.  Replicating each document to its region in
+every part loses no link.  A part without any shingle of the document is left
+out, as it would draw unrelated documents together, unless more than ``SPARE``
+are empty.  The empty set is a pivot for sizes: linked sizes differ by a factor
+of at most 1/t, so sizes are cut into scales, each with its own D, and a document
+within that factor of a scale's end stands in the next one too.
+
+Recursion.  Inside a region documents are pivots.  All members of other
+components are compared with a pivot exactly, those within reach join its
+component, and the pivot leaves the region.  What is left goes on in the next
+round: small regions compare all pairs between different components, larger
+ones take several pivots again.  A region ends when it holds one component.  The
+first pivot of a region is its smallest class, the same in all regions of a
+group of near copies, so such a group takes about one comparison a member.
+
+Only components are asked for: pairs inside a component need no comparing, and
+two members of different components are always compared before their region
+ends.
 
 Defined cases: a null or empty text, or one without words, has the empty set, is
 linked with nothing and is its own component; a component of rows without ids
@@ -52,22 +54,21 @@ from conewise.llm import hashing, shingles
 from conewise.llm.common import PAIR_ROWS, TEXT_ROWS, plain_text, read_table, ship, written
 from conewise.llm.components import components
 
-#: Counters of the shingle order.
-SKETCH = 1 << 19
-#: Rows of counters that one task adds up.
-_FAN_IN = 32
-_BLOCK = 1 << 15
+#: Empty parts that a document may leave out.
+SPARE = 2
+#: Each scale of sizes ends at this multiple of the one before.
+SCALE = 1.5
 #: Members that a region may have to compare all its pairs at once.
 LEAF = 24
 #: Pivots of a larger region in each round after the first.
 PIVOTS = 4
 
-_SETS = "doc_id long, tie long, n long, hi long, lo long, part long, block int, counts binary"
 _SALT = np.uint64(0x5851F42D4C957F2D)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
-    return batch.column(column).to_pylist()
+def _texts(batch: pa.RecordBatch) -> list[str]:
+    return batch.column("text").to_pylist()
 
 
 def _bounds(counts: np.ndarray) -> np.ndarray:
@@ -75,79 +76,89 @@ def _bounds(counts: np.ndarray) -> np.ndarray:
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sum of each text's values, modulo 2**64, as signed numbers."""
+    """Sum of each text's values, modulo 2**64."""
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values, out=total[1:])
     at = _bounds(counts)
-    return (total[at[1:]] - total[at[:-1]]).view(np.int64)
+    return total[at[1:]] - total[at[:-1]]
+
+
+def set_hash(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that tell sets apart."""
+    return (_sums(hashing.mix(values), counts).view(np.int64), _sums(hashing.mix(values ^ _SALT), counts).view(np.int64))
+
+
+def scale_ends(most: int) -> np.ndarray:
+    """Ends (exclusive) of the scales of sizes up to ``most``, and of the one after."""
+    ends = [2]
+    while ends[-1] <= most or len(ends) < 2 or ends[-2] <= most:
+        ends.append(max(ends[-1] + 1, int(ends[-1] * SCALE)))
+    return np.array(ends)
+
+
+def regions(values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the regions that sets stand in, and the set of each."""
+    ends = scale_ends(int(counts.max(initial=1)))
+    at = _bounds(counts)
+    own = np.searchsorted(ends, counts, side="right")  # the first end above the size
+    found, who = [], []
+    for up in (0, 1):
+        here = np.flatnonzero((counts > 0) & ((up == 0) | (100 * counts >= percent * ends[own])))
+        if not len(here):
+            continue
+        scale, sizes = own[here] + up, counts[here]
+        reach = (100 - percent) * 2 * (ends[scale] - 1) // (100 + percent)  # D for the two largest sets of the scale
+        parts = reach + 1 + SPARE
+        of = np.repeat(np.arange(len(here)), sizes)
+        x = values[np.repeat(at[here] - _bounds(sizes)[:-1], sizes) + np.arange(len(of))]
+        h = hashing.mix(x)
+        part = ((h >> np.uint64(32)) * parts[of].astype(np.uint64)) >> np.uint64(32)
+        order = np.lexsort((part, of))
+        of, part, h = of[order], part[order].astype(np.int64), h[order]
+        first = np.ones(len(of), bool)
+        first[1:] = (of[1:] != of[:-1]) | (part[1:] != part[:-1])
+        first = np.flatnonzero(first)
+        content = np.add.reduceat(hashing.mix(h ^ _SALT), first)
+        of, part = of[first], part[first]
+        empty = parts - np.bincount(of, minlength=len(here))
+        for i in np.flatnonzero(empty > SPARE).tolist():  # small sets
+            rest = np.setdiff1d(np.arange(parts[i]), part[of == i])
+            of, part = np.concatenate((of, np.full(len(rest), i))), np.concatenate((part, rest))
+            content = np.concatenate((content, np.zeros(len(rest), np.uint64)))
+        place = part.astype(np.uint64) * _STEP + scale[of].astype(np.uint64) * hashing.mix(np.array([_SALT]))
+        found.append(hashing.mix(content + hashing.mix(place)))
+        who.append(here[of])
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(found).view(np.int64), np.concatenate(who)
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """Written table: a row per document with the size and a 128-bit sum of its set, and rows of counters."""
+    """Written table: a row per document with the size and the hash of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        seen = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            values, counts = shingles.sets(_texts(batch, "text"), size)
-            seen += np.bincount((values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
-            rows = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tie"), pa.array(counts), pa.array(_sums(hashing.mix(values), counts)),
-                 pa.array(_sums(hashing.mix(values ^ _SALT), counts)), *[pa.nulls(rows, t) for t in (pa.int64(), pa.int32(), pa.binary())]],
-                names)
-        if seen.any():
-            used = [b for b in range(SKETCH // _BLOCK)]
-            none = [pa.nulls(len(used), pa.int64())] * 5
+            values, counts = shingles.sets(_texts(batch), size)
+            hi, lo = set_hash(values, counts)
             yield pa.RecordBatch.from_arrays(
-                [*none, pa.array([TaskContext.get().partitionId()] * len(used), pa.int64()), pa.array(used, pa.int32()),
-                 pa.array([seen[b * _BLOCK : (b + 1) * _BLOCK].tobytes() for b in used], pa.binary())], names)
+                [batch.column("doc_id"), batch.column("tie"), pa.array(counts), pa.array(hi), pa.array(lo)], ["doc_id", "tie", "n", "hi", "lo"])
 
-    names = [c.split()[0] for c in _SETS.split(", ")]
     texts = docs.select(F.col("doc_id").cast("long"), plain_text().alias("text"))
-    return written(texts.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(run, _SETS)
+    return written(texts.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+                   .mapInArrow(run, "doc_id long, tie long, n long, hi long, lo long")
                    .withColumn("row", F.monotonically_increasing_id()), "shingle-sets", TEXT_ROWS)
 
 
-def shingle_order(counters: DataFrame) -> np.ndarray:
-    """Rank of each counter, one byte: the larger, the more documents share its shingles."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in table.column("counts").to_pylist())
-        total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        return pa.table({"part": table.column("part").slice(0, 1), "block": table.column("block").slice(0, 1),
-                         "counts": [total.tobytes()]})
-
-    parts = (counters.agg(F.max("part")).first()[0] or 0) + 1
-    while parts > 1:
-        parts = -(-parts // _FAN_IN)
-        counters = written(counters.withColumn("part", F.floor(F.col("part") / _FAN_IN)).groupBy("part", "block")
-                           .applyInArrow(add, "part long, block int, counts binary"), "counters")
-    total = np.zeros(SKETCH, np.uint32)
-    for r in counters.collect():  # SKETCH counters, whatever the input
-        total[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(r["counts"], np.uint32)
-    return np.floor(4 * np.log2(total.astype(np.float64) + 1)).astype(np.uint8)
-
-
-def replicated(docs: DataFrame, size: int, slack: tuple[int, int], order) -> DataFrame:
-    """(s, hi, lo, n): each set at the regions of its first floor(r n) + 1 shingles."""
-    out, of = slack
+def replicated(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Written table (s, hi): each set, by half its hash, in all its regions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = order.value
         for batch in batches:
-            values, counts = shingles.sets(_texts(batch, "text"), size)
-            hi, lo = _sums(hashing.mix(values), counts), _sums(hashing.mix(values ^ _SALT), counts)
-            text = np.repeat(np.arange(len(counts)), counts)
-            at = np.lexsort((values, rank[(values & np.uint64(SKETCH - 1)).astype(np.int64)], text))
-            place = np.arange(len(values)) - np.repeat(_bounds(counts)[:-1], counts)
-            chosen = place < (counts * out // of + 1)[text]
-            who = text[chosen]
-            yield pa.RecordBatch.from_pydict({
-                "s": values[at][chosen].view(np.int64), "hi": hi[who], "lo": lo[who], "n": counts[who]})
+            values, counts = shingles.sets(_texts(batch), size)
+            found, who = regions(values, counts, percent)
+            yield pa.RecordBatch.from_pydict({"s": found, "hi": set_hash(values, counts)[0][who]})
 
-    return docs.select(plain_text().alias("text")).mapInArrow(run, "s long, hi long, lo long, n long")
+    return written(docs.select(plain_text().alias("text")).mapInArrow(run, "s long, hi long"), "regions", TEXT_ROWS)
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -155,7 +166,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, counts = shingles.sets(_texts(batch, "text"), size)
+            values, counts = shingles.sets(_texts(batch), size)
             at, raw = _bounds(counts) * 8, values.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())],
@@ -186,24 +197,19 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def region_members(copies: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Members (s, band, node, n) of regions that at least two classes share."""
-    ident = F.struct("hi", "lo")
-    shared = (copies.groupBy("s").agg(F.min(ident).alias("low"), F.max(ident).alias("high"))
+def region_members(copies: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members (s, node, n) of regions that at least two classes share."""
+    shared = (copies.groupBy("s").agg(F.min("hi").alias("low"), F.max("hi").alias("high"))
               .filter("low <> high").select("s"))
     in_shared = copies.join(written(shared, "shared"), "s").distinct()
-    members = in_shared.join(classes.select("hi", "lo", "node"), ["hi", "lo"]).select("s", "node", "n")
-    # bands of ratio 1/threshold: linked sizes are in one band or in neighbours
-    band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9).cast("int")
-    banded = members.select("s", F.explode(F.array(band, band + 1)).alias("band"), "node", "n")
-    return _with_two_components(written(banded, "members").withColumn("comp", F.col("node"))).drop("comp", "size")
+    return written(in_shared.join(classes.select("hi", "node", "n"), "hi").select("s", "node", "n"), "members")
 
 
 def _with_two_components(members: DataFrame) -> DataFrame:
     """Members of regions that hold more than one component, with the region's ``size``."""
-    open_ = (members.groupBy("s", "band").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-             .filter("low < high").select("s", "band", "size"))
-    return written(members.join(written(open_, "open"), ["s", "band"]), "members")
+    open_ = (members.groupBy("s").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+             .filter("low < high").select("s", "size"))
+    return written(members.join(written(open_, "open"), "s"), "members")
 
 
 def _near(n: str, m: str, percent: int):
@@ -214,8 +220,8 @@ def _against_pivots(members: DataFrame, salts: list[int | None], percent: int) -
     """Pairs of members with their region's pivots, and the members that remain."""
     chosen = [F.min(F.struct("node", "comp", "n")) if k is None else
               F.min_by(F.struct("node", "comp", "n"), F.xxhash64(F.lit(k), "node")) for k in salts]
-    pivots = members.groupBy("s", "band").agg(F.array_distinct(F.array(*chosen)).alias("pivots"))
-    met = members.join(written(pivots, "pivots"), ["s", "band"])
+    pivots = members.groupBy("s").agg(F.array_distinct(F.array(*chosen)).alias("pivots"))
+    met = members.join(written(pivots, "pivots"), "s")
     pairs = (met.select("node", "comp", "n", F.explode("pivots").alias("p"))
              .filter((F.col("comp") != F.col("p.comp")) & _near("n", "p.n", percent))
              .select(F.greatest("node", "p.node").alias("a"), F.least("node", "p.node").alias("b")))
@@ -225,8 +231,8 @@ def _against_pivots(members: DataFrame, salts: list[int | None], percent: int) -
 
 def _all_pairs(leaves: DataFrame, percent: int) -> DataFrame:
     """Pairs between components in regions of at most LEAF members."""
-    other = leaves.select("s", "band", *[F.col(c).alias(f"{c}_2") for c in ("node", "comp", "n")])
-    return (leaves.join(other, ["s", "band"])
+    other = leaves.select("s", *[F.col(c).alias(f"{c}_2") for c in ("node", "comp", "n")])
+    return (leaves.join(other, "s")
             .filter((F.col("node") > F.col("node_2")) & (F.col("comp") != F.col("comp_2")) & _near("n", "n_2", percent))
             .select(F.col("node").alias("a"), F.col("node_2").alias("b")))
 
@@ -244,7 +250,7 @@ def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
             leaves = comps_in.filter(F.col("size") <= LEAF)
             pairs, rest = _against_pivots(comps_in.filter(F.col("size") > LEAF), [round_ * PIVOTS + i for i in range(PIVOTS)], percent)
             pairs = pairs.unionByName(_all_pairs(leaves, percent))
-        rest = written(rest.select("s", "band", "node", "n"), "rest")
+        rest = written(rest.select("s", "node", "n"), "rest")
         new = written(linked(pairs.distinct(), sets, percent), "links", PAIR_ROWS)
         links = new if links is None else links.unionByName(new)
         if not new.isEmpty():
@@ -256,23 +262,18 @@ def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+    """One row per document: doc_id, n_shingles, component_id, tie (hash of its text).
 
     ``size`` words make a shingle; documents link from ``percent`` percent on.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    table = shingle_sets(docs, size)
-    order = spark.sparkContext.broadcast(shingle_order(
-        table.filter(F.col("block").isNotNull()).select("part", "block", "counts")))
-    rows = table.filter(F.col("block").isNull()).select("doc_id", "tie", "n", "hi", "lo", "row")
+    ship(docs.sparkSession)
+    rows = shingle_sets(docs, size)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "row")
     classes = written(
-        rows.filter("n > 0").groupBy("hi", "lo").agg(F.min(first).alias("first"))
-        .select("hi", "lo", F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.tie").alias("tie")),
+        rows.filter("n > 0").groupBy("hi", "lo", "n").agg(F.min(first).alias("first"))
+        .select("hi", "lo", "n", F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.tie").alias("tie")),
         "classes")
-    copies = written(replicated(docs, size, (100 - percent, 100), order), "regions", TEXT_ROWS)
-    members = region_members(copies, classes, percent)
+    members = region_members(replicated(docs, size, percent), classes)
     wanted = classes.join(members.select("node").distinct(), "node").select("node", "doc_id", "tie")
     sets = class_sets(docs, written(wanted, "wanted"), size)
     found = join_components(members, sets, percent)
