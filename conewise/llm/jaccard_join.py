@@ -262,7 +262,9 @@ def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, tie (hash of its text).
+    """One row per document: doc_id, n_shingles, component_id, tie (hash of its text), stays.
+
+    One text of each component stays: ids before nulls, then the smallest id, then the smallest hash.
 
     ``size`` words make a shingle; documents link from ``percent`` percent on.
     """
@@ -277,15 +279,16 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     wanted = classes.join(members.select("node").distinct(), "node").select("node", "doc_id", "tie")
     sets = class_sets(docs, written(wanted, "wanted"), size)
     found = join_components(members, sets, percent)
-    if found is None:
-        labels = classes.select("hi", "lo", F.col("doc_id").alias("component_id"))
-    else:
-        of = classes.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        lowest = of.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        labels = of.join(written(lowest, "lowest"), "comp").select("hi", "lo", "component_id")
-    labels = written(labels, "labels")
-    some = rows.filter("n > 0").join(labels, ["hi", "lo"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "tie")
-    none = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "tie")
+    of = classes if found is None else classes.join(found, "node", "left")
+    of = of.withColumn("comp", F.col("node") if found is None else F.coalesce("comp", "node"))
+    keeper = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie"))
+    lowest = of.groupBy("comp").agg(F.min("doc_id").alias("component_id"), keeper.alias("keeper"))
+    labels = written(of.join(written(lowest, "lowest"), "comp").select("hi", "lo", "component_id", "keeper"), "labels")
+    stays = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("tie") == F.col("keeper.tie"))
+    some = rows.filter("n > 0").join(labels, ["hi", "lo"]).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "tie", stays.alias("stays"))
+    none = rows.filter("n = 0").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "tie", F.lit(True).alias("stays"))
     return some.unionByName(none)
 
 
@@ -295,11 +298,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with the document of the smallest id of each group of near copies
-    (five-word shingles, similarity 0.8 or more); all columns."""
+    """``docs`` with one document of each group of near copies (five-word shingles,
+    similarity 0.8 or more), the one with the smallest id; all columns.
+
+    Rows with the same id and text are one document and stay or go together.
+    """
     columns = docs.columns
-    found = jaccard_components(docs)
-    drop = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "tie").distinct()
+    drop = written(jaccard_components(docs).filter(~F.col("stays")).select("doc_id", "tie").distinct(), "near-copies")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), F.col("doc_id").cast("long").alias("id"),
                         F.xxhash64(plain_text()).alias("text_hash"))
     return keyed.join(drop, keyed.id.eqNullSafe(drop.doc_id) & (keyed.text_hash == drop.tie), "left_anti").select("doc.*")
