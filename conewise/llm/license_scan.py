@@ -8,8 +8,8 @@ the text) are merged, and a merged span is verified: enough of the template's
 different grams must stand in it, within the length that the template allows.
 
 Phrases are templates too: a phrase stands where one diagonal has the votes of
-all its grams.  Short templates use grams of two words, long ones of four.  A
-hit must agree in a 64-bit and in a second, 32-bit hash of its words.
+all its grams.  Short templates use grams of two words, long ones of four, told
+apart by 64-bit hashes.
 
 The templates are a given list, so their table has a fixed size and is
 broadcast.  A document's hits are reduced to diagonals before any shuffle.
@@ -20,15 +20,21 @@ one by one; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from conewise.llm.common import plain_text, read_table, words, written
+from conewise.llm import shingles
+from conewise.llm.common import TEXT_ROWS, plain_text, read_table, ship, written
 
-#: Words: runs of letters and digits of ASCII, and of all other characters above it (after lower-casing).
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHORT, LONG = 2, 4
 
+#: Bytes between words: words are runs of ASCII letters and digits and of all characters above ASCII.
+GAPS = np.array([not (chr(b).isalnum() if b < 128 else True) for b in range(256)])
+
 #: The base phrases and their labels.
 PHRASES = [
     ("gnu general public license", "gpl"),
@@ -56,44 +62,45 @@ BAND = 3
 COVER = 0.6
 
 
-def text_words(text: Column) -> Column:
-    # the Kelvin sign is the one other character that lower() turns into an ASCII letter
-    return words(F.lower(F.replace(text, F.lit("K"), F.lit("Ω"))), WORD)
-
-
-def grams(w: Column, size: int) -> Column:
-    def gram(i: Column) -> Column:
-        part = F.slice(w, i + 1, size)
-        return F.struct(F.lit(size).alias("k"), i.cast("int").alias("pos"), F.xxhash64(part).alias("key"), F.hash(part).alias("check"))
-
-    at = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size)).otherwise(F.expr("cast(array() as array<int>)"))
-    return F.transform(at, gram)
-
-
 def template_grams(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """Templates (tpl, label, phrase, n_grams), and their grams (tpl, k, key, check, tpos)."""
-    rows = [(t, label, i < len(PHRASES), min(SHORT if i < len(PHRASES) or len(t.split()) <= LONG else LONG, len(t.split())))
-            for i, (t, label) in enumerate([*PHRASES, *TEMPLATES])]
-    frame = spark.createDataFrame(
-        [(i, label, phrase, k, len(t.split()) - k + 1, t.split()) for i, (t, label, phrase, k) in enumerate(rows)],
-        "tpl int, label string, phrase boolean, k int, n_grams int, w array<string>")
-    each = frame.select("tpl", F.inline(F.when(F.col("k") == SHORT, grams(F.col("w"), SHORT)).otherwise(grams(F.col("w"), LONG))))
-    return frame.drop("w"), each.withColumnRenamed("pos", "tpos")
+    """Templates (tpl, label, phrase, k, n_grams), and their grams (tpl, k, key, tpos)."""
+    templates, grams = [], []
+    for tpl, (text, label) in enumerate([*PHRASES, *TEMPLATES]):
+        h, n = shingles.hashed_words([text.encode()], GAPS)
+        k = SHORT if tpl < len(PHRASES) or len(h) <= LONG else LONG
+        keys, _, places = shingles.rolling(h, n, k)
+        templates.append((tpl, label, tpl < len(PHRASES), k, len(keys)))
+        grams += [(tpl, k, int(key), int(at)) for key, at in zip(keys.view(np.int64), places, strict=True)]
+    return (spark.createDataFrame(templates, "tpl int, label string, phrase boolean, k int, n_grams int"),
+            spark.createDataFrame(grams, "tpl int, k int, key long, tpos int"))
+
+
+def grams(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, k, pos, key): every gram of every text, and with k = 0 each document's number of words as pos."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, doc_id = batch.column("row"), batch.column("doc_id")
+            h, counts = shingles.hashed_words([t.encode() for t in batch.column("text").to_pylist()], GAPS)
+            every = [(0, np.zeros(len(counts), np.uint64), np.arange(len(counts)), counts)]
+            every += [(k, *shingles.rolling(h, counts, k)) for k in (SHORT, LONG)]
+            for k, keys, of, places in every:
+                at = pa.array(of)
+                yield pa.RecordBatch.from_arrays(
+                    [row.take(at), doc_id.take(at), pa.array(np.full(len(of), k, np.int32)), pa.array(places.astype(np.int32)),
+                     pa.array(keys.view(np.int64))], ["row", "doc_id", "k", "pos", "key"])
+
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), plain_text().alias("text"))
+    return texts.mapInArrow(run, "row long, doc_id long, k int, pos int, key long")
 
 
 def hits(docs: DataFrame) -> DataFrame:
-    """Written table (row, doc_id, k, pos, tpl, tpos): every gram hit, and with k = 0 each document's number of words as pos."""
+    """Written table (row, doc_id, k, pos, tpl, tpos) of gram hits, and of each document's number of words (k = 0)."""
+    ship(docs.sparkSession)
     _, template = template_grams(docs.sparkSession)
-    w = text_words(F.col("text"))
-
-    def rows(w: Column) -> Column:
-        size = F.struct(F.lit(0).alias("k"), F.size(w).alias("pos"), F.lit(0).cast("long").alias("key"), F.lit(0).alias("check"))
-        return F.concat(F.array(size), grams(w, SHORT), grams(w, LONG))
-
-    every = (docs.select(F.col("doc_id").cast("long"), plain_text().alias("text"), F.monotonically_increasing_id().alias("row"))
-             .select("row", "doc_id", F.inline(F.transform(F.array(w), rows)[0])))
-    found = every.join(F.broadcast(template), ["k", "key", "check"], "left")  # the given templates only
-    return written(found.filter((F.col("k") == 0) | F.col("tpl").isNotNull()).select("row", "doc_id", "k", "pos", "tpl", "tpos"), "gram-hits")
+    found = grams(docs).join(F.broadcast(template), ["k", "key"], "left")  # the given templates only
+    return written(found.filter((F.col("k") == 0) | F.col("tpl").isNotNull()).select("row", "doc_id", "k", "pos", "tpl", "tpos"),
+                   "gram-hits", TEXT_ROWS)
 
 
 def spans(found: DataFrame, templates: DataFrame) -> DataFrame:

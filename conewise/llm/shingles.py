@@ -19,48 +19,76 @@ _MARK = np.uint64(0xA24BAED4963EE407)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
-def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of some texts, and the number of words of each."""
+def word_hashes(raw: list[bytes], gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts, and the number of words of each; ``gaps`` tells the bytes between words."""
     buffer = _LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
-    gap = _SPACE[buffer]
+    gap = gaps[buffer]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     bounds = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
     counts = np.diff(np.searchsorted(starts, bounds))
-    return hashing.spans(buffer, starts, ends), counts
-
-
-def long_word_hashes(raw: bytes) -> np.ndarray:
-    """The same for one text of any length: by parts that end at white space."""
-    out, start, most = [], 0, hashing.MOST_BYTES // 2
-    while start < len(raw):
-        end = min(len(raw), start + most)
-        if end < len(raw):
-            space = max(raw.rfind(bytes([c]), start, end) for c in (32, *range(9, 14)))
-            if space < start:  # one word fills the part: it is hashed whole
-                rest = [at for c in (32, *range(9, 14)) if (at := raw.find(bytes([c]), end)) >= 0]
-                end = min(rest, default=len(raw))
-                out.append(np.array([hashing.long_span(raw[start:end].lower())], np.uint64))
+    hashes = hashing.spans(buffer, starts, ends)
+    for i in np.flatnonzero(ends - starts >= hashing.MOST_BYTES // 2).tolist():  # as in long_word_hashes
+        hashes[i] = hashing.long_span(buffer[starts[i] : ends[i]].tobytes())
+    return hashes, counts
+
+
+def long_word_hashes(raw: bytes, gaps: np.ndarray = _SPACE) -> np.ndarray:
+    """The same for one text of any length: by parts that end between words."""
+    text, out, start, most = _LOWER[np.frombuffer(raw, np.uint8)], [], 0, hashing.MOST_BYTES // 2
+    while start < len(text):
+        end = min(len(text), start + most)
+        if end < len(text):
+            between = np.flatnonzero(gaps[text[start:end]])
+            if not len(between):  # one word fills the part: it is hashed whole
+                while end < len(text) and not gaps[text[end : end + most]].any():
+                    end += most
+                if end < len(text):
+                    end += int(np.argmax(gaps[text[end : end + most]]))
+                end = min(end, len(text))
+                out.append(np.array([hashing.long_span(text[start:end].tobytes())], np.uint64))
                 start = end + 1
                 continue
-            end = space
-        out.append(word_hashes([raw[start:end]])[0])
+            end = start + int(between[-1])
+        out.append(word_hashes([raw[start:end]], gaps)[0])
         start = end + 1
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def hashed_words(raw: list[bytes], gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of texts of any length."""
+    hashes, counts = [], []
+    for a, b in tokens.slices([len(r) + 1 for r in raw], hashing.MOST_BYTES // 2):
+        part = raw[a:b]
+        if sum(map(len, part)) + len(part) > hashing.MOST_BYTES:
+            each = [long_word_hashes(r, gaps) for r in part]
+            hashes += each
+            counts.append(np.array([len(x) for x in each]))
+        else:
+            h, n = word_hashes(part, gaps)
+            hashes.append(h)
+            counts.append(n)
+    if not counts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def rolling(h: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``size`` words, the text of each and its first word."""
+    of = np.repeat(np.arange(len(counts)), counts)
+    n = len(h) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    mixed = np.zeros(n, np.uint64)
+    for i in range(size):
+        mixed = hashing.mix(mixed * _STEP + h[i : n + i])
+    same = np.flatnonzero(of[:n] == of[size - 1 :])
+    return mixed[same], of[same], same - (np.cumsum(counts) - counts)[of[same]]
+
+
 def _combine(h: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles (with repeats) of texts whose words stand one after another in ``h``, and each one's text."""
-    of = np.repeat(np.arange(len(counts)), counts)
-    n = len(h)
-    if n >= size:
-        mixed = np.zeros(n - size + 1, np.uint64)
-        for i in range(size):
-            mixed = hashing.mix(mixed * _STEP + h[i : n - size + 1 + i])
-        same = of[: n - size + 1] == of[size - 1 :]
-        values, texts = mixed[same], of[: n - size + 1][same]
-    else:
-        values, texts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    values, texts, _ = rolling(h, counts, size)
     firsts = np.cumsum(counts) - counts
     short = np.flatnonzero((counts > 0) & (counts < size))
     if len(short):
@@ -79,12 +107,7 @@ def sets(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     raw = [t.encode() for t in texts]
     all_values, counts = [], np.zeros(len(raw), np.int64)
     for a, b in tokens.slices([len(r) + 1 for r in raw], hashing.MOST_BYTES // 2):
-        part = raw[a:b]
-        if sum(map(len, part)) + len(part) > hashing.MOST_BYTES:
-            hashes = [long_word_hashes(r) for r in part]
-            h, words = np.concatenate(hashes), np.array([len(x) for x in hashes])
-        else:
-            h, words = word_hashes(part)
+        h, words = hashed_words(raw[a:b])
         values, of = _combine(h, words, size)
         order = np.lexsort((values, of))
         values, of = values[order], of[order]
