@@ -24,17 +24,28 @@ are empty.  The empty set is a pivot for sizes: linked sizes differ by a factor
 of at most 1/t, so sizes are cut into scales, each with its own D, and a document
 within that factor of a scale's end stands in the next one too.
 
-Recursion.  Inside a region documents are pivots.  All members of other
-components are compared with a pivot exactly, those within reach join its
-component, and the pivot leaves the region.  What is left goes on in the next
-round: small regions compare all pairs between different components, larger
-ones take several pivots again.  A region ends when it holds one component.  The
-first pivot of a region is its smallest class, the same in all regions of a
-group of near copies, so such a group takes about one comparison a member.
-
-Only components are asked for: pairs inside a component need no comparing, and
-two members of different components are always compared before their region
-ends.
+Recursion.  Classes that share a region with another (few, as unrelated texts
+share none) are joined again on a second level.  There the pivots are the
+one-shingle sets {s}: d(x, {s}) is 1 - 1/|x| if s is in x, else 1, so a document
+is nearest to its own shingles, and it stands in the regions of its first k in
+one order, those that few classes have first.  With k = floor((1-t) |x|) + 1 the
+set p of these has d(x, p) = 1 - k/|x|; a y without any of them has d(y, p) = 1
+and lies more than 1 - t away.  If x and y meet at places i and j of their
+orders first, at most min(|x| - i, |y| - j) shingles are common.
+
+In each of these regions the smallest class is a document pivot, the same in all
+regions of a group of near copies: all members are compared with it exactly, and
+links make components.  The members of different components that are left are
+compared pair by pair in blocks of at most ``BLOCK``, so that a region of any
+size is spread over many tasks.  A pair must pass the bounds on sizes and places
+and a bound by ``CLASSES`` more pivots, the parts of the universe by hash: the
+differences of the two documents' counts in the parts add up to at most their
+distance.  Only pairs that pass leave a block, and they are compared exactly.
+
+Only components are asked for: pairs inside a component need no comparing.  The
+order on the second level comes from counters of fixed size (``SKETCH``, one byte
+each when broadcast); shingles that share a counter change the order, never the
+result.
 
 Defined cases: a null or empty text, or one without words, has the empty set, is
 linked with nothing and is its own component; a component of rows without ids
@@ -47,6 +58,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,10 +70,14 @@ from conewise.llm.components import components
 SPARE = 2
 #: Each scale of sizes ends at this multiple of the one before.
 SCALE = 1.5
-#: Members that a region may have to compare all its pairs at once.
-LEAF = 24
-#: Pivots of a larger region in each round after the first.
-PIVOTS = 4
+#: Members that a block of a region holds on average.
+BLOCK = 1024
+#: Parts of the universe whose counts bound a pair's distance.
+CLASSES = 64
+#: Counters of the order on the second level, and how they are cut and added up.
+SKETCH = 1 << 21
+COUNTER_BLOCK = 1 << 17
+FAN_IN = 32
 
 _SALT = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -162,21 +178,54 @@ def replicated(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles): the sets of some classes, from the text of one document of each."""
+    """Written table: (node, n, shingles, profile) of some classes, from the text of one
+    document of each, and rows (part, block, counts) of counters of their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SKETCH, np.uint32)
         for batch in batches:
             values, counts = shingles.sets(_texts(batch), size)
-            at, raw = _bounds(counts) * 8, values.tobytes()
+            seen += np.bincount((values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
+            at, raw = (_bounds(counts) * 8).tolist(), values.tobytes()
+            profiles = np.zeros(len(counts) * CLASSES, np.int64)
+            np.add.at(profiles, np.repeat(np.arange(len(counts)), counts) * CLASSES + (values >> np.uint64(58)).astype(np.int64) % CLASSES, 1)
+            profiles = np.minimum(profiles, 65535).astype("<u2").reshape(-1, CLASSES)
+            none = [pa.nulls(len(counts), t) for t in (pa.int64(), pa.int32(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())],
-                ["node", "shingles"])
+                [batch.column("node"), pa.array(counts), pa.array([raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                 pa.array([p.tobytes() for p in profiles], pa.binary()), *none], names)
+        if seen.any():
+            blocks = SKETCH // COUNTER_BLOCK
+            none = [pa.nulls(blocks, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays(
+                [*none, pa.array([TaskContext.get().partitionId()] * blocks, pa.int64()), pa.array(range(blocks), pa.int32()),
+                 pa.array([c.tobytes() for c in seen.reshape(blocks, -1)], pa.binary())], names)
 
+    schema = "node long, n long, shingles binary, profile binary, part long, block int, counts binary"
+    names = [c.split()[0] for c in schema.split(", ")]
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), plain_text().alias("text"))
     texts = texts.select("id", F.xxhash64("text").alias("text_hash"), "text")
     chosen = texts.join(wanted, (texts.text_hash == wanted.tie) & texts.id.eqNullSafe(wanted.doc_id)).select("node", "text")
-    found = chosen.mapInArrow(run, "node long, shingles binary")
-    return written(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "class-sets", TEXT_ROWS)
+    return written(chosen.mapInArrow(run, schema), "class-sets", TEXT_ROWS)
+
+
+def shingle_order(counters: DataFrame) -> np.ndarray:
+    """Rank of each counter, one byte: the larger, the more classes have its shingles."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in table.column("counts").to_pylist())
+        total = np.minimum(total, np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        return pa.table({"part": table.column("part").slice(0, 1), "block": table.column("block").slice(0, 1), "counts": [total.tobytes()]})
+
+    parts = (counters.agg(F.max("part")).first()[0] or 0) + 1
+    while parts > 1:
+        parts = -(-parts // FAN_IN)
+        counters = written(counters.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "block")
+                           .applyInArrow(add, "part long, block int, counts binary"), "counters")
+    total = np.zeros(SKETCH, np.uint32)
+    for r in counters.collect():  # SKETCH counters, whatever the input
+        total[r["block"] * COUNTER_BLOCK : (r["block"] + 1) * COUNTER_BLOCK] = np.frombuffer(r["counts"], np.uint32)
+    return np.floor(4 * np.log2(total.astype(np.float64) + 1)).astype(np.uint8)
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -197,68 +246,133 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def region_members(copies: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members (s, node, n) of regions that at least two classes share."""
-    shared = (copies.groupBy("s").agg(F.min("hi").alias("low"), F.max("hi").alias("high"))
+def shared_regions(members: DataFrame, who: str) -> DataFrame:
+    """Members of regions (s) that at least two different ones share."""
+    shared = (members.groupBy("s").agg(F.min(who).alias("low"), F.max(who).alias("high"))
               .filter("low <> high").select("s"))
-    in_shared = copies.join(written(shared, "shared"), "s").distinct()
-    return written(in_shared.join(classes.select("hi", "node", "n"), "hi").select("s", "node", "n"), "members")
-
-
-def _with_two_components(members: DataFrame) -> DataFrame:
-    """Members of regions that hold more than one component, with the region's ``size``."""
-    open_ = (members.groupBy("s").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-             .filter("low < high").select("s", "size"))
-    return written(members.join(written(open_, "open"), "s"), "members")
+    return members.join(written(shared, "shared").hint("merge"), "s")  # the same join at every size
 
 
-def _near(n: str, m: str, percent: int):
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m))
+def second_level(sets: DataFrame, order, percent: int) -> DataFrame:
+    """Members (s, node, n, place) of the regions of single shingles."""
 
-
-def _against_pivots(members: DataFrame, salts: list[int | None], percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of members with their region's pivots, and the members that remain."""
-    chosen = [F.min(F.struct("node", "comp", "n")) if k is None else
-              F.min_by(F.struct("node", "comp", "n"), F.xxhash64(F.lit(k), "node")) for k in salts]
-    pivots = members.groupBy("s").agg(F.array_distinct(F.array(*chosen)).alias("pivots"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = order.value
+        for batch in batches:
+            counts = batch.column("n").to_numpy()
+            values = np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)
+            of = np.repeat(np.arange(len(counts)), counts)
+            at = np.lexsort((values, rank[(values & np.uint64(SKETCH - 1)).astype(np.int64)], of))
+            place = np.arange(len(values)) - np.repeat(_bounds(counts)[:-1], counts)
+            chosen = place <= (counts * (100 - percent) // 100)[of]
+            who = of[chosen]
+            yield pa.RecordBatch.from_pydict({
+                "s": values[at][chosen].view(np.int64), "node": batch.column("node").to_numpy()[who], "n": counts[who],
+                "place": place[chosen]})
+
+    members = written(sets.select("node", "n", "shingles").mapInArrow(run, "s long, node long, n long, place long"), "second-level", TEXT_ROWS)
+    return written(shared_regions(members, "node"), "members")
+
+
+def _reachable(n: str, place: str, m: str, other: str, percent: int):
+    """Bounds on the sizes and places at which two sets meet first."""
+    n, place, m, other = (F.col(c) for c in (n, place, m, other))
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (F.least(n - place, m - other) * (100 + percent) >= percent * (n + m)))
+
+
+def against_pivots(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each member with the smallest class of its region."""
+    pivots = members.groupBy("s").agg(F.min(F.struct("node", "n", "place")).alias("p"))
     met = members.join(written(pivots, "pivots"), "s")
-    pairs = (met.select("node", "comp", "n", F.explode("pivots").alias("p"))
-             .filter((F.col("comp") != F.col("p.comp")) & _near("n", "p.n", percent))
-             .select(F.greatest("node", "p.node").alias("a"), F.least("node", "p.node").alias("b")))
-    rest = met.filter(~F.array_contains(F.transform("pivots", lambda p: p["node"]), F.col("node"))).drop("pivots")
-    return pairs, rest
-
-
-def _all_pairs(leaves: DataFrame, percent: int) -> DataFrame:
-    """Pairs between components in regions of at most LEAF members."""
-    other = leaves.select("s", *[F.col(c).alias(f"{c}_2") for c in ("node", "comp", "n")])
-    return (leaves.join(other, "s")
-            .filter((F.col("node") > F.col("node_2")) & (F.col("comp") != F.col("comp_2")) & _near("n", "n_2", percent))
-            .select(F.col("node").alias("a"), F.col("node_2").alias("b")))
+    return (met.filter((F.col("node") != F.col("p.node")) & _reachable("n", "place", "p.n", "p.place", percent))
+            .select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct())
+
+
+def left_over(members: DataFrame, profiles: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs of members (s, node, n, place, comp) with different components that pass all bounds."""
+    sizes = members.groupBy("s").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    open_ = written(sizes.filter("low < high").select("s", "size"), "open")
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    dealt = (members.join(open_, "s").join(profiles, "node")
+             .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("s", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     (F.col("own") > F.col("other")).alias("second"), "node", "n", "place", "comp", "profile"))
+    key = ["s", "i", "j"]
+    return (dealt.repartition(*key).sortWithinPartitions(*key)
+            .mapInArrow(_pairs_of_blocks(percent), "a long, b long").distinct())
+
+
+def _pairs_of_blocks(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("s", "i", "j", "second", "node", "n", "place", "comp")}
+            columns["profile"] = np.frombuffer(b"".join(batch.column("profile").to_pylist()), "<u2").reshape(-1, CLASSES)
+            if rest is not None:
+                columns = {c: np.concatenate((rest[c], v)) for c, v in columns.items()}
+            starts = _block_starts(columns)
+            rest = {c: v[starts[-1] :] for c, v in columns.items()}  # the last block may go on
+            yield from _pairs({c: v[: starts[-1]] for c, v in columns.items()}, starts, percent)
+        if rest is not None:
+            yield from _pairs(rest, np.append(_block_starts(rest), len(rest["s"])), percent)
+
+    return run
+
+
+def _block_starts(columns: dict[str, np.ndarray]) -> np.ndarray:
+    new = np.ones(len(columns["s"]), bool)
+    new[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in ("s", "i", "j")], axis=0)
+    return np.flatnonzero(new)
+
+
+def _pairs(c: dict[str, np.ndarray], starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs within the blocks that start at ``starts`` (and end at its last)."""
+    if not len(c["s"]):
+        return
+    own = np.searchsorted(starts, np.arange(len(c["s"])), side="right")
+    size = np.bincount(own)[own]
+    small = np.flatnonzero(size <= 32)
+    for k in range(1, int(size[small].max(initial=1))):
+        x, y = small[:-k], small[k:]
+        same = own[x] == own[y]
+        yield from _passing(c, x[same], y[same], percent)
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if b - a > 32:
+            for at in range(a, b - 1, 256):
+                x = np.arange(at, min(at + 256, b))
+                x, y = (g.ravel() for g in np.meshgrid(x, np.arange(at + 1, b), indexing="ij"))
+                yield from _passing(c, x[x < y], y[x < y], percent)
+
+
+def _passing(c: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+    n, place = c["n"], c["place"]
+    ok = c["comp"][x] != c["comp"][y]
+    ok &= (c["i"][x] == c["j"][x]) | (c["second"][x] != c["second"][y])
+    ok &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+    ok &= np.minimum(n[x] - place[x], n[y] - place[y]) * (100 + percent) >= percent * (n[x] + n[y])
+    x, y = x[ok], y[ok]
+    for at in range(0, len(x), 50_000):
+        u, v = x[at : at + 50_000], y[at : at + 50_000]
+        apart = np.abs(c["profile"][u].astype(np.int32) - c["profile"][v]).sum(axis=1)
+        near = apart * (100 + percent) <= (100 - percent) * (n[u] + n[v])
+        a, b = c["node"][u[near]], c["node"][v[near]]
+        if len(a):
+            yield pa.RecordBatch.from_pydict({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
 
 def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(node, comp) of all linked classes, by rounds of pivots inside the regions; None without links."""
-    links = found = None
-    comps_in = members.withColumn("comp", F.col("node")).withColumn("size", F.lit(0))
-    for round_ in range(1 << 30):
-        if comps_in.isEmpty():
-            break
-        if round_ == 0:  # the smallest class of every region, even of small ones
-            pairs, rest = _against_pivots(comps_in, [None], percent)
-        else:
-            leaves = comps_in.filter(F.col("size") <= LEAF)
-            pairs, rest = _against_pivots(comps_in.filter(F.col("size") > LEAF), [round_ * PIVOTS + i for i in range(PIVOTS)], percent)
-            pairs = pairs.unionByName(_all_pairs(leaves, percent))
-        rest = written(rest.select("s", "node", "n"), "rest")
-        new = written(linked(pairs.distinct(), sets, percent), "links", PAIR_ROWS)
-        links = new if links is None else links.unionByName(new)
-        if not new.isEmpty():
-            found = components(links)
-        labelled = rest.withColumn("comp", F.col("node")) if found is None else (
-            rest.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        comps_in = _with_two_components(labelled)
-    return found
+    """(node, comp) of all linked classes; None without links."""
+    links = written(linked(against_pivots(members, percent), sets, percent), "links", PAIR_ROWS)
+    found = None if links.isEmpty() else components(links)
+    labelled = members.withColumn("comp", F.col("node")) if found is None else (
+        members.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    pairs = written(left_over(labelled, sets.select("node", "profile"), percent), "left-over")
+    more = written(linked(pairs, sets, percent), "links", PAIR_ROWS)
+    if more.isEmpty():
+        return found
+    return components(links.unionByName(more))
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -275,10 +389,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         rows.filter("n > 0").groupBy("hi", "lo", "n").agg(F.min(first).alias("first"))
         .select("hi", "lo", "n", F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.tie").alias("tie")),
         "classes")
-    members = region_members(replicated(docs, size, percent), classes)
-    wanted = classes.join(members.select("node").distinct(), "node").select("node", "doc_id", "tie")
-    sets = class_sets(docs, written(wanted, "wanted"), size)
-    found = join_components(members, sets, percent)
+    near = shared_regions(replicated(docs, size, percent), "hi").select("hi").distinct()
+    wanted = written(classes.join(near, "hi").select("node", "doc_id", "tie"), "wanted").hint("merge")
+    made = class_sets(docs, wanted, size)
+    order = docs.sparkSession.sparkContext.broadcast(shingle_order(made.filter("block is not null").select("part", "block", "counts")))
+    sets = written(made.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "shingles", "profile")]), "sets")
+    found = join_components(second_level(sets, order, percent), sets, percent)
     of = classes if found is None else classes.join(found, "node", "left")
     of = of.withColumn("comp", F.col("node") if found is None else F.coalesce("comp", "node"))
     keeper = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie"))
@@ -304,7 +420,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with the same id and text are one document and stay or go together.
     """
     columns = docs.columns
-    drop = written(jaccard_components(docs).filter(~F.col("stays")).select("doc_id", "tie").distinct(), "near-copies")
+    drop = written(jaccard_components(docs).filter(~F.col("stays")).select("doc_id", "tie").distinct(), "near-copies").hint("merge")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), F.col("doc_id").cast("long").alias("id"),
                         F.xxhash64(plain_text()).alias("text_hash"))
     return keyed.join(drop, keyed.id.eqNullSafe(drop.doc_id) & (keyed.text_hash == drop.tie), "left_anti").select("doc.*")
