@@ -89,7 +89,8 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, its text without repeated windows, and the number of lines removed."""
     ship(docs.sparkSession)
-    covered = written(covered_lines(docs), "covered-lines")
+    # the same join at every size: by sorting, whether or not the list would fit a broadcast
+    covered = written(covered_lines(docs), "covered-lines").hint("merge")
     keyed = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"),
                         F.xxhash64(plain_text()).alias("text_hash"))
     joined = keyed.join(covered, keyed.id.eqNullSafe(covered.doc_id) & (keyed.text_hash == covered.tie), "left").select(
