@@ -29,16 +29,6 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def ilike_flag(c: ColumnOrName, pattern: str) -> Column:
-    """Case-insensitive LIKE as a 0/1 flag."""
-    return flag(F.lower(col(c)).like(pattern))
-
-
-def bool_flag(cond: Column) -> Column:
-    """Condition -> boolean, null counted as false."""
-    return F.coalesce(cond, F.lit(False))
-
-
 def decode(c: ColumnOrName, mapping: Mapping, default=None) -> Column:
     """Simple CASE with a default."""
     c = col(c)
@@ -158,19 +148,15 @@ def daypart(hour: ColumnOrName) -> Column:
 
 
 def segment(total_orders, days, r, f, m) -> Column:
-    """Ordered 9-way customer segment."""
-    total_orders, days, r, f, m = map(col, (total_orders, days, r, f, m))
-    return (
-        F.when(F.coalesce(total_orders, F.lit(0)) == 0, F.lit(R.SEGMENT_NO_PURCHASE))
-        .when((days <= 30) & (total_orders <= 2), F.lit("Nuevo"))
-        .when((r >= 6) & (f >= 5) & (m >= 4), F.lit("VIP"))
-        .when((r >= 5) & (f >= 4), F.lit("Leal"))
-        .when((r >= 5) & (m >= 3) & (f <= 3), F.lit("Potencial"))
-        .when((r <= 3) & (f >= 4), F.lit("En riesgo"))
-        .when((r <= 2) & (f >= 3), F.lit("Dormido"))
-        .when((r <= 2) & (f <= 2), F.lit("Perdido"))
-        .otherwise(F.lit(R.SEGMENT_DEFAULT))
-    )
+    """Ordered customer segments, first match wins (``rules.SEGMENT_RULES``)."""
+    value = {"orders": col(total_orders), "days": col(days), "r": col(r), "f": col(f), "m": col(m)}
+    out = F.when(F.coalesce(value["orders"], F.lit(0)) == 0, F.lit(R.SEGMENT_NO_PURCHASE))
+    for label, limits in R.SEGMENT_RULES:
+        cond = F.lit(True)
+        for name, side, bound in limits:
+            cond = cond & (value[name] <= bound if side == "<=" else value[name] >= bound)
+        out = out.when(cond, F.lit(label))
+    return out.otherwise(F.lit(R.SEGMENT_DEFAULT))
 
 
 def preferred_of_three(a: ColumnOrName, b: ColumnOrName, c: ColumnOrName,
@@ -215,29 +201,13 @@ def not_blank(c: ColumnOrName) -> Column:
 
 
 def ddiv(x: ColumnOrName, y: ColumnOrName) -> Column:
-    """Exact decimal division keeping 16 decimals (null when y is 0).
+    """Exact decimal division keeping 12 decimals (null when y is 0).
 
     Spark sizes a decimal quotient from the operand precisions and, past 38
-    digits, cuts its scale down to 6, which would round twice.  Sizing the
-    operands first (18 integer digits for amounts) keeps 16 decimals.
+    digits, cuts its scale down to 6, which would round twice.  The operands are
+    sized first: amounts up to 10**22 and divisors up to 10**28 keep 12 decimals.
     """
-    return F.try_divide(col(x).cast("decimal(28,10)"), col(y).cast("decimal(14,4)"))
-
-
-def safe_ratio(x: ColumnOrName, y: ColumnOrName, scale: float = 1.0, digits: int | None = None,
-               default=None, positive_only: bool = True) -> Column:
-    """``scale * x / y`` guarded: y > 0 (or y != 0) else ``default``.
-
-    Computed in DECIMAL (exact, HALF_UP) when the inputs are decimals.
-    """
-    x, y = col(x), col(y)
-    guard = (y > 0) if positive_only else (y != 0)
-    from decimal import Decimal
-    num = x * F.lit(Decimal(str(scale))) if scale != 1.0 else x
-    val = ddiv(num, y)
-    if digits is not None:
-        val = F.round(val, digits)
-    return F.when(guard, val).otherwise(F.lit(default))
+    return F.try_divide(col(x).cast("decimal(32,10)"), col(y).cast("decimal(32,4)"))
 
 
 def pct(x: ColumnOrName, y: ColumnOrName, digits: int = 1, default=0) -> Column:

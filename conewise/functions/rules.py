@@ -148,6 +148,19 @@ PNL_INVESTMENT = "Inversion"
 CASH_OUT_MEANS = [("egresos_efectivo", "efectivo"), ("egresos_tarjeta", "tarjeta_credito"),
                   ("egresos_mp", "mercadopago"), ("egresos_otro", "otro")]
 
-# --- Customer segments, evaluated in order (see functions.columns.segment).
+# --- Customer segments, evaluated in order; each rule is (label, [(value, side, bound)])
+# over days since the last order, number of orders and the three scores.
 SEGMENT_NO_PURCHASE = "Sin compras"
+SEGMENT_RULES = [
+    ("Nuevo", [("days", "<=", 30), ("orders", "<=", 2)]),
+    ("VIP", [("r", ">=", 6), ("f", ">=", 5), ("m", ">=", 4)]),
+    ("Leal", [("r", ">=", 5), ("f", ">=", 4)]),
+    ("Potencial", [("r", ">=", 5), ("m", ">=", 3), ("f", "<=", 3)]),
+    ("En riesgo", [("r", "<=", 3), ("f", ">=", 4)]),
+    ("Dormido", [("r", "<=", 2), ("f", ">=", 3)]),
+    ("Perdido", [("r", "<=", 2), ("f", "<=", 2)]),
+]
 SEGMENT_DEFAULT = "Ocasional"
+
+# --- Retention columns and the labels that reports show for them.
+RETENTION_LABELS = {"retencion_30d_pct": "30 dias", "retencion_60d_pct": "60 dias", "retencion_90d_pct": "90 dias"}

@@ -33,13 +33,6 @@ def sum_when(cond: Column, value: Column | str, zero=0) -> Column:
     return F.sum(F.when(cond, v).otherwise(F.lit(zero)))
 
 
-def pivot_counts(df: DataFrame, keys: Sequence[str], column: str, values: Mapping[str, str],
-                 prefix: str) -> DataFrame:
-    """One counter column per listed value (``<prefix><label>``)."""
-    aggs = [count_when(F.col(column) == F.lit(v)).alias(f"{prefix}{label}") for label, v in values.items()]
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def join_ids(df: DataFrame, key: str, id_col: str, name: str, sep: str = ", ",
              bucket: int = 100_000) -> DataFrame:
     """Ordered id list ``'1, 2, 3'`` per key.

@@ -86,11 +86,6 @@ def global_ntile(df: DataFrame, order: Sequence[Column], n: int, name: str = "nt
     )
 
 
-def small_row_number(df: DataFrame, order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """Plain window rank for frames bounded by the calendar (days, months, categories)."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
-
 def small_ntile(df: DataFrame, order: Sequence[Column], n: int, name: str = "ntile") -> DataFrame:
     """Plain window ntile for calendar-sized frames (e.g. one row per day)."""
     return df.withColumn(name, F.ntile(n).over(Window.orderBy(*order)).cast("bigint"))

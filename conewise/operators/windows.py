@@ -32,16 +32,19 @@ def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.groupBy(*keys).agg(agg).select(*keys, "_pick.*")
 
 
-def nth_per(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str],
-            id_col: str, n: int = 2) -> DataFrame:
-    """The n-th newest row per key (n small), by repeated newest-pick and anti join."""
-    rest = df
-    cols = list(dict.fromkeys([*keys, *payload, id_col]))
-    picked = None
-    for _ in range(n):
-        picked = latest_per(rest, keys, order, cols[len(keys):])
-        rest = rest.join(picked.select(*keys, id_col), [*keys, id_col], "left_anti")
-    return picked
+def newest_two(df: DataFrame, key: str, order: Sequence[str],
+               payload: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The newest row per key and the one before it, from one scan.
+
+    One aggregate finds the newest ``order`` tuple, a second, over rows below it,
+    the one before; ``order`` must end with a unique column.
+    """
+    rank = F.struct(*[F.col(c) for c in order])
+    row = F.struct(*[F.col(c) for c in payload])
+    top = df.groupBy(key).agg(F.max(rank).alias("_top"), F.max_by(row, rank).alias("_row"))
+    below = df.join(top.select(key, "_top"), key).filter(rank < F.col("_top"))
+    previous = below.groupBy(key).agg(F.max_by(row, rank).alias("_row"))
+    return top.select(key, "_row.*"), previous.select(key, "_row.*")
 
 
 def first_event(df: DataFrame, key: str, ts: str, id_col: str,
@@ -60,12 +63,6 @@ def first_event(df: DataFrame, key: str, ts: str, id_col: str,
               .drop("_first_id"))
 
 
-def partition_count(df: DataFrame, key: str, name: str = "n_in_group") -> DataFrame:
-    """``count(*) over (partition by key)`` as aggregate + join back."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return df.join(counts, key, "left")
-
-
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 2,
                    scale: float = 100.0) -> DataFrame:
     """``scale * x / sum(x) over ()`` via a 1-row total, broadcast."""

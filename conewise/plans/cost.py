@@ -29,18 +29,30 @@ def cost_index(costos: DataFrame) -> DataFrame:
         "mes", "avg_costo_kg", F.try_divide(F.col("avg_costo_kg"), F.col("avg_ref")).alias("factor"))
 
 
-def order_cost(pedidos: DataFrame, lineas: DataFrame, sabores_linea: DataFrame,
+def line_flavours(lineas: DataFrame, sabores_linea: DataFrame, productos: DataFrame) -> DataFrame:
+    """One row per line and flavour with the line's product weight and number of flavours.
+
+    The only join of lines with flavours in the warehouse: cost, fact and
+    flavour rankings all read this table.
+    """
+    per_line = sabores_linea.groupBy("pedido_producto_id").agg(F.count(F.lit(1)).alias("sabores_en_producto"))
+    return (sabores_linea.select("pedido_producto_id", "sabor_id").join(per_line, "pedido_producto_id")
+            .join(lineas.select("pedido_producto_id", "pedido_id", "producto_id"), "pedido_producto_id")
+            .join(productos.select("producto_id", "peso_kg"), "producto_id", "left")
+            .select("pedido_id", "pedido_producto_id", "sabor_id", "peso_kg", "sabores_en_producto"))
+
+
+def order_cost(pedidos: DataFrame, lineas: DataFrame, sabores: DataFrame,
                productos: DataFrame, costos: DataFrame,
                pot_tiers=R.POT_TIERS, pot_default=R.POT_DEFAULT, bag_cost=R.BAG_COST) -> DataFrame:
+    """``sabores`` is ``line_flavours``."""
     pf = order_dates(pedidos)
     weighed = productos.filter(F.col("peso_kg") > 0).select("producto_id", "peso_kg",
                                                             F.col("nombre").alias("producto_nombre"))
     lines = lineas.select("pedido_id", "pedido_producto_id", "producto_id").join(weighed, "producto_id")
-    # flavours per line, counted before the cost join (W10 as an aggregate, no window)
-    per_line = sabores_linea.groupBy("pedido_producto_id").agg(F.count(F.lit(1)).alias("sabores_en_producto"))
     index = cost_index(costos)
 
-    ls = (lines.join(sabores_linea.select("pedido_producto_id", "sabor_id"), "pedido_producto_id")
+    ls = (sabores.filter(F.col("peso_kg") > 0)
           .join(pf, "pedido_id")
           .join(costos.select("sabor_id", "mes", "costo_por_kg"), ["sabor_id", "mes"], "left")
           # one row per month: bounded by the calendar
@@ -49,11 +61,11 @@ def order_cost(pedidos: DataFrame, lineas: DataFrame, sabores_linea: DataFrame,
     # Each flavour gets kg / n of the line; summing its costs per line first and
     # dividing once is the same amount, computed exactly (no per-flavour rounding)
     # and on one row per line instead of one per flavour.
-    per_line_cost = ls.groupBy("pedido_id", "pedido_producto_id", "peso_kg").agg(
+    per_line_cost = ls.groupBy("pedido_id", "pedido_producto_id", "peso_kg", "sabores_en_producto").agg(
         F.sum(F.coalesce("costo_por_kg", "avg_costo_kg", F.lit(0))).alias("_sum_cost"),
         F.count(F.lit(1)).alias("_rows"),
         F.sum(C.flag(exact)).alias("_exact"),
-    ).join(per_line, "pedido_producto_id")
+    )
     line_cost = F.try_divide(F.col("peso_kg") * F.col("_sum_cost"),
                              F.nullif(F.col("sabores_en_producto"), F.lit(0)))
     ingredients = per_line_cost.groupBy("pedido_id").agg(

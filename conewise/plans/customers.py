@@ -11,7 +11,8 @@ from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import count_when, join_ids, sum_when
 from conewise.operators.rank import global_ntile
-from conewise.operators.windows import lag_change, latest_per, nth_per
+from conewise.operators.windows import lag_change, latest_per, newest_two
+from conewise.sources.sinks import cut_lineage
 
 # ---------------------------------------------------------------- D02
 
@@ -22,8 +23,7 @@ ADDRESS_PAYLOAD = ["direccion_id", "direccion", "piso", "depto", "barrio", "lati
 def customer_profile(clientes: DataFrame, mails: DataFrame, direcciones: DataFrame,
                      zonas: DataFrame) -> DataFrame:
     order = ["created_at", "direccion_id"]
-    newest = latest_per(direcciones, ["cliente_id"], order, ADDRESS_PAYLOAD)
-    previous = nth_per(direcciones, ["cliente_id"], order, ADDRESS_PAYLOAD, "direccion_id", 2)
+    newest, previous = newest_two(direcciones, "cliente_id", order, ADDRESS_PAYLOAD)
     zm = direcciones.join((zonas.select("zona_id", "distancia_max_km", "demora_estimada_minutos")),
                           "zona_id").groupBy("cliente_id").agg(
         F.max("demora_estimada_minutos").alias("demora_estimada_max"),
@@ -40,11 +40,11 @@ def customer_profile(clientes: DataFrame, mails: DataFrame, direcciones: DataFra
     per_ident = members.groupBy("cliente_id_mail_phone").agg(
         F.max_by("cliente_id", F.struct("created_at", "cliente_id")).alias("_newest_id"),
         F.count(F.lit(1)).alias("total_clientes_identidad"))
-    older = members.join(per_ident, "cliente_id_mail_phone").filter(F.col("cliente_id") != F.col("_newest_id"))
-    earlier = join_ids(older, "cliente_id_mail_phone", "cliente_id", "cliente_ids_anteriores")
-    member_info = members.join(per_ident, "cliente_id_mail_phone").select(
-        "cliente_id", "total_clientes_identidad",
-        (F.col("cliente_id") == F.col("_newest_id")).alias("_is_newest"))
+    member_info = cut_lineage(members.join(per_ident, "cliente_id_mail_phone").select(
+        "cliente_id", "cliente_id_mail_phone", "total_clientes_identidad",
+        (F.col("cliente_id") == F.col("_newest_id")).alias("_is_newest")))
+    earlier = join_ids(member_info.filter(~F.col("_is_newest")), "cliente_id_mail_phone", "cliente_id", "cliente_ids_anteriores")
+    member_info = member_info.drop("cliente_id_mail_phone")
 
     ud = newest.select("cliente_id", *[F.col(c).alias(f"ud_{c}") for c in ADDRESS_PAYLOAD])
     da = previous.select("cliente_id", *[F.col(c).alias(f"da_{c}") for c in ADDRESS_PAYLOAD])
@@ -95,8 +95,7 @@ def customer_dimension(clientes: DataFrame, mails: DataFrame, direcciones: DataF
                   "cliente_id"))
     main_addr = latest_per(addr, ["cliente_id_mail_phone"], ["_dc", "direccion_id"], ["barrio", "direccion"])
 
-    d = fact.filter(F.col("estado_id") == R.STATUS_DELIVERED).drop("cliente_id_mail_phone").join(
-        ident.select("cliente_id", "cliente_id_mail_phone"), "cliente_id")
+    d = fact.filter((F.col("estado_id") == R.STATUS_DELIVERED) & F.col("cliente_id_mail_phone").isNotNull())
     per = d.groupBy("cliente_id_mail_phone").agg(
         F.count(F.lit(1)).alias("total_pedidos"), F.sum("total").alias("total_gastado"),
         F.round(F.avg("total"), 2).alias("ticket_promedio"), F.sum("kg_total").alias("kg_total"),

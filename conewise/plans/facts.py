@@ -12,7 +12,7 @@ from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import count_when, sum_when
 from conewise.operators.rank import small_ntile
-from conewise.operators.windows import first_event, latest_per
+from conewise.operators.windows import first_event
 
 
 # ---------------------------------------------------------------- D05
@@ -68,15 +68,21 @@ def fx_period_average(dolar: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- D06
 
-def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores_linea, productos,
+def _left_where_known(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key`` that keeps rows with a null key out of the shuffle."""
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields if f.name != key]
+    known = df.filter(F.col(key).isNotNull()).join(side, key, "left")
+    return known.unionByName(df.filter(F.col(key).isNull()).select("*", *missing))
+
+
+def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores, productos,
                costos, dolar, primer, mails) -> DataFrame:
-    """One row per order with calendar, money, counts, kg, cost, margin and USD."""
+    """One row per order with calendar, money, counts, kg, cost, margin and USD; ``sabores`` is ``cost.line_flavours``."""
     # per-order pre-aggregates (map-side combined before any join)
     lp = lineas.select("pedido_id", "pedido_producto_id", "producto_id")
     prod_kg = lp.join(productos.select("producto_id", "peso_kg"), "producto_id", "left").groupBy("pedido_id").agg(
         F.count(F.lit(1)).alias("cantidad_productos"), F.sum("peso_kg").alias("kg_total"))
-    flav = lp.join(sabores_linea.select("pedido_producto_id", "sabor_id"), "pedido_producto_id", "left") \
-        .groupBy("pedido_id").agg(F.countDistinct("sabor_id").alias("cantidad_sabores"))
+    flav = sabores.groupBy("pedido_id").agg(F.countDistinct("sabor_id").alias("cantidad_sabores"))
 
     cli = clientes.select("cliente_id", F.col("nombre").alias("cliente_nombre"),
                           F.col("email").alias("cliente_email"), F.col("telefono").alias("cliente_telefono"))
@@ -103,13 +109,14 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores_linea, pro
     # cliente_id skewed; AQE's skew join splits those partitions.
     cust = cli.join(ident, "cliente_id", "left")
     addr = dirs.join(zon, "zona_id", "left").drop("zona_id")
+    # orders without an address are one key of any size: they skip that join
     j = (p.join(prod_kg, "pedido_id", "left")
           .join(flav, "pedido_id", "left")
           .join(costos.select("pedido_id", "costo_ingredientes", "costo_potes", "costo_bolsa", "costo_total"),
                 "pedido_id", "left")
           .join(first, "pedido_id", "left")
           .join(cust, "cliente_id", "left")
-          .join(addr, "direccion_id", "left")
+          .transform(_left_where_known, addr, "direccion_id")
           .join(fx, F.to_date(ts) == F.col("_fx_fecha"), "left"))
     return j.select(
         "pedido_id", "cliente_id", "cliente_id_mail_phone", "direccion_id",
@@ -154,7 +161,7 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores_linea, pro
 def order_wide(fact: DataFrame, clima: DataFrame, perfil: DataFrame, mails: DataFrame,
                dim_clientes: DataFrame, direcciones: DataFrame, zonas: DataFrame) -> DataFrame:
     """Order fact + weather + segment + neighbourhood fallback with provenance + zone."""
-    dedup = latest_per(perfil, ["cliente_id"], ["created_at"], ["cliente_id_mail_phone", "ultimo_barrio"])
+    dedup = perfil.select("cliente_id", "cliente_id_mail_phone", "ultimo_barrio")  # one row per customer
     seg = (mails.filter(F.col("cliente_id_mail_phone").isNotNull()).select("cliente_id", "cliente_id_mail_phone")
            .join(dim_clientes.select("cliente_id_mail_phone", "segmento_cliente"), "cliente_id_mail_phone")
            .select("cliente_id", "segmento_cliente"))

@@ -60,17 +60,12 @@ def product_ranking(lineas, pedidos, productos, categorias, costos, dolar) -> Da
 
 # ---------------------------------------------------------------- D21
 
-def flavour_ranking(sabores_linea, lineas, productos, pedidos, costos, sabores, categorias, dolar,
+def flavour_ranking(line_flavours, pedidos, costos, sabores, categorias, dolar,
                     multiplier: int = R.FLAVOUR_PRICE_MULTIPLIER) -> DataFrame:
     delivered = pedidos.filter(F.col("estado_id") == R.STATUS_DELIVERED).select("pedido_id", "created_at")
-    per_line = sabores_linea.groupBy("pedido_producto_id").agg(F.count(F.lit(1)).alias("_n"))
-    ls = (sabores_linea.select("pedido_producto_id", "sabor_id")
-          .join(lineas.select("pedido_producto_id", "pedido_id", "producto_id"), "pedido_producto_id")
-          .join(productos.filter(F.col("peso_kg") > 0).select("producto_id", "peso_kg"), "producto_id")
-          .join(delivered, "pedido_id")
-          .join(per_line, "pedido_producto_id"))
+    ls = line_flavours.filter(F.col("peso_kg") > 0).join(delivered, "pedido_id")
     est = C.season(F.month("created_at"))
-    kg = F.try_divide(F.col("peso_kg"), F.nullif(F.col("_n"), F.lit(0)))
+    kg = F.try_divide(F.col("peso_kg"), F.nullif(F.col("sabores_en_producto"), F.lit(0)))
     m = ls.groupBy("sabor_id").agg(
         F.count(F.lit(1)).alias("veces_pedido"), F.countDistinct("pedido_id").alias("pedidos_distintos"),
         F.round(F.sum(kg), 2).alias("kg_vendidos"),
@@ -110,10 +105,8 @@ def flavour_ranking(sabores_linea, lineas, productos, pedidos, costos, sabores,
 
 # ---------------------------------------------------------------- D22
 
-def flavour_popularity(sabores_linea, lineas, pedidos, sabores, categorias) -> DataFrame:
-    sp = (sabores_linea.select("pedido_producto_id", "sabor_id")
-          .join(lineas.select("pedido_producto_id", "pedido_id"), "pedido_producto_id")
-          .join(_delivered_active(pedidos).select("pedido_id"), "pedido_id"))
+def flavour_popularity(line_flavours, pedidos, sabores, categorias) -> DataFrame:
+    sp = line_flavours.select("sabor_id", "pedido_id").join(_delivered_active(pedidos).select("pedido_id"), "pedido_id")
     ct = sp.groupBy("sabor_id").agg(F.count(F.lit(1)).alias("_vp"), F.countDistinct("pedido_id").alias("_pd"))
     sc = (categorias.select("categoria_id", F.col("nombre").alias("categoria")))
     j = (sabores.filter(F.col("is_activo") == 1).join(sc, "categoria_id", "left").join(ct, "sabor_id", "left"))
@@ -126,12 +119,11 @@ def flavour_popularity(sabores_linea, lineas, pedidos, sabores, categorias) -> D
 
 # ---------------------------------------------------------------- D24
 
-def zone_delivery(fact: DataFrame, direcciones: DataFrame, mails: DataFrame, zonas: DataFrame) -> DataFrame:
+def zone_delivery(fact: DataFrame, direcciones: DataFrame, zonas: DataFrame) -> DataFrame:
     pd_ = (fact.filter((F.col("estado_id") == R.STATUS_DELIVERED) & (F.col("tipo_retiro") == "delivery"))
-           .select("pedido_id", "cliente_id", "direccion_id", "total", "costo_envio", "demora_minutos",
+           .select("pedido_id", "cliente_id_mail_phone", "direccion_id", "total", "costo_envio", "demora_minutos",
                    "distancia_km", "total_usd", "kg_total")
-           .join(direcciones.filter(F.col("zona_id").isNotNull()).select("direccion_id", "zona_id"), "direccion_id")
-           .join(mails.select("cliente_id", "cliente_id_mail_phone"), "cliente_id", "left"))
+           .join(direcciones.filter(F.col("zona_id").isNotNull()).select("direccion_id", "zona_id"), "direccion_id"))
     mz = pd_.groupBy("zona_id").agg(
         F.count(F.lit(1)).alias("total_pedidos"),
         F.countDistinct("cliente_id_mail_phone").alias("total_clientes"),

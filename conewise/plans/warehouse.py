@@ -1,22 +1,21 @@
 """The model graph wired together: one lazily built DataFrame per model.
 
 ``Shop`` takes the raw tables and seeds (any source: the test bindings,
-``sources.raw.read_raw`` over a dump, or CSV seeds) and exposes every staging,
+``sources.readers.read_raw`` over a dump, or CSV seeds) and exposes every staging,
 intermediate and mart model as an attribute.  Each model is built once per
 ``Shop`` and shared by its consumers, so one Spark plan reuses the same
-sub-plan (and its exchanges) instead of re-deriving it per consumer.  To cut
-recomputation across separate jobs, ``materialise`` the shared intermediates
-(identity, cost, first order, order fact, FX) with ``sources.sinks``.
+sub-plan (and its exchanges) instead of re-deriving it per consumer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from conewise.plans import cost, customers, facts, finance, identity, ranking, staging
-from conewise.sources.sinks import materialise, table_root
+from conewise.sources.sinks import input_root, materialise_once, remove_folder, table_root
 
 
 def table(fn):
@@ -25,12 +24,9 @@ def table(fn):
     name = fn.__name__
 
     def build(self):
-        df = fn(self)
         if not self.tables:
-            return df
-        if self._root is None:
-            self._root = table_root(df.sparkSession)
-        return materialise(df, name, "table", self._root)
+            return fn(self)
+        return materialise_once(lambda: fn(self), self.spark, f"{self.root}/{name}")
 
     build.__name__ = name
     build.__doc__ = fn.__doc__
@@ -38,24 +34,44 @@ def table(fn):
 
 
 class Shop:
-    """``tables=True`` writes the shared intermediates and the facts once per
-    build (identity, first order, cost, order fact, customer dimension, daily
-    fact), so each consumer starts from files instead of re-deriving them.
-    Staging models stay views: they are projections of a scan."""
+    """``tables=True`` writes the shared intermediates and the facts once
+    (identity, line flavours, first order, cost, order fact, customer dimension,
+    daily fact), so each consumer starts from files instead of re-deriving them.
+    Staging models stay views: they are projections of a scan.
+
+    ``root`` is the folder of the tables.  Shops over the same input in one
+    session share it and build each table once; ``close()`` removes it."""
 
-    def __init__(self, raw: dict[str, DataFrame], as_of: str, points_as_of: str | None = None,
-                 tables: bool = True):
+    def __init__(self, raw: Mapping[str, DataFrame], as_of: str, points_as_of: str | None = None,
+                 tables: bool = True, root: str | None = None, spark: SparkSession | None = None):
         self.raw = raw
         self.as_of = as_of
         self.points_as_of = points_as_of or as_of
         self.tables = tables
-        self._root: str | None = None
+        self._spark, self._root = spark, root
+
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark or next(iter(self.raw.values())).sparkSession
+
+    @property
+    def root(self) -> str:
+        if self._root is None:
+            self._root = table_root(self.spark)
+        return self._root
+
+    def close(self) -> None:
+        """Remove the tables; the shop builds them anew if asked again."""
+        remove_folder(self.spark, self.root)
+        for name in [n for n, v in vars(type(self)).items() if isinstance(v, cached_property)]:
+            self.__dict__.pop(name, None)
 
     @classmethod
     def from_test_tables(cls, spark: SparkSession, sf_dir: str, as_of: str = "2001-09-01",
-                         points_as_of: str = "2024-02-01", tables: bool = True) -> "Shop":
+                         points_as_of: str = "2024-02-01", tables: bool = True, fresh: bool = False) -> Shop:
         from conewise.sources.testdata import raw_tables
-        return cls(raw_tables(spark, sf_dir), as_of, points_as_of, tables)
+        root = table_root(spark) if fresh else input_root(spark, sf_dir, "shop", as_of, points_as_of)
+        return cls(raw_tables(spark, sf_dir), as_of, points_as_of, tables, root, spark)
 
     # ------------------------------------------------------------ staging
     @cached_property
@@ -123,9 +139,13 @@ class Shop:
     @table
     def int_primer_pedido(self): return facts.first_order(self.stg_pedidos, self.dim_mails)  # noqa: E704
 
+    @table
+    def line_flavours(self):  # noqa: E704
+        return cost.line_flavours(self.stg_pedidos_productos, self.stg_pedidos_productos_sabores, self.stg_productos)
+
     @table
     def int_costos_pedido(self):  # noqa: E704
-        return cost.order_cost(self.stg_pedidos, self.stg_pedidos_productos, self.stg_pedidos_productos_sabores,
+        return cost.order_cost(self.stg_pedidos, self.stg_pedidos_productos, self.line_flavours,
                                self.stg_productos, self.stg_costos_sabores)
 
     @table
@@ -140,7 +160,7 @@ class Shop:
     @table
     def fct_pedidos(self):  # noqa: E704
         return facts.order_fact(self.stg_pedidos, self.stg_clientes, self.stg_clientes_direcciones, self.stg_zonas,
-                                self.stg_pedidos_productos, self.stg_pedidos_productos_sabores, self.stg_productos,
+                                self.stg_pedidos_productos, self.line_flavours, self.stg_productos,
                                 self.int_costos_pedido, self.stg_dolar_blue, self.int_primer_pedido, self.dim_mails)
 
     @cached_property
@@ -189,14 +209,13 @@ class Shop:
 
     @cached_property
     def rpt_sabores(self):  # noqa: E704
-        return ranking.flavour_ranking(self.stg_pedidos_productos_sabores, self.stg_pedidos_productos,
-                                       self.stg_productos, self.stg_pedidos, self.stg_costos_sabores,
+        return ranking.flavour_ranking(self.line_flavours, self.stg_pedidos, self.stg_costos_sabores,
                                        self.stg_sabores, self.stg_sabores_categorias, self.stg_dolar_blue)
 
     @cached_property
     def rpt_sabores_populares(self):  # noqa: E704
-        return ranking.flavour_popularity(self.stg_pedidos_productos_sabores, self.stg_pedidos_productos,
-                                          self.stg_pedidos, self.stg_sabores, self.stg_sabores_categorias)
+        return ranking.flavour_popularity(self.line_flavours, self.stg_pedidos, self.stg_sabores,
+                                          self.stg_sabores_categorias)
 
     @cached_property
     def rpt_puntos(self):  # noqa: E704
@@ -204,10 +223,12 @@ class Shop:
 
     @cached_property
     def rpt_zonas(self):  # noqa: E704
-        return ranking.zone_delivery(self.fct_pedidos, self.stg_clientes_direcciones, self.dim_mails,
-                                     self.stg_zonas)
+        return ranking.zone_delivery(self.fct_pedidos, self.stg_clientes_direcciones, self.stg_zonas)
+
+    @cached_property
+    def egresos_numerados(self): return staging.with_expense_ids(self.stg_egresos)  # noqa: E704
 
-    # marts exported for reports (the fixed list of 13)
+    # The marts exported for reports.
     EXPORTED = ["fct_ventas_diarias", "fct_pedidos", "dim_clientes", "rpt_productos_vendidos", "rpt_sabores",
                 "rpt_pnl", "rpt_cash_flow", "rpt_egresos", "rpt_rfm", "rpt_margenes", "rpt_puntos", "rpt_zonas",
                 "rpt_clientes_nuevos"]

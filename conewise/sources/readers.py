@@ -15,32 +15,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conewise.sources.sinks import materialise
 
-def source_type(db_type: str) -> T.DataType:
-    """A source-database column type (as written in the dump's DDL) -> Spark type.
 
-    Same mapping as the source loader: any INT -> INTEGER (BIGINT for BIG...),
-    DECIMAL(p,s) kept (DECIMAL(10,2) when unsized), FLOAT/DOUBLE -> DOUBLE,
-    text types -> STRING, BLOB -> BINARY, DATETIME/TIMESTAMP -> TIMESTAMP,
-    DATE -> DATE, TIME -> STRING (Spark has no TIME type), anything else -> STRING.
+#: Base type names of the source database and their Spark types.
+BASE_TYPES: dict[str, T.DataType] = {
+    "TINYINT": T.IntegerType(), "SMALLINT": T.IntegerType(), "MEDIUMINT": T.IntegerType(),
+    "INT": T.IntegerType(), "INTEGER": T.IntegerType(), "BIGINT": T.LongType(),
+    "DECIMAL": T.DecimalType(10, 2), "FLOAT": T.DoubleType(), "DOUBLE": T.DoubleType(),
+    "CHAR": T.StringType(), "VARCHAR": T.StringType(), "ENUM": T.StringType(),
+    "TINYTEXT": T.StringType(), "TEXT": T.StringType(), "MEDIUMTEXT": T.StringType(), "LONGTEXT": T.StringType(),
+    "TINYBLOB": T.BinaryType(), "BLOB": T.BinaryType(), "MEDIUMBLOB": T.BinaryType(), "LONGBLOB": T.BinaryType(),
+    "DATETIME": T.TimestampType(), "TIMESTAMP": T.TimestampType(), "DATE": T.DateType(),
+}
+#: An unsigned integer needs the next wider type.
+UNSIGNED_TYPES = {T.IntegerType(): T.LongType(), T.LongType(): T.DecimalType(20, 0)}
+_DECLARATION = re.compile(r"\s*(?P<base>[A-Za-z]+)\s*(?:\((?P<size>[^)]*)\))?(?P<rest>.*)", re.S)
+
+
+def source_type(declaration: str) -> T.DataType:
+    """A column type as the source database declares it -> Spark type.
+
+    The base type name is looked up; a DECIMAL keeps its own size, unsigned
+    integers widen, and unknown types (TIME, POINT, ...) are read as text.
     """
-    t = db_type.upper().strip()
-    if "INT" in t:
-        return T.LongType() if "BIG" in t else T.IntegerType()
-    if "DECIMAL" in t:
-        m = re.search(r"DECIMAL\s*\((\d+),\s*(\d+)\)", t)
-        return T.DecimalType(int(m.group(1)), int(m.group(2))) if m else T.DecimalType(10, 2)
-    if "FLOAT" in t or "DOUBLE" in t:
-        return T.DoubleType()
-    if any(x in t for x in ("VARCHAR", "CHAR(", "TEXT", "ENUM")):
-        return T.StringType()
-    if "BLOB" in t:
-        return T.BinaryType()
-    if "DATETIME" in t or "TIMESTAMP" in t:
-        return T.TimestampType()
-    if "DATE" in t:
-        return T.DateType()
-    return T.StringType()
+    m = _DECLARATION.match(declaration)
+    base = m["base"].upper() if m else ""
+    found = BASE_TYPES.get(base, T.StringType())
+    if base == "DECIMAL" and m["size"]:
+        digits = [int(x) for x in m["size"].split(",")]
+        return T.DecimalType(digits[0], digits[1] if len(digits) > 1 else 0)
+    if m and "UNSIGNED" in m["rest"].upper():
+        return UNSIGNED_TYPES.get(found, found)
+    return found
 
 
 def schema_from_types(db_types: Mapping[str, str]) -> T.StructType:
@@ -63,20 +70,29 @@ def read_with_quarantine(spark: SparkSession, path: str, schema: T.StructType,
     """CSV read that keeps going past bad records.
 
     Returns (good, bad): good rows typed by ``schema``; bad rows carry the raw
-    line in ``_corrupt_record``.  Count ``bad`` for the error total and take a
-    few of its rows for the report; the load itself never stops.
+    line in ``_corrupt_record`` and their place ``_row``.  The load never stops;
+    ``quarantine_report`` counts the bad rows.  The parsed lines are written once
+    to the shared folder (Spark filters on the corrupt-record column only in a
+    written or cached frame).
     """
     full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
-    df = (spark.read.schema(full).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").options(**options).csv(path))
-    # Spark requires the parsed frame to be cached (or written) before the
-    # corrupt-record column alone can be filtered on
-    df = df.persist()
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    parsed = (spark.read.schema(full).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt_record").options(**options).csv(path))
+    parsed = materialise(parsed.withColumn("_row", F.monotonically_increasing_id()), "parsed")
+    good = parsed.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record", "_row")
+    bad = parsed.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record", "_row")
     return good, bad
 
 
+def quarantine_report(bad: DataFrame, first: int = 3) -> DataFrame:
+    """One row with the number of bad records and the first few of them (a top-k report)."""
+    head = bad.orderBy("_row").limit(first).agg(
+        F.sort_array(F.collect_list(F.struct("_row", "_corrupt_record"))).alias("_first"))
+    lines = F.array_join(F.transform("_first", lambda x: x["_corrupt_record"]), "\n")
+    return bad.agg(F.count(F.lit(1)).alias("errores")).crossJoin(F.broadcast(head)).select(
+        "errores", lines.alias("primeros"))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of every loaded table, one (tabla, filas) row each."""
     parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("filas")).select(F.lit(n).alias("tabla"), "filas")

@@ -6,10 +6,19 @@ zones, products, flavours, categories, deliveries and seven CSV seeds.  Each
 raw table below is a deterministic SELECT over the test tables, written once
 and rendered for two engines: Spark (``spark.sql`` with DataFrame arguments,
 no global views) and DuckDB (the oracle, where the test tables are views).
-Every binding reads whole tables, so the work of every model grows with the
-scale factor.
-
-The arithmetic on keys exists to hit every branch the models have: shared and
+Every binding reads whole tables and every key grows with them: identities are
+small groups of customers that share an e-mail or a phone, plus one catch-all
+e-mail (a fiftieth of the customers), the hot key of the identity models.
+
+Some bindings leave rows out on purpose, as gaps are features of the models:
+``dolar_blue`` has no weekends (the rate is filled forward), ``costos_sabores``
+lacks flavours and months (the month's mean steps in),
+``registro_diario_ventas`` lacks days (sales without a register row),
+``points_clientes`` lacks a tenth of the users (movements without a customer),
+``delivery`` holds delivered orders only, and a tenth of the customers has one
+address.
+
+The arithmetic on keys exists to hit every branch the models have: shared, catch-all and
 blank e-mails, trimmed phones, catch-all customers 0 and 1, order phones with
 ties, missing addresses, products for each weight rule, flavours without a
 cost or without a month, weekend gaps in the rate, days with sales but no
@@ -18,8 +27,12 @@ register row and the reverse, expired and live loyalty points.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
+from conewise.sources.sinks import input_root, materialise_once
+
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 # Product names chosen so that each rule of the weight ladder is
@@ -185,7 +198,7 @@ from (
     {retiro} as tipo_retiro, {pago} as tipo_pago,
     case when o_custkey % 14 = 0
          then concat(case when o_orderkey % 4 = 1 then ' ' else '' end, '77',
-                     {d.s('(o_custkey + o_orderkey % 2) % 53')})
+                     {d.s('o_custkey - o_custkey % 28 + o_orderkey % 2')})
          when o_orderkey % 5 = 0 then '' end as telefono,
     cast(o_totalprice as decimal(12,2)) as total,
     case when o_orderkey % 3 = 0 and o_orderkey % 101 != 0
@@ -207,7 +220,7 @@ select l_orderkey * 8 + l_linenumber as codigo, l_orderkey as id_pedido,
 from {li}
 group by l_orderkey, l_linenumber"""
     q["pedidos_productos_sabores"] = f"""
-select (l_orderkey * 8 + l_linenumber) * 100000 + l_suppkey as codigo,
+select concat({d.s('l_orderkey')}, '-', {d.s('l_linenumber')}, '-', {d.s('l_suppkey')}) as codigo,
   l_orderkey * 8 + l_linenumber as id_pedido_producto, l_suppkey as sabor,
   1 as activo, {d.days('l_shipdate')} * 86400 as fecha_sys,
   {d.days('l_shipdate')} * 86400 as last_fecha_update,
@@ -217,10 +230,11 @@ from {li}"""
 select c_custkey as codigo, c_name as nombre,
   case when c_custkey % 3 = 0 then null when c_custkey % 29 = 1 then ''
        when c_custkey % 31 = 2 then ' '
-       else concat('m', {d.s('c_custkey % 97')}, '@mail.com') end as email,
+       when c_custkey % 50 = 7 then 'sin-mail@mail.com'
+       else concat('m', {d.s('c_custkey - c_custkey % 5')}, '@mail.com') end as email,
   case when c_custkey % 7 = 0 then '' when c_custkey % 11 = 0 then null
-       when c_custkey % 15 = 0 then concat('99', {d.s('c_custkey % 31')})
-       else concat(' 55', {d.s('c_custkey % 41')}) end as telefono,
+       when c_custkey % 15 = 0 then concat('99', {d.s('c_custkey - c_custkey % 30')})
+       else concat(' 55', {d.s('c_custkey - c_custkey % 4')}) end as telefono,
   cast(null as {'string' if d.name == 'spark' else 'varchar'}) as google_id,
   c_mktsegment as tipo,
   case when c_custkey % 17 = 0 then 0 else 1 end as activo,
@@ -359,39 +373,32 @@ def raw_sql(engine: str = "duckdb") -> dict[str, str]:
     return _raw_sql(DUCK if engine == "duckdb" else SPARK)
 
 
-def read_test_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TEST_TABLES}
-
-
-def raw_tables(spark: SparkSession, sf_dir: str, persist: bool = True) -> dict[str, DataFrame]:
+class RawTables(Mapping):
     """All raw shop tables bound to the test tables under ``sf_dir``.
 
-    A real raw table is a column scan; these bindings are expressions over the
-    test tables, and Catalyst would inline them into every consumer (filters,
-    join keys, CASE branches), producing generated code past the JVM's 64 KB
-    method limit.  Persisting them (lazily, filled by the first action) makes
-    them behave like the scans they stand for.  Lost cache blocks are rebuilt
-    from lineage.
+    A raw table is written as Parquet into the session's shared folder when it
+    is first asked for, and scanned from there: consumers get column pruning,
+    pushed filters and real sizes, as from a loaded source.
     """
-    from pyspark import StorageLevel
-    key = (id(spark), sf_dir, persist)
-    if key in _BOUND:
-        return dict(_BOUND[key])
-    base = read_test_tables(spark, sf_dir)
-    out = {}
-    for name, sql in _raw_sql(SPARK).items():
-        needed = {t: df for t, df in base.items() if "{" + t + "}" in sql}
-        df = spark.sql(sql, **needed)
-        if persist:
-            # The test files are single row groups, read as one split each; a
-            # raw table at scale is many files.  Spreading the cached binding
-            # over the default parallelism once keeps its consumers' first
-            # stages from running in one task.
-            df = df.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
-        out[name] = df
-    _BOUND[key] = out
-    return dict(out)
-
-
-# bound tables per (session, folder): the same input is bound and cached once
-_BOUND: dict = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self.root = input_root(spark, sf_dir, "raw")
+        self._found: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._found:
+            sql = _raw_sql(SPARK)[name]
+            base = {t: self.spark.read.parquet(f"{self.sf_dir}/{t}.parquet") for t in TEST_TABLES if "{" + t + "}" in sql}
+            self._found[name] = materialise_once(lambda: self.spark.sql(sql, **base), self.spark, f"{self.root}/{name}")
+        return self._found[name]
+
+    def __iter__(self):
+        return iter(RAW_TABLES)
+
+    def __len__(self) -> int:
+        return len(RAW_TABLES)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return RawTables(spark, sf_dir)

@@ -8,7 +8,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_but_declared_exceptions():
-    q, o = E.queries(), E.oracle_sql()
+    from conewise import registry
+    q, o = registry.queries(), registry.oracle_sql()
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"Q03_profile_order_fact"}
 

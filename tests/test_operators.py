@@ -2,6 +2,7 @@
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -32,13 +33,30 @@ def test_mode_per_key_ties_to_smallest(spark):
     assert got == {1: "a", 2: "z"}
 
 
-def test_latest_per_and_nth_per(spark):
+def test_latest_per_and_newest_two(spark):
     df = spark.createDataFrame([(1, 10, "x", 1), (1, 30, "y", 2), (1, 30, "z", 3), (2, 5, "w", 4)],
                                "k int, ts int, p string, id int")
     got = {r.k: r.p for r in windows.latest_per(df, ["k"], ["ts", "id"], ["p"]).collect()}
     assert got == {1: "z", 2: "w"}
-    second = {r.k: r.p for r in windows.nth_per(df, ["k"], ["ts", "id"], ["p"], "id", 2).collect()}
-    assert second == {1: "y"}
+    newest, previous = windows.newest_two(df, "k", ["ts", "id"], ["p"])
+    assert {r.k: r.p for r in newest.collect()} == {1: "z", 2: "w"}
+    assert {r.k: r.p for r in previous.collect()} == {1: "y"}
+
+
+@pytest.mark.parametrize("total", ["1000000000000", "10000000000000000", "9999999999999999999999"])
+def test_ratios_of_large_totals(spark, total):
+    t = Decimal(total)
+    df = spark.createDataFrame([(t / 4 if t < 10**20 else t / 100, t)], "x decimal(38,2), y decimal(38,2)")
+    r = df.select(C.pct("x", "y", 1).alias("pct"), C.ddiv("x", "y").alias("d"),
+                  C.to_usd(F.col("x"), F.col("y")).alias("usd"), C.to_usd(F.col("x"), F.lit(Decimal("1000.00"))).alias("k")).first()
+    part = Decimal("0.25") if t < 10**20 else Decimal("0.01")
+    assert r.pct == part * 100 and round(r.d, 6) == part and r.usd == part
+    assert r.k == round(df.first().x / 1000, 2)
+
+
+def test_share_of_large_totals(spark):
+    df = spark.createDataFrame([(i, Decimal("10000000000000000.00")) for i in range(4)], "k int, v decimal(30,2)")
+    assert {r.s for r in windows.share_of_total(df, "v", "s").collect()} == {Decimal("25.00")}
 
 
 def test_first_event(spark):
