@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conewise.llm import pieces
+from conewise.llm import pieces, tokens
 from conewise.llm.common import TEXT_ROWS, plain_text, read_table, ship, written
 
 GIANT = 65_536
 CHUNK = 16_384
 PER_BLOCK = 64
+#: Characters that a task encodes at a time.
+SLICE = 1_000_000
 
 ENCODED = "doc_id long, score long, ids array<int>"
 _CHUNKS = "doc_id long, giant string, chunk long, block long, size int, text string"
@@ -61,10 +63,12 @@ def encode(docs: DataFrame, model_path: str, giant: int = GIANT, chunk: int = CH
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.model(model_path)
         for batch in batches:
-            got = [model.encode(marked(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([g[1] for g in got], pa.int64()), _id_lists([g[0] for g in got])],
-                ["doc_id", "score", "ids"])
+            texts = batch.column("text").to_pylist()
+            for a, b in tokens.slices(map(len, texts), SLICE):
+                got = model.encode_all([marked(t) for t in texts[a:b]])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), pa.array(map(model.score, got), pa.int64()), _id_lists(got)],
+                    ["doc_id", "score", "ids"])
 
     texts = docs.select(F.col("doc_id").cast("long"), plain_text().alias("text"))
     done = texts.filter(F.length("text") <= giant).mapInArrow(small, ENCODED)

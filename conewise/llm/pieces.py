@@ -20,8 +20,11 @@ SPACE = "▁"
 UNKNOWN = 10
 NEVER = -(1 << 60)
 #: Segments whose pieces a worker keeps; it only saves work.
-STORE = 500_000
+STORE = 300_000
+#: Segments up to this length are encoded many at a time.
+SHORT = 40
 
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MODELS: dict[str, PieceModel] = {}
 
 
@@ -48,7 +51,16 @@ class PieceModel:
         # a place before a run of spaces, or at a line end, lies in no piece
         self.cuts = not any(SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1) for p in scores)
         self.segment = re.compile(rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if self.cuts else r"(?s).+")
-        self.known: dict[str, tuple[bytes, int]] = {}
+        self.known: dict[str, bytes] = {}
+        # score by id; the first byte of an unknown character carries its score
+        self.score_of = np.zeros(len(names), np.int64)
+        for i, score in scores.values():
+            self.score_of[i] = score
+        for b in (*range(0x80), *range(0xC0, 0x100)):
+            self.score_of[byte_ids[b]] = self.unknown
+        order = sorted((_piece_hash(p), i, score) for p, (i, score) in scores.items())
+        self.hashes = np.array([h for h, _, _ in order], np.uint64)
+        self.hash_ids, self.hash_scores = (np.array([o[k] for o in order], np.int64) for k in (1, 2))
 
     @classmethod
     def of(cls, sp) -> PieceModel:
@@ -98,23 +110,78 @@ class PieceModel:
                     best[j], back[j] = here + piece[1], i
         return best, back
 
-    def of_segment(self, segment: str) -> tuple[bytes, int]:
-        """Ids (32 bits, little-endian) and score of a stretch between sure cuts."""
-        best, back = self.forward(segment, {0: 0}, len(segment))
-        return np.array(self.ids(segment, walk(back, len(segment), 0)), "<i4").tobytes(), best[-1]
+    def of_segment(self, segment: str) -> bytes:
+        """Ids (32 bits, little-endian) of a stretch between sure cuts."""
+        _, back = self.forward(segment, {0: 0}, len(segment))
+        return np.array(self.ids(segment, walk(back, len(segment), 0)), "<i4").tobytes()
+
+    def of_length(self, segments: list[str]) -> list[bytes]:
+        """The same for segments of one length, all at once."""
+        size = len(segments[0])
+        codes = np.frombuffer("".join(segments).encode("utf-32-le"), "<u4").reshape(-1, size).astype(np.uint64)
+        n = len(codes)
+        upto = np.zeros((n, size + 1), np.uint64)
+        for j in range(size):
+            upto[:, j + 1] = upto[:, j] * _BASE + codes[:, j]
+        score, piece, power = {}, {}, 1
+        for length in range(1, min(size, self.longest) + 1):
+            power = power * int(_BASE) % (1 << 64)
+            h = upto[:, length:] - upto[:, :-length] * np.uint64(power)
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            found = self.hashes[at] == h
+            score[length] = np.where(found, self.hash_scores[at], self.unknown if length == 1 else NEVER)
+            piece[length] = np.where(found, self.hash_ids[at], -1)
+        best, back = np.zeros((n, size + 1), np.int64), np.zeros((n, size + 1), np.int64)
+        for j in range(1, size + 1):
+            top = np.full(n, 2 * NEVER)
+            for length in range(min(j, self.longest), 0, -1):  # earlier starts win ties
+                value = best[:, j - length] + score[length][:, j - length]
+                better = value > top
+                top[better] = value[better]
+                back[better, j] = length
+            best[:, j] = top
+        rows, place, ids = np.arange(n), np.full(n, size), np.full((n, size), -2, np.int64)
+        for step in range(size):
+            live = np.flatnonzero(place > 0)
+            if not len(live):
+                break
+            length = back[live, place[live]]
+            start = place[live] - length
+            for k in np.unique(length).tolist():
+                of = length == k
+                ids[live[of], size - 1 - step] = piece[k][live[of], start[of]]
+            place[live] = start
+        spelt = (ids == -1).any(axis=1)
+        counts, packed = (ids >= 0).sum(axis=1), ids.astype("<i4")
+        return [self.of_segment(segments[r]) if spelt[r] else packed[r, size - counts[r] :].tobytes() for r in rows.tolist()]
+
+    def learn(self, segments: set[str]) -> None:
+        by_length: dict[int, list[str]] = {}
+        for s in segments:
+            by_length.setdefault(len(s), []).append(s)
+        for length, some in by_length.items():
+            for i in range(0, len(some), 4096):
+                run = some[i : i + 4096]
+                self.known.update(zip(run, self.of_length(run) if length <= SHORT else map(self.of_segment, run), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts with their spaces marked, between sure cuts."""
+        split = [self.segment.findall(t) for t in texts]
+        new = set().union(*split).difference(self.known)
+        self.learn(new)
+        out = [b"".join(map(self.known.__getitem__, s)) for s in split]
+        if len(self.known) > STORE:
+            for s in new:
+                del self.known[s]
+        return out
 
     def encode(self, text: str) -> tuple[bytes, int]:
-        """Ids and score of a text with its spaces marked, between sure cuts."""
-        known, parts, total = self.known, [], 0
-        for segment in self.segment.findall(text):
-            got = known.get(segment)
-            if got is None:
-                got = self.of_segment(segment)
-                if len(known) < STORE and len(segment) < 64:
-                    known[segment] = got
-            parts.append(got[0])
-            total += got[1]
-        return b"".join(parts), total
+        """Ids and score of one text."""
+        ids = self.encode_all([text])[0]
+        return ids, self.score(ids)
+
+    def score(self, ids: bytes) -> int:
+        return int(self.score_of[np.frombuffer(ids, "<i4")].sum())
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.names.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -180,6 +247,13 @@ class PieceModel:
         return head + self.encode(chunk[first:last])[0] + tail
 
 
+def _piece_hash(piece: str) -> int:
+    h = 0
+    for c in piece:
+        h = (h * int(_BASE) + ord(c)) % (1 << 64)
+    return h
+
+
 def walk(back: list[int], end: int, start: int | None) -> list[int]:
     """Places of the path to ``end``, from ``start`` or from the entry it comes from."""
     path = [end]
