@@ -11,13 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conewise import quality as Q
+from conewise.functions import columns as C
+from conewise.functions.rules import RETENTION_LABELS
 from conewise.operators.aggregates import distinct_values, kpis, value_counts
 from conewise.oracle.models_sql import AVG, D
 from conewise.plans import reports as R
 from conewise.plans.warehouse import Shop
+from conewise.sources import readers, sinks
 from conewise.sources.readers import row_counts
+from conewise.sources.sinks import table_root
 
 # Report rows and labels as the source dashboard shows them.
 PNL_ROWS_ARS = [
@@ -41,6 +46,19 @@ PNL_ROWS_ARS = [
     ("Pedidos (Q)", "pedidos_totales"),
     ("KG", "kg_totales"),
 ]
+PNL_ROWS_USD = [
+    ("Ingresos", "ingresos_totales_usd"),
+    ("Insumos (compra real)", "gasto_insumos_usd"),
+    ("Margen Bruto", "margen_bruto_usd"),
+    ("Margen Bruto %", "margen_bruto_pct"),
+    ("Gastos Operativos", "total_gastos_operativos_usd"),
+    ("Resultado Operativo", "resultado_operativo_usd"),
+    ("Resultado Op. %", "resultado_operativo_pct"),
+    ("COGS Sistema (ref.)", "cogs_total_usd"),
+    ("Tipo Cambio", "tipo_cambio_promedio"),
+    ("Pedidos (Q)", "pedidos_totales"),
+    ("KG", "kg_totales"),
+]
 WATERFALL_STEPS = [
     ("Ingresos", "ingresos_totales", 1),
     ("Insumos", "gasto_insumos", -1),
@@ -64,6 +82,9 @@ TEMPERATURE_ORDER = ["Muy frio", "Frio", "Templado", "Calido", "Muy calido"]
 TEMP_MEANS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "venta_total_usd",
               "pedidos_delivery", "pedidos_local", "pedidos_mostrador"]
 RAIN_MEANS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "pedidos_delivery"]
+SCATTER_METRICS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "venta_total_usd"]
+SELECTED_PERIOD = ("1996-01-01", "1997-12-31")
+RUNNING = {"flujo_neto": "acumulado_periodo", "flujo_neto_usd": "acumulado_periodo_usd"}
 SALES_SUMS = ["pedidos_totales", "kg_totales", "venta_total", "venta_total_usd"]
 
 
@@ -82,8 +103,10 @@ def _r01(shop):
                   value_type="decimal(10,1)")
 
 
-def _r02(shop):
-    return R.statement(shop.rpt_pnl, PNL_ROWS_ARS, "mes")
+def _r02(rows):
+    def run(shop):
+        return R.statement_rows(shop.rpt_pnl, rows, "mes")
+    return run
 
 
 def _r03(shop):
@@ -134,6 +157,24 @@ def _r11(shop):
         "sabor_id", "sabor", "categoria", "kg_vendidos", "margen_estimado_por_kg_usd", "veces_pedido")
 
 
+def _r11_rfm(shop):
+    return R.points(shop.rpt_rfm, "frecuencia_score", "monetario_score", "cliente_id_mail_phone", "nombre", "total_pedidos",
+                    "kg_total", "segmento_cliente")
+
+
+def _r11_weather(shop):
+    return R.melt(R.weather_days(shop.fct_ventas_diarias), ["fecha", "temperatura_promedio", "estacion"], SCATTER_METRICS,
+                  "metrica", "valor", value_type="decimal(38,4)")
+
+
+def _w13(shop):
+    return shop.egresos_numerados.select("egreso_id", "fecha", "descripcion", "categoria", "monto")
+
+
+def _w16(shop):
+    return R.period_running(shop.rpt_cash_flow, "mes", *SELECTED_PERIOD, RUNNING)
+
+
 def _a17(shop):
     return value_counts(shop.dim_clientes, "segmento_cliente", "clientes")
 
@@ -187,9 +228,10 @@ def _p24(shop):
         "fecha", "pedidos_totales", "venta_total")
 
 
-def _p25(shop):
-    return R.tristate(shop.rpt_sabores, "is_sin_azucar", "only").select(
-        "sabor_id", "sabor", "veces_pedido", "kg_vendidos")
+def _p25(mode):
+    def run(shop):
+        return R.tristate(shop.rpt_sabores, "is_sin_azucar", mode).select("sabor_id", "sabor", "veces_pedido", "kg_vendidos")
+    return run
 
 
 def _p28(shop):
@@ -216,7 +258,7 @@ def _q01(shop):
 
 
 def _q03(shop):
-    return Q.profile(shop.fct_pedidos)
+    return Q.profile(shop.fct_pedidos).drop("posicion")
 
 
 def _q04(shop):
@@ -227,9 +269,101 @@ def _s03(shop):
     return row_counts(shop.raw)
 
 
+# ---- sources and sinks: a given table is written in the form needed and read back through the operator
+
+#: Column types of a raw table as its source declares them.
+ZONE_TYPES = {"codigo": "bigint(20)", "distancia": "double", "precio": "decimal(10,2)", "demora": "int(11)", "activo": "tinyint(1)"}
+
+
+def _folder(shop, name):
+    return f"{table_root(shop.spark)}/{name}"
+
+
+def _s01(shop):
+    path = _folder(shop, "zonas")
+    shop.raw["zonas"].select(*[F.col(c).cast("string").alias(c) for c in ZONE_TYPES]).write.parquet(path)
+    return readers.read_raw(shop.spark, path, ZONE_TYPES)
+
+
+def _order_lines(shop):
+    """Orders as CSV lines; every 97th is cut short and every 101st has a word for a number."""
+    o, text = shop.raw["pedidos"], lambda c: F.col(c).cast("string")
+    line = (F.when(F.col("codigo") % 97 == 0, F.concat_ws(",", text("codigo"), F.lit("x")))
+            .when(F.col("codigo") % 101 == 0, F.concat_ws(",", text("codigo"), F.lit("many"), text("total")))
+            .otherwise(F.concat_ws(",", text("codigo"), text("cliente"), text("total"))))
+    return o.repartitionByRange("codigo").sortWithinPartitions("codigo").select(line.alias("value"))
+
+
+def _s02(shop):
+    path = _folder(shop, "orders-csv")
+    _order_lines(shop).write.text(path)
+    schema = T.StructType([T.StructField("codigo", T.LongType()), T.StructField("cliente", T.LongType()),
+                           T.StructField("total", T.DecimalType(12, 2))])
+    good, bad = readers.read_with_quarantine(shop.spark, path, schema)
+    kept = good.agg(F.count(F.lit(1)).alias("filas"), F.sum("total").alias("total"))  # one row
+    return kept.crossJoin(F.broadcast(readers.quarantine_report(bad)))
+
+
+def _s04(shop):
+    path = _folder(shop, "euro-csv")
+    v = F.col("valor_blue").cast("decimal(10,2)").cast("string")
+    whole, cents = F.regexp_extract(v, r"^(\d+)", 1), F.regexp_extract(v, r"\.(\d+)$", 1)
+    dotted = F.regexp_replace(whole, r"(\d)(?=(\d{3})+$)", "$1.")
+    (shop.raw["dolar_blue"].select(F.date_format("fecha", "dd.MM.yyyy").alias("Fecha"), F.concat_ws(",", dotted, cents).alias("Cierre"))
+     .write.option("header", True).option("quoteAll", True).csv(path))
+    return readers.read_euro_csv(shop.spark, path)
+
+
+def _s05(shop):
+    path = _folder(shop, "seed")
+    seed = shop.raw["clima_buenos_aires"]
+    seed.write.option("header", True).csv(path)
+    return readers.read_seed(shop.spark, path, seed.schema)
+
+
+def _s06(shop):
+    path = _folder(shop, "fct_ventas_diarias")
+    shop.fct_ventas_diarias.write.parquet(path)
+    return readers.load_table(shop.spark, path, "fecha", "1996-01-01", "1996-12-31").select("fecha", "pedidos_totales", "venta_total")
+
+
+def _exported(shop, path, names):
+    frames = {n: shop.spark.read.parquet(f"{path}/{n}") for n in names}
+    return row_counts(frames)
+
+
+def _s07(shop):
+    path = _folder(shop, "marts")
+    status = sinks.export_marts({n: shop.model(n) for n in shop.EXPORTED}, path)
+    return _exported(shop, path, [n for n, s in status.items() if s == "ok"])
+
+
+def _s08(shop):
+    path = _folder(shop, "dated")
+    names = [*shop.EXPORTED, "int_pedidos", "stg_zonas"]
+    status = sinks.export_all({n: shop.model(n) for n in names}, path, shop.as_of)
+    return _exported(shop, f"{path}/{shop.as_of.replace('-', '')}", [n for n, s in status.items() if s == "ok"])
+
+
+def _s10(shop):
+    path = _folder(shop, "csv")
+    sinks.write_csv(shop.stg_dolar_blue, path, "fecha", "valor_blue")
+    return shop.spark.read.option("header", True).csv(path)
+
+
+def _f18(shop):
+    return shop.rpt_pnl.select("mes", C.money_text("resultado_operativo").alias("ars"),
+                               C.money_text("resultado_operativo_usd", "U$D ").alias("usd"), C.pct_text("margen_bruto_pct").alias("pct"))
+
+
+def _f19(shop):
+    return _r01(shop).withColumn("horizonte", C.label_map("horizonte", RETENTION_LABELS))
+
+
 ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "R01_retention_melt": _r01,
-    "R02_pnl_statement": _r02,
+    "R02_pnl_statement": _r02(PNL_ROWS_ARS),
+    "R02_pnl_statement_usd": _r02(PNL_ROWS_USD),
     "R03_pnl_waterfall": _r03,
     "R04_cash_composition": _r04,
     "R05_season_matrix": _r05,
@@ -240,7 +374,12 @@ ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "R09_weather_by_rain": _r09_rain,
     "R10_rfm_table": _r10,
     "R11_flavour_scatter": _r11,
+    "R11_rfm_scatter": _r11_rfm,
+    "R11_weather_scatter": _r11_weather,
+    "W13_expense_ids": _w13,
+    "W16_selected_period": _w16,
     "A17_segment_counts": _a17,
+    "A18_sales_daily": _a18("day"),
     "A18_sales_weekly": _a18("week"),
     "A18_sales_monthly": _a18("month"),
     "A19_category_margin_mean": _a19,
@@ -250,7 +389,8 @@ ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "P22_order_facets": _p22,
     "P23_customer_search": _p23,
     "P24_sales_date_window": _p24,
-    "P25_sugar_free_flavours": _p25,
+    "P25_sugar_free_flavours": _p25("only"),
+    "P25_sugared_flavours": _p25("without"),
     "P28_margins_by_payment": _p28,
     "T02_top_customers": _t02,
     "T04_latest_pnl": _t04,
@@ -258,7 +398,17 @@ ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "Q01_Q02_key_checks": _q01,
     "Q03_profile_order_fact": _q03,
     "Q04_cost_coverage": _q04,
+    "S01_raw_scan": _s01,
+    "S02_quarantine": _s02,
     "S03_load_audit": _s03,
+    "S04_euro_csv": _s04,
+    "S05_seed_scan": _s05,
+    "S06_mart_window": _s06,
+    "S07_mart_export": _s07,
+    "S08_dated_export": _s08,
+    "S10_csv_sink": _s10,
+    "F18_money_text": _f18,
+    "F19_retention_labels": _f19,
 }
 
 
@@ -274,11 +424,9 @@ def _oracle() -> dict[str, str]:
     o["R01_retention_melt"] = _union([
         f"select mes, '{c}' as horizonte, cast({c} as decimal(10,1)) as retencion_pct from rpt_clientes_nuevos"
         for c in RETENTION_COLS])
-    long = _union([
-        f"select strftime(mes, '%m-%y') as _p, {i + 1} as orden, '{label}' as concepto, "
-        f"cast({c} as decimal(38,4)) as valor from rpt_pnl"
-        for i, (label, c) in enumerate(PNL_ROWS_ARS)])
-    o["R02_pnl_statement"] = f"select * from (pivot ({long}) on _p using first(valor) group by orden, concepto)"
+    for name, rows in (("R02_pnl_statement", PNL_ROWS_ARS), ("R02_pnl_statement_usd", PNL_ROWS_USD)):
+        o[name] = _union([f"select mes, {i + 1} as orden, '{label}' as concepto, cast({c} as decimal(38,4)) as valor from rpt_pnl"
+                          for i, (label, c) in enumerate(rows)])
     last = "(select * from rpt_pnl where mes = (select max(mes) from rpt_pnl))"
     steps = [f"select mes, {i + 1} as orden, '{label}' as paso, cast({c} * {sign} as decimal(38,2)) as valor, "
              f"'relative' as medida from {last}" for i, (label, c, sign) in enumerate(WATERFALL_STEPS)]
@@ -311,6 +459,9 @@ where categoria in (select categoria from rpt_egresos group by categoria
         if c == "kg_por_pedido":
             return "round(cast(avg(kg_por_pedido) as decimal(38,6)), 1)"
         return f"round(avg({c}), 1)"
+    o["R11_weather_scatter"] = _union([
+        f"select fecha, temperatura_promedio, estacion, '{m}' as metrica, cast({m} as decimal(38,4)) as valor from {wd}"
+        for m in SCATTER_METRICS])
     o["R09_weather_by_temperature"] = (
         "select categoria_temperatura, count(fecha) as dias, "
         + ", ".join(f"{mean(c)} as {c}_prom" for c in TEMP_MEANS)
@@ -322,9 +473,17 @@ where categoria in (select categoria from rpt_egresos group by categoria
     o["R10_rfm_table"] = f"select {', '.join(RFM_TABLE_COLS)} from rpt_rfm"
     o["R11_flavour_scatter"] = """select sabor_id, sabor, categoria, kg_vendidos, margen_estimado_por_kg_usd, veces_pedido
 from rpt_sabores order by kg_vendidos desc nulls last, sabor_id limit 50"""
+    o["R11_rfm_scatter"] = """select frecuencia_score as x, monetario_score as y, cliente_id_mail_phone, nombre, total_pedidos,
+kg_total, segmento_cliente from rpt_rfm"""
+    o["W13_expense_ids"] = "select egreso_id, fecha, descripcion, categoria, monto from egresos_numerados"
+    start, end = SELECTED_PERIOD
+    o["W16_selected_period"] = f"""select mes, {', '.join(RUNNING)},
+{', '.join(f'sum({c}) over (order by mes) as {n}' for c, n in RUNNING.items())}
+from rpt_cash_flow where mes between date '{start}' and date '{end}'"""
     o["A17_segment_counts"] = """select segmento_cliente, count(*) as clientes from dim_clientes
 where segmento_cliente is not null group by segmento_cliente"""
     sums = ", ".join(f"sum({c}) as {c}" for c in SALES_SUMS)
+    o["A18_sales_daily"] = f"select fecha as periodo, {sums} from fct_ventas_diarias group by 1"
     o["A18_sales_weekly"] = (f"select cast(date_trunc('week', fecha) as date) as periodo, {sums} "
                              f"from fct_ventas_diarias group by 1")
     o["A18_sales_monthly"] = (f"select cast(date_trunc('month', fecha) as date) as periodo, {sums} "
@@ -346,6 +505,8 @@ from dim_clientes where segmento_cliente is not null and coalesce(regexp_matches
 where fecha >= date '1996-01-01' and fecha <= date '1997-12-31'"""
     o["P25_sugar_free_flavours"] = ("select sabor_id, sabor, veces_pedido, kg_vendidos from rpt_sabores "
                                     "where is_sin_azucar = 1")
+    o["P25_sugared_flavours"] = ("select sabor_id, sabor, veces_pedido, kg_vendidos from rpt_sabores "
+                                 "where is_sin_azucar = 0")
     o["P28_margins_by_payment"] = ("select mes, dimension_valor, pedidos, venta_total, margen_pct from rpt_margenes "
                                    "where dimension_tipo = 'tipo_pago'")
     o["T02_top_customers"] = """select cliente_id_mail_phone, nombre, total_pedidos, total_gastado from dim_clientes
@@ -363,9 +524,63 @@ count(*) filter (where sabores_con_promedio > 0) as pedidos_con_promedio
 from int_costos_pedido group by mes"""
     o["S03_load_audit"] = _union([f"select '{n}' as tabla, count(*) as filas from raw_{n}"
                                   for n in raw_sql("duckdb")])
+    o["S01_raw_scan"] = f"select {', '.join(ZONE_TYPES)} from raw_zonas"
+    o["S02_quarantine"] = """select count(*) filter (not mala) as filas, sum(total) filter (not mala) as total,
+count(*) filter (mala) as errores, (select string_agg(linea, chr(10) order by codigo) from (
+  select codigo, if(codigo % 97 = 0, concat_ws(',', codigo, 'x'), concat_ws(',', codigo, 'many', total)) as linea
+  from raw_pedidos where codigo % 97 = 0 or codigo % 101 = 0 order by codigo limit 3)) as primeros
+from (select total, codigo % 97 = 0 or codigo % 101 = 0 as mala from raw_pedidos)"""
+    o["S04_euro_csv"] = "select fecha, valor_blue from raw_dolar_blue"
+    o["S05_seed_scan"] = "select * from raw_clima_buenos_aires"
+    o["S06_mart_window"] = """select fecha, pedidos_totales, venta_total from fct_ventas_diarias
+where fecha between date '1996-01-01' and date '1996-12-31'"""
+    count = lambda n: f"select '{n}' as tabla, count(*) as filas from {n}"
+    o["S07_mart_export"] = _union([count(n) for n in Shop.EXPORTED])
+    o["S08_dated_export"] = _union([count(n) for n in [*Shop.EXPORTED, "int_pedidos"]])
+    o["S10_csv_sink"] = """select strftime(fecha, '%Y-%m-%d') as fecha, cast(cast(valor_blue as decimal(38,2)) as varchar) as valor_blue
+from stg_dolar_blue"""
+
+    def money(c: str, prefix: str) -> str:
+        return f"""case when coalesce({c}, 0) = 0 then '{prefix}0'
+  when abs({c}) >= 1000000 then '{prefix}' || format('{{:,.1f}}', {c}::double / 1000000) || 'M'
+  when abs({c}) >= 1000 then '{prefix}' || format('{{:,.1f}}', {c}::double / 1000) || 'K'
+  else '{prefix}' || format('{{:,.0f}}', {c}::double) end"""
+    o["F18_money_text"] = f"""select mes, {money('resultado_operativo', '$')} as ars, {money('resultado_operativo_usd', 'U$D ')} as usd,
+coalesce(format('{{:.1f}}', margen_bruto_pct::double) || '%', '—') as pct from rpt_pnl"""
+    o["F19_retention_labels"] = _union([
+        f"select mes, '{RETENTION_LABELS[c]}' as horizonte, cast({c} as decimal(10,1)) as retencion_pct from rpt_clientes_nuevos"
+        for c in RETENTION_COLS])
+    o["Q03_profile_order_fact"] = _profile_sql()
     return o
 
 
+#: The order fact's columns in order, with their kinds.
+FACT_COLUMNS = {
+    "entero": ["pedido_id", "cliente_id", "cliente_id_mail_phone", "direccion_id", "anio", "mes_num", "dia_semana", "hora", "estado_id",
+               "is_pagado", "is_activo", "demora_minutos", "cantidad_productos", "cantidad_sabores"],
+    "numero": ["costo_envio_zona", "subtotal", "descuento", "descuento_ajuste", "costo_envio", "redondeo", "total", "mp_monto_transaccion",
+               "mp_monto_neto_recibido", "mp_comision", "distancia_km", "kg_total", "costo_ingredientes", "costo_potes", "costo_bolsa",
+               "costo_total", "contribucion_mg", "margen_pct", "total_usd", "costo_total_usd", "contribucion_mg_usd"],
+    "fecha": ["created_at", "fecha", "semana", "mes"],
+    "logico": ["is_primer_pedido"],
+    "texto": ["cliente_nombre", "cliente_email", "cliente_telefono", "barrio", "direccion", "estacion", "temporada", "horario", "tipo_retiro",
+              "tipo_pago", "mercadopago_id", "mercadopago_status", "estado_nombre", "repartidor", "comentario", "motivo_cancelacion"],
+}
+
+
+def _profile_sql() -> str:
+    parts, width = [], sum(map(len, FACT_COLUMNS.values()))
+    for kind, names in FACT_COLUMNS.items():
+        for c in names:
+            low, high = (f"min({c})::double", f"max({c})::double") if kind in ("entero", "numero") else ("null::double",) * 2
+            since, until = (f"min({c})::timestamp", f"max({c})::timestamp") if kind == "fecha" else ("null::timestamp",) * 2
+            values = f"if(count(distinct {c}) between 1 and 10, array_to_string(list_sort(list(distinct {c})), ', '), null)" if kind == "texto" else "null"
+            parts.append(f"""select '{c}' as columna, '{kind}' as tipo, count(*) as filas, {width} as columnas,
+  count(*) - count({c}) as nulos, count(distinct {c}) as distintos, {low} as minimo, {high} as maximo, {since} as desde, {until} as hasta, {values}::varchar as valores
+from fct_pedidos""")
+    return _union(parts)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: _on_shop(fn) for k, fn in ON_SHOP.items()}
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from conewise.functions import columns as C
-from conewise.sources.sinks import cut_lineage
+from conewise.operators.windows import running_sum
 
 # --------------------------------------------------------------------- filters
 
@@ -108,27 +108,24 @@ def melt(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var: str, val:
     return df.unpivot(list(ids), list(cols), var, val)
 
 
-def statement(df: DataFrame, rows: Sequence[tuple[str, str]], period: str, fmt: str = "MM-yy",
-              value_type: str = "decimal(38,4)") -> DataFrame:
-    """Statement matrix - one row per concept (in the declared order),
-    one column per period labelled ``fmt``.
+def statement_rows(df: DataFrame, rows: Sequence[tuple[str, str]], period: str,
+                   value_type: str = "decimal(38,4)") -> DataFrame:
+    """Statement in long form, (period, orden, concepto, valor), concepts in the declared order."""
+    items = [F.struct(F.lit(i + 1).alias("orden"), F.lit(label).alias("concepto"), F.col(c).cast(value_type).alias("valor"))
+             for i, (label, c) in enumerate(rows)]
+    return df.select(period, F.explode(F.array(*items)).alias("_r")).select(period, "_r.*")
 
-    The input is one row per period, so the pivot's distinct labels (one
-    small job) are bounded by the calendar.
+
+def statement(long: DataFrame, period: str, fmt: str = "%m-%y") -> DataFrame:
+    """Statement matrix from its long form: one row per concept, one column
+    per period, in date order and labelled ``fmt``.
+
+    The periods (one per month: bounded by the calendar) become the pivot's
+    explicit list, so columns come by date and not by label.
     """
-    long = df.select(
-        F.date_format(F.col(period), fmt).alias("_p"),
-        F.explode(F.array(*[
-            F.struct(F.lit(i + 1).alias("orden"), F.lit(label).alias("concepto"),
-                     F.col(c).cast(value_type).alias("valor"))
-            for i, (label, c) in enumerate(rows)
-        ])).alias("_r"),
-    ).select("_p", "_r.*")
-    # the pivot reads its input twice (distinct labels, then the aggregate);
-    # the long frame is periods x concepts, so cut it once instead of
-    # computing the upstream mart twice
-    long = cut_lineage(long)
-    return long.groupBy("orden", "concepto").pivot("_p").agg(F.first("valor"))
+    periods = [r[0] for r in long.select(period).distinct().orderBy(period).collect()]
+    wide = long.groupBy("orden", "concepto").pivot(period, periods).agg(F.first("valor"))
+    return wide.toDF("orden", "concepto", *[p.strftime(fmt) for p in periods]).orderBy("orden")
 
 
 def waterfall(df: DataFrame, period: str, steps: Sequence[tuple[str, str, int]],
@@ -159,6 +156,22 @@ def composition(df: DataFrame, parts: Sequence[tuple[str, str]], side: str,
     return out.filter(F.col("monto") > 0) if positive_only else out
 
 
+def period_running(df: DataFrame, period: str, start: str | None, end: str | None,
+                   values: Mapping[str, str]) -> DataFrame:
+    """Cumulative sums that start anew at the selected period; one row per month.
+
+    ``values`` maps a column to the name of its cumulative sum."""
+    out = between_dates(df, period, start, end)
+    for value, name in values.items():
+        out = running_sum(out, period, value, name)
+    return out.select(period, *values, *values.values())
+
+
+def points(df: DataFrame, x: str, y: str, *more: str) -> DataFrame:
+    """Points of two metrics, with their labels."""
+    return df.select(F.col(x).alias("x"), F.col(y).alias("y"), *more)
+
+
 def signed_flow(df: DataFrame, period: str, inflow: str, outflow: str) -> DataFrame:
     """Inflow positive, outflow negative per period."""
     return df.select(period, F.col(inflow).alias("inflow"), (-F.col(outflow)).alias("outflow"))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conewise.sources.sinks import materialise
+
 # The staging tables whose key the source project tests for
 # unique and not null, and that key.
 KEYED_TABLES = {
@@ -60,64 +62,59 @@ def key_report(tables: Mapping[str, DataFrame], keys: Mapping[str, str] = KEYED_
     return out
 
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_NUMERIC = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
 _DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _cells(df: DataFrame) -> DataFrame:
-    """Every cell as one narrow row: (posicion, s text, n number, d timestamp)."""
-    cells = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        num = c.cast("double") if isinstance(f.dataType, _NUMERIC) else F.lit(None).cast("double")
-        dt = c.cast("timestamp") if isinstance(f.dataType, _DATES) else F.lit(None).cast("timestamp")
-        cells.append(F.struct(F.lit(i + 1).alias("posicion"), c.cast("string").alias("s"),
-                              num.alias("n"), dt.alias("d")))
-    return df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+def column_kind(t: T.DataType) -> str:
+    """Kind of a column, the same word for every engine."""
+    if isinstance(t, _WHOLE):
+        return "entero"
+    if isinstance(t, _NUMERIC):
+        return "numero"
+    if isinstance(t, _DATES):
+        return "fecha"
+    return "logico" if isinstance(t, T.BooleanType) else "texto"
 
 
 def profile(df: DataFrame, sample_limit: int = 10) -> DataFrame:
-    """Q03: one row per column - type, rows, nulls, exact distinct count,
-    min/max for numbers and dates, and the sorted values of text columns with
-    at most ``sample_limit`` distinct values.
-
-    Cells are unpivoted to narrow (column, value) rows and aggregated by
-    column position (partial aggregation per task; 1 row per column after).
-    Distinct values are de-duplicated per (column, value) in a plain shuffle
-    rather than Catalyst's multi-distinct Expand.  The value sample is taken
-    only for columns already known to have at most ``sample_limit`` values
-    (semi join), so no group ever collects more than that.
+    """Q03: one row per column - kind, rows, nulls, exact distinct count, range
+    of numbers and dates, and the sorted values of text columns with at most
+    ``sample_limit`` distinct values.
+
+    Counts, nulls and ranges are plain aggregates of one pass.  Only the exact
+    distinct counts unpivot the cells; equal cells are dropped before they are
+    shuffled and the distinct ones are written once for counts and values.
     """
-    fields = df.schema.fields
-    meta = df.sparkSession.createDataFrame(
-        [(i + 1, f.name, f.dataType.simpleString(), isinstance(f.dataType, _NUMERIC),
-          isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)),
-          isinstance(f.dataType, T.StringType))
-         for i, f in enumerate(fields)],
-        "posicion int, columna string, tipo string, es_num boolean, es_entero boolean, es_texto boolean")
-    cells = _cells(df)
-    stats = cells.groupBy("posicion").agg(
-        F.count(F.lit(1)).cast("bigint").alias("filas"),
-        F.count_if(F.col("s").isNull()).cast("bigint").alias("nulos"),
-        F.min("n").alias("_nmin"), F.max("n").alias("_nmax"),
-        F.min("d").alias("_dmin"), F.max("d").alias("_dmax"))
-    values = cells.filter(F.col("s").isNotNull()).select("posicion", "s").distinct()
-    counts = values.groupBy("posicion").agg(F.count(F.lit(1)).cast("bigint").alias("distintos"))
+    fields = [(i + 1, f.name, column_kind(f.dataType)) for i, f in enumerate(df.schema.fields)]
+    aggs = [F.count(F.lit(1)).alias("filas")]
+    for i, name, kind in fields:
+        c = F.col(f"`{name}`")
+        aggs.append(F.count_if(c.isNull()).alias(f"nulos_{i}"))
+        for low, pick in (("min", F.min), ("max", F.max)):
+            as_number = pick(c).cast("double") if kind in ("entero", "numero") else F.lit(None).cast("double")
+            as_date = pick(c.cast("timestamp_ntz")) if kind == "fecha" else F.lit(None).cast("timestamp_ntz")
+            aggs += [as_number.alias(f"{low}_n_{i}"), as_date.alias(f"{low}_d_{i}")]
+    wide = df.agg(*aggs)
+    stats = wide.select("filas", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("posicion"), F.lit(name).alias("columna"), F.lit(kind).alias("tipo"),
+                 F.col(f"nulos_{i}").alias("nulos"), F.col(f"min_n_{i}").alias("minimo"), F.col(f"max_n_{i}").alias("maximo"),
+                 F.col(f"min_d_{i}").alias("desde"), F.col(f"max_d_{i}").alias("hasta"))
+        for i, name, kind in fields])).alias("_s")).select("filas", "_s.*")
+    cells = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("posicion"), F.col(f"`{name}`").cast("string").alias("s")) for i, name, _ in fields])).alias("_c"))
+    values = materialise(cells.select("_c.*").filter(F.col("s").isNotNull()).distinct(), "profile-values")
+    counts = values.groupBy("posicion").agg(F.count(F.lit(1)).alias("distintos"))
     few = counts.filter(F.col("distintos") <= sample_limit).select("posicion")
-    sample = (values.join(F.broadcast(few), "posicion", "left_semi")  # <= sample_limit per column
-                    .groupBy("posicion").agg(F.array_join(F.array_sort(F.collect_list("s")), ", ").alias("_vals")))
-    # every frame below is one row per column: bounded by the column count
-    out = (F.broadcast(meta).join(stats, "posicion", "left").join(F.broadcast(counts), "posicion", "left")
-           .join(F.broadcast(sample), "posicion", "left"))
-    num_text = lambda x: F.when(F.col("es_entero"), x.cast("bigint").cast("string")).otherwise(
-        x.cast("string"))
-    return out.select(
-        F.coalesce("filas", F.lit(0)).alias("filas"), F.lit(len(fields)).alias("columnas"),
-        "posicion", "columna", "tipo", F.coalesce("nulos", F.lit(0)).alias("nulos"),
-        F.coalesce("distintos", F.lit(0)).alias("distintos"),
-        F.coalesce(num_text(F.col("_nmin")), F.col("_dmin").cast("string")).alias("minimo"),
-        F.coalesce(num_text(F.col("_nmax")), F.col("_dmax").cast("string")).alias("maximo"),
-        F.when(F.col("es_texto"), F.col("_vals")).alias("valores"))
+    texts = [i for i, _, kind in fields if kind == "texto"]
+    # at most sample_limit values of each column that has no more
+    sample = (values.filter(F.col("posicion").isin(texts)).join(F.broadcast(few), "posicion", "left_semi").groupBy("posicion")
+              .agg(F.array_join(F.array_sort(F.collect_list("s")), ", ").alias("valores")))
+    # one row per column on every side
+    return (stats.join(F.broadcast(counts), "posicion", "left").join(F.broadcast(sample), "posicion", "left")
+            .select("posicion", "columna", "tipo", "filas", F.lit(len(fields)).alias("columnas"), "nulos", F.coalesce("distintos", F.lit(0)).alias("distintos"),
+                    "minimo", "maximo", "desde", "hasta", "valores"))
 
 
 def cost_coverage(order_cost: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -56,7 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder must be shared storage and is taken from the
     session.  Only a local-mode session without the setting (tests, laptops)
-    gets a fresh folder of its own.
+    gets a fresh folder of its own, removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,5 +74,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
                 "(HDFS/S3/ABFS) before running conewise jobs on a cluster"
             )
         conf_dir = tempfile.mkdtemp(prefix="conewise-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -45,3 +45,27 @@ def test_pnl_identity(shop):
     for r in shop.rpt_pnl.collect():
         assert r.resultado_operativo == (r.ingresos_totales - r.gasto_insumos - r.total_gastos_operativos
                                          - r.total_comisiones - r.costo_delivery)
+
+
+def test_identities_grow_with_customers_and_have_one_hot_key(shop):
+    sizes = shop.dim_mails.filter("cliente_id_mail_phone is not null").groupBy("cliente_id_mail_phone").count()
+    customers = shop.stg_clientes.count()
+    assert sizes.count() >= customers / 10
+
+
+def test_scans_of_raw_tables_are_pruned(shop):
+    plan = shop.stg_productos.filter("is_activo = 1").select("producto_id")._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" not in plan and "ReadSchema: struct<codigo:bigint,activo:int>" in plan and "EqualTo(activo,1)" in plan
+
+
+def test_tables_are_shared_by_input_and_removed_on_close(spark, shop):
+    from conewise.plans.warehouse import Shop
+    from conewise.sources.sinks import _path
+    other = Shop.from_test_tables(spark, "/root/testdata/sf0.001")
+    assert other.root == shop.root
+    own = Shop.from_test_tables(spark, "/root/testdata/sf0.001", fresh=True)
+    own.line_flavours.count()
+    fs, folder = _path(spark, own.root)
+    assert own.root != shop.root and fs.exists(folder)
+    own.close()
+    assert not fs.exists(folder)

@@ -134,7 +134,7 @@ def test_reshape_statement_and_waterfall(spark):
     df = spark.createDataFrame([("2024-01-01", Decimal("10.00"), Decimal("4.00")),
                                 ("2024-02-01", Decimal("20.00"), Decimal("5.00"))],
                                "mes string, ing decimal(10,2), gas decimal(10,2)").withColumn("mes", F.to_date("mes"))
-    st = R.statement(df, [("Ingresos", "ing"), ("Gastos", "gas")], "mes")
+    st = R.statement(R.statement_rows(df, [("Ingresos", "ing"), ("Gastos", "gas")], "mes"), "mes")
     got = {r.concepto: (float(r["01-24"]), float(r["02-24"])) for r in st.collect()}
     assert got == {"Ingresos": (10.0, 20.0), "Gastos": (4.0, 5.0)}
     wf = R.waterfall(df.withColumn("res", F.col("ing") - F.col("gas")), "mes",
@@ -172,3 +172,36 @@ def test_global_rank_splits_a_hot_sort_value(spark):
     got = rank.global_row_number(df, order, "rn", partitions=6).select("id", "rn")
     exp = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_statement_months_come_in_date_order(spark):
+    import datetime as dt
+    rows = [(dt.date(y, m, 1), y * 100 + m) for y, m in ((2001, 2), (1999, 12), (2000, 1), (2001, 1))]
+    long = R.statement_rows(spark.createDataFrame(rows, "mes date, v int"), [("Ventas", "v"), ("Otra", "v")], "mes")
+    wide = R.statement(long, "mes")
+    assert wide.columns == ["orden", "concepto", "12-99", "01-00", "01-01", "02-01"]
+    assert [r.concepto for r in wide.collect()] == ["Ventas", "Otra"]
+
+
+def test_period_running_starts_at_the_selected_period(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2000, m, 1), m) for m in range(1, 7)], "mes date, v int")
+    got = R.period_running(df, "mes", "2000-03-01", "2000-05-01", {"v": "acumulado"}).orderBy("mes").collect()
+    assert [(r.v, r.acumulado) for r in got] == [(3, 3), (4, 7), (5, 12)]
+
+
+def test_rows_come_in_order(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 1), ("c", 2), (None, 9)], "k string, v int")
+    assert [(r.k, r.n) for r in A.value_counts(df, "k").collect()] == [("c", 2), ("a", 1), ("b", 1)]
+    assert [r.k for r in A.distinct_values(df, "k").collect()] == ["a", "b", "c"]
+    ordered = R.order_by_labels(df.filter("k is not null"), "k", ["c", "a"], F.col("v"))
+    assert [(r.k, r.v) for r in ordered.collect()] == [("c", 1), ("c", 2), ("a", 1), ("b", 1)]
+    assert [r.v for r in R.project_existing(df, ["v", "gone"], [F.col("v").desc(), F.col("k")]).collect()] == [9, 2, 1, 1, 1]
+
+
+def test_rows_without_a_key_skip_the_join(spark):
+    from conewise.plans.facts import _left_where_known
+    df = spark.createDataFrame([(i, None if i % 3 else i) for i in range(90)], "id long, k long")
+    side = spark.createDataFrame([(0, "zero"), (3, "three")], "k long, name string")
+    got = {r.id: r.name for r in _left_where_known(df, side, "k").collect()}
+    assert len(got) == 90 and {i: n for i, n in got.items() if n} == {0: "zero", 3: "three"}
