@@ -16,11 +16,12 @@ Windows.  Linked documents differ in at most D = floor((1-t)/(1+t) (|x| + |y|))
 shingles.  With p_k the pivots of x, one in each part, the triangle inequality
 gives a difference of at least sum |d(x, p_k) - d(y, p_k)| = sum d(y, p_k).  So a
 document that is not at distance 0 from more than D of the pivots is out of
-reach, and among D + 1 + ``SPARE`` parts linked documents share the region of
-at least 1 + ``SPARE`` of them.  Replicating each document to its region in
-every part loses no link.  A part without any shingle of the document is left
-out, as it would draw unrelated documents together, unless more than ``SPARE``
-are empty.  The empty set is a pivot for sizes: linked sizes differ by a factor
+reach, and among D + 1 + ``SPARE`` + m parts linked documents share the region
+of at least 1 + ``SPARE`` + m of them.  A part without any shingle of the
+document is left out, as it would draw unrelated documents together, unless more
+than ``SPARE`` are empty; so linked documents share at least 1 + m regions, and
+replicating each document to its regions loses no link.  Documents that share
+fewer regions than that with others (m is an ``EXTRA``-th of D) have no partner.  The empty set is a pivot for sizes: linked sizes differ by a factor
 of at most 1/t, so sizes are cut into scales, each with its own D, and a document
 within that factor of a scale's end stands in the next one too.
 
@@ -68,6 +69,8 @@ from conewise.llm.components import components
 
 #: Empty parts that a document may leave out.
 SPARE = 2
+#: One part more for so many differences that linked sets may have.
+EXTRA = 8
 #: Each scale of sizes ends at this multiple of the one before.
 SCALE = 1.5
 #: Members that a block of a region holds on average.
@@ -112,6 +115,11 @@ def scale_ends(most: int) -> np.ndarray:
     return np.array(ends)
 
 
+def _reach(end, percent: int):
+    """D for the two largest sets of a scale."""
+    return (100 - percent) * 2 * (end - 1) // (100 + percent)
+
+
 def regions(values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the regions that sets stand in, and the set of each."""
     ends = scale_ends(int(counts.max(initial=1)))
@@ -123,8 +131,8 @@ def regions(values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.nd
         if not len(here):
             continue
         scale, sizes = own[here] + up, counts[here]
-        reach = (100 - percent) * 2 * (ends[scale] - 1) // (100 + percent)  # D for the two largest sets of the scale
-        parts = reach + 1 + SPARE
+        reach = _reach(ends[scale], percent)
+        parts = reach + 1 + SPARE + reach // EXTRA
         of = np.repeat(np.arange(len(here)), sizes)
         x = values[np.repeat(at[here] - _bounds(sizes)[:-1], sizes) + np.arange(len(of))]
         h = hashing.mix(x)
@@ -166,15 +174,56 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def replicated(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Written table (s, hi): each set, by half its hash, in all its regions."""
+    """(s, hi): each set, by half its hash, in all its regions; equal sets of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, counts = shingles.sets(_texts(batch), size)
-            found, who = regions(values, counts, percent)
-            yield pa.RecordBatch.from_pydict({"s": found, "hi": set_hash(values, counts)[0][who]})
+            hi = set_hash(values, counts)[0]
+            _, one = np.unique(hi, return_index=True)
+            first = np.zeros(len(hi), bool)
+            first[one] = True
+            found, who = regions(values[np.repeat(first, counts)], counts[first], percent)
+            yield pa.RecordBatch.from_pydict({"s": found, "hi": hi[first][who]})
+
+    return docs.select(plain_text().alias("text")).mapInArrow(run, "s long, hi long")
 
-    return written(docs.select(plain_text().alias("text")).mapInArrow(run, "s long, hi long"), "regions", TEXT_ROWS)
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows in order of (s, hi): each hi once for every s that it shares with another."""
+    last = None  # (s, hi of its first run, hi of the run at hand, runs so far)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        s, hi = (batch.column(c).to_numpy() for c in ("s", "hi"))
+        s0, first0, hi0, runs0 = last or (~s[0], 0, 0, 0)
+        new_s = np.concatenate(([s[0] != s0], s[1:] != s[:-1]))
+        new_run = new_s | np.concatenate(([hi[0] != hi0], hi[1:] != hi[:-1]))
+        at = np.flatnonzero(new_run)
+        run_hi, opens = hi[at], new_s[at]
+        out = [run_hi[~opens]]
+        second = np.flatnonzero(~opens[1:] & opens[:-1])  # runs whose next is the second of its s
+        out.append(run_hi[second])
+        if len(at) and not opens[0] and runs0 == 1:
+            out.append(np.array([first0]))
+        yield pa.RecordBatch.from_pydict({"hi": np.concatenate(out).astype(np.int64)})
+        if opens.any():
+            k = int(np.flatnonzero(opens)[-1])
+            last = (s[-1], run_hi[k], hi[-1], len(at) - k)
+        else:
+            last = (s[-1], first0, hi[-1], runs0 + len(at))
+
+
+def sharing(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Classes that share as many regions with others as a link needs."""
+    ordered = replicated(docs, size, percent).repartition("s").sortWithinPartitions("s", "hi")
+    counts = ordered.mapInArrow(_shared, "hi long").groupBy("hi").agg(F.count("*").alias("regions"))
+    counts = written(counts, "region-counts", TEXT_ROWS)
+    ends = scale_ends(classes.agg(F.max("n")).first()[0] or 1)
+    need = F.lit(1)
+    for end in ends.tolist()[::-1]:  # of the scale that a size lies in; scales grow by a factor, so they are few
+        need = F.when(F.col("n") < end, 1 + _reach(end, percent) // EXTRA).otherwise(need)
+    return classes.join(counts, "hi").filter(F.col("regions") >= need)
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -246,13 +295,6 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def shared_regions(members: DataFrame, who: str) -> DataFrame:
-    """Members of regions (s) that at least two different ones share."""
-    shared = (members.groupBy("s").agg(F.min(who).alias("low"), F.max(who).alias("high"))
-              .filter("low <> high").select("s"))
-    return members.join(written(shared, "shared").hint("merge"), "s")  # the same join at every size
-
-
 def second_level(sets: DataFrame, order, percent: int) -> DataFrame:
     """Members (s, node, n, place) of the regions of single shingles."""
 
@@ -271,7 +313,9 @@ def second_level(sets: DataFrame, order, percent: int) -> DataFrame:
                 "place": place[chosen]})
 
     members = written(sets.select("node", "n", "shingles").mapInArrow(run, "s long, node long, n long, place long"), "second-level", TEXT_ROWS)
-    return written(shared_regions(members, "node"), "members")
+    shared = (members.groupBy("s").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+              .filter("low <> high").select("s"))
+    return written(members.join(written(shared, "shared").hint("merge"), "s"), "members")  # the same join at every size
 
 
 def _reachable(n: str, place: str, m: str, other: str, percent: int):
@@ -389,8 +433,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         rows.filter("n > 0").groupBy("hi", "lo", "n").agg(F.min(first).alias("first"))
         .select("hi", "lo", "n", F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), F.col("first.tie").alias("tie")),
         "classes")
-    near = shared_regions(replicated(docs, size, percent), "hi").select("hi").distinct()
-    wanted = written(classes.join(near, "hi").select("node", "doc_id", "tie"), "wanted").hint("merge")
+    wanted = written(sharing(docs, classes, size, percent).select("node", "doc_id", "tie"), "wanted").hint("merge")
     made = class_sets(docs, wanted, size)
     order = docs.sparkSession.sparkContext.broadcast(shingle_order(made.filter("block is not null").select("part", "block", "counts")))
     sets = written(made.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "shingles", "profile")]), "sets")
