@@ -4,35 +4,30 @@ Documents link when the Jaccard distance 1 - |x & y| / |x | y| of their sets is
 at most 1 - t.  The join works on distinct sets ("classes"); documents with
 equal sets share a class.
 
-Pivots and regions.  Jaccard distances of unrelated texts are all close to 1, so
-whole documents make poor pivots: nearly every document would lie near the
-border of every region.  The universe of shingles is therefore dealt by hash
-into parts, and each part is a metric space of its own, with the symmetric
-difference as its metric.  The pivots of a part are the sets that documents have
-there, and a document lies in the Voronoi region of its nearest pivot, its own
-part, at distance 0.
-
-Windows.  Linked documents differ in at most D = floor((1-t)/(1+t) (|x| + |y|))
-shingles.  With p_k the pivots of x, one in each part, the triangle inequality
-gives a difference of at least sum |d(x, p_k) - d(y, p_k)| = sum d(y, p_k).  So a
-document that is not at distance 0 from more than D of the pivots is out of
-reach, and among D + 1 + ``SPARE`` + m parts linked documents share the region
-of at least 1 + ``SPARE`` + m of them.  A part without any shingle of the
-document is left out, as it would draw unrelated documents together, unless more
-than ``SPARE`` are empty; so linked documents share at least 1 + m regions, and
-replicating each document to its regions loses no link.  Documents that share
-fewer regions than that with others (m is an ``EXTRA``-th of D) have no partner.  The empty set is a pivot for sizes: linked sizes differ by a factor
-of at most 1/t, so sizes are cut into scales, each with its own D, and a document
-within that factor of a scale's end stands in the next one too.
-
-Recursion.  Classes that share a region with another (few, as unrelated texts
-share none) are joined again on a second level.  There the pivots are the
-one-shingle sets {s}: d(x, {s}) is 1 - 1/|x| if s is in x, else 1, so a document
-is nearest to its own shingles, and it stands in the regions of its first k in
-one order, those that few classes have first.  With k = floor((1-t) |x|) + 1 the
-set p of these has d(x, p) = 1 - k/|x|; a y without any of them has d(y, p) = 1
-and lies more than 1 - t away.  If x and y meet at places i and j of their
-orders first, at most min(|x| - i, |y| - j) shingles are common.
+Pivots and regions.  Unrelated texts all lie at a distance close to 1, so whole
+documents would make poor pivots: windows around them would replicate nearly
+every document to every region.  The pivots are therefore the one-shingle sets
+{s}: d(x, {s}) is 1 - 1/|x| if s is in x, else 1.  A document is nearest to its own
+shingles; ties go by one global order, so its Voronoi region is that of its first
+shingle in this order.
+
+Windows.  Take as a pivot the set p of the first k shingles of x: d(x, p) is
+1 - k/|x|.  A y without any of them has d(y, p) = 1, and by the triangle
+inequality d(x, y) >= k/|x|.  With k = D + 1, D = floor((1-t) |x|), that is more
+than 1 - t, so replicating each document to its first k regions loses no link.
+With k = D + 1 + m linked documents meet in at least 1 + m of their regions, as at
+most D of either one's shingles are not common.  m is an ``EXTRA``-th of D, of the
+smaller document of a pair.
+
+First level.  All classes, in the order of the shingles' hashes.  One shuffle
+brings the rows (region, class) together, and each class counts the regions that
+it shares with any other.  Classes with fewer than a link needs have no partner
+and are done; few texts go on.
+
+Second level.  The classes left are joined again, now in an order that has the
+shingles first that few of them have, and with k = D + 1.  If x and y meet at
+places i and j of their orders first, at most min(|x| - i, |y| - j) shingles are
+common; and the empty set as a pivot bounds their sizes to a factor of 1/t.
 
 In each of these regions the smallest class is a document pivot, the same in all
 regions of a group of near copies: all members are compared with it exactly, and
@@ -67,12 +62,8 @@ from conewise.llm import hashing, shingles
 from conewise.llm.common import PAIR_ROWS, TEXT_ROWS, plain_text, read_table, ship, written
 from conewise.llm.components import components
 
-#: Empty parts that a document may leave out.
-SPARE = 2
-#: One part more for so many differences that linked sets may have.
-EXTRA = 8
-#: Each scale of sizes ends at this multiple of the one before.
-SCALE = 1.5
+#: On the first level, one region more for so many shingles that linked sets may differ in.
+EXTRA = 4
 #: Members that a block of a region holds on average.
 BLOCK = 1024
 #: Parts of the universe whose counts bound a pair's distance.
@@ -83,7 +74,6 @@ COUNTER_BLOCK = 1 << 17
 FAN_IN = 32
 
 _SALT = np.uint64(0x5851F42D4C957F2D)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -107,54 +97,20 @@ def set_hash(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return (_sums(hashing.mix(values), counts).view(np.int64), _sums(hashing.mix(values ^ _SALT), counts).view(np.int64))
 
 
-def scale_ends(most: int) -> np.ndarray:
-    """Ends (exclusive) of the scales of sizes up to ``most``, and of the one after."""
-    ends = [2]
-    while ends[-1] <= most or len(ends) < 2 or ends[-2] <= most:
-        ends.append(max(ends[-1] + 1, int(ends[-1] * SCALE)))
-    return np.array(ends)
+def first_pivots(values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles in hash order of each set, enough for the first level, and the set of each."""
+    differ = counts * (100 - percent) // 100
+    of = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(values)) - _bounds(counts)[of]
+    chosen = place <= (differ + differ // EXTRA)[of]
+    return values[chosen].view(np.int64), of[chosen]
 
 
-def _reach(end, percent: int):
-    """D for the two largest sets of a scale."""
-    return (100 - percent) * 2 * (end - 1) // (100 + percent)
-
-
-def regions(values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the regions that sets stand in, and the set of each."""
-    ends = scale_ends(int(counts.max(initial=1)))
-    at = _bounds(counts)
-    own = np.searchsorted(ends, counts, side="right")  # the first end above the size
-    found, who = [], []
-    for up in (0, 1):
-        here = np.flatnonzero((counts > 0) & ((up == 0) | (100 * counts >= percent * ends[own])))
-        if not len(here):
-            continue
-        scale, sizes = own[here] + up, counts[here]
-        reach = _reach(ends[scale], percent)
-        parts = reach + 1 + SPARE + reach // EXTRA
-        of = np.repeat(np.arange(len(here)), sizes)
-        x = values[np.repeat(at[here] - _bounds(sizes)[:-1], sizes) + np.arange(len(of))]
-        h = hashing.mix(x)
-        part = ((h >> np.uint64(32)) * parts[of].astype(np.uint64)) >> np.uint64(32)
-        order = np.lexsort((part, of))
-        of, part, h = of[order], part[order].astype(np.int64), h[order]
-        first = np.ones(len(of), bool)
-        first[1:] = (of[1:] != of[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(first)
-        content = np.add.reduceat(hashing.mix(h ^ _SALT), first)
-        of, part = of[first], part[first]
-        empty = parts - np.bincount(of, minlength=len(here))
-        for i in np.flatnonzero(empty > SPARE).tolist():  # small sets
-            rest = np.setdiff1d(np.arange(parts[i]), part[of == i])
-            of, part = np.concatenate((of, np.full(len(rest), i))), np.concatenate((part, rest))
-            content = np.concatenate((content, np.zeros(len(rest), np.uint64)))
-        place = part.astype(np.uint64) * _STEP + scale[of].astype(np.uint64) * hashing.mix(np.array([_SALT]))
-        found.append(hashing.mix(content + hashing.mix(place)))
-        who.append(here[of])
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(found).view(np.int64), np.concatenate(who)
+def regions_needed(n, percent: int):
+    """Regions that a set of n shingles shares with any that it links with; columns or arrays."""
+    smallest = (n * percent + 99 - (n * percent + 99) % 100) / 100  # sizes of partners
+    differ = smallest * (100 - percent)
+    return 1 + (differ - differ % (100 * EXTRA)) / (100 * EXTRA)
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -174,7 +130,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def replicated(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(s, hi): each set, by half its hash, in all its regions; equal sets of a batch once."""
+    """(s, hi): each set, by half its hash, in its first regions; equal sets of a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +139,7 @@ def replicated(docs: DataFrame, size: int, percent: int) -> DataFrame:
             _, one = np.unique(hi, return_index=True)
             first = np.zeros(len(hi), bool)
             first[one] = True
-            found, who = regions(values[np.repeat(first, counts)], counts[first], percent)
+            found, who = first_pivots(values[np.repeat(first, counts)], counts[first], percent)
             yield pa.RecordBatch.from_pydict({"s": found, "hi": hi[first][who]})
 
     return docs.select(plain_text().alias("text")).mapInArrow(run, "s long, hi long")
@@ -219,11 +175,7 @@ def sharing(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
     ordered = replicated(docs, size, percent).repartition("s").sortWithinPartitions("s", "hi")
     counts = ordered.mapInArrow(_shared, "hi long").groupBy("hi").agg(F.count("*").alias("regions"))
     counts = written(counts, "region-counts", TEXT_ROWS)
-    ends = scale_ends(classes.agg(F.max("n")).first()[0] or 1)
-    need = F.lit(1)
-    for end in ends.tolist()[::-1]:  # of the scale that a size lies in; scales grow by a factor, so they are few
-        need = F.when(F.col("n") < end, 1 + _reach(end, percent) // EXTRA).otherwise(need)
-    return classes.join(counts, "hi").filter(F.col("regions") >= need)
+    return classes.join(counts, "hi").filter(F.col("regions") >= regions_needed(F.col("n"), percent))
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -333,11 +285,11 @@ def against_pivots(members: DataFrame, percent: int) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct())
 
 
-def left_over(members: DataFrame, profiles: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+def left_over(members: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs of members (s, node, n, place, comp) with different components that pass all bounds."""
     sizes = members.groupBy("s").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     open_ = written(sizes.filter("low < high").select("s", "size"), "open")
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (members.join(open_, "s").join(profiles, "node")
              .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))

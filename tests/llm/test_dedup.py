@@ -109,8 +109,9 @@ def test_jaccard_components_equal_brute_force(frame, texts, size, percent):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, size, percent)
 
 
-def test_large_regions_take_several_pivots(frame, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "LEAF", 2)
+@pytest.mark.parametrize("block", [5, 1024])
+def test_large_regions_are_joined_in_blocks(frame, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rng = random.Random(8)
     rows = [(i, t) for k in range(3) for i, t in enumerate(near_copies(rng, 25, 40, 4), 100 * k)]
     got = jaccard_join.jaccard_components(frame(rows), 3, 90).collect()
@@ -127,18 +128,33 @@ def test_near_dedup_stage(spark, frame):
     assert jaccard_join.stage(spark, docs.filter("doc_id < 0"), "").count() == 0
 
 
-def test_linked_sets_share_a_region():
+def test_linked_sets_share_the_regions_needed():
     """No link is lost: brute force over random pairs near the threshold."""
     rng = np.random.default_rng(2)
+    linked = 0
     for percent in (80, 90):
-        for _ in range(400):
-            n = int(rng.integers(1, 90))
-            x = rng.integers(0, 1 << 62, n + 12).astype(np.uint64)
-            a, b = np.unique(x[: n]), np.unique(np.concatenate((x[int(rng.integers(0, 4)) : n], x[n : n + int(rng.integers(0, 12))])))
+        for _ in range(600):
+            n = int(rng.integers(1, 300))
+            x = rng.integers(0, 1 << 62, 2 * n + 12).astype(np.uint64)
+            a = np.unique(x[:n])
+            b = np.unique(np.concatenate((x[int(rng.integers(0, 2 + n // 8)) : n], x[n : n + int(rng.integers(0, 2 + n // 8))])))
             both = len(np.intersect1d(a, b))
             if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
-                found, who = jaccard_join.regions(np.concatenate((a, b)), np.array([len(a), len(b)]), percent)
-                assert np.intersect1d(found[who == 0], found[who == 1]).size
+                linked += 1
+                found, who = jaccard_join.first_pivots(np.concatenate((a, b)), np.array([len(a), len(b)]), percent)
+                shared = np.intersect1d(found[who == 0], found[who == 1]).size
+                assert shared >= max(jaccard_join.regions_needed(np.array([len(a), len(b)]), percent))
+    assert linked > 300
+
+
+def test_shared_regions_across_batches():
+    import pyarrow as pa
+    rows = [(1, 5), (1, 5), (2, 5), (2, 6), (2, 6), (2, 7), (3, 9), (4, 1), (4, 2)]
+    want = sorted([5, 6, 7, 1, 2])
+    for size in range(1, 10):
+        batches = [pa.RecordBatch.from_pydict({"s": [r[0] for r in rows[i : i + size]], "hi": [r[1] for r in rows[i : i + size]]})
+                   for i in range(0, len(rows), size)]
+        assert sorted(x for b in jaccard_join._shared(iter(batches)) for x in b.column("hi").to_pylist()) == want
 
 
 def test_shingles_of_long_texts_and_words():
