@@ -63,7 +63,7 @@ from conewise.llm.common import PAIR_ROWS, TEXT_ROWS, plain_text, read_table, sh
 from conewise.llm.components import components
 
 #: On the first level, one region more for so many shingles that linked sets may differ in.
-EXTRA = 4
+EXTRA = 1
 #: Members that a block of a region holds on average.
 BLOCK = 1024
 #: Parts of the universe whose counts bound a pair's distance.
