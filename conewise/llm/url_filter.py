@@ -8,9 +8,10 @@ on labelled URLs (here those that a rule labels): at most ``TRAIN_ROWS`` distinc
 ones, chosen by hash, the same at every size.  Features: length of url, host and
 path, depth, labels, parameters, digit ratio, entropy of the characters,
 hyphens, ``www``, scheme, file suffix, and statistics of the host's last one
-and two labels.  Suffix statistics count all labelled URLs, not the sample; they
-are kept under ``SUFFIX_SLOTS`` hash slots, so the table has a fixed size and
-may be broadcast.  A labelled URL's own label is left out of its statistics.
+and two labels.  Suffix statistics count all labelled URLs, not the sample, for
+each suffix by itself.  Those of the ``SUFFIX_SLOTS`` suffixes with most
+labelled URLs have a table of a fixed size, which may be broadcast; all others
+are joined by the suffix.  A labelled URL's own label is left out of its statistics.
 
 Defined cases: a null URL has empty host and path; without labelled URLs of both
 verdicts the method answers with the only verdict there is, or ``allow``.
@@ -30,7 +31,7 @@ from conewise.llm.common import lower_ascii, read_table, written
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 #: Labelled URLs that the trees are trained on at most.
 TRAIN_ROWS = 20_000
-#: Slots of the suffix statistics.
+#: Suffixes, of one label and of two each, whose statistics are broadcast; the others' are joined.
 SUFFIX_SLOTS = 4096
 TREES = 12
 DEPTH = 4
@@ -72,9 +73,8 @@ def entropy(text: Column) -> Column:
 
 
 def _suffix(host: Column, labels: int) -> Column:
-    """Slot of the host's last labels."""
-    last = F.substring_index(host, ".", -labels)
-    return F.pmod(F.xxhash64(F.lit(labels), last), F.lit(SUFFIX_SLOTS)).cast("int")
+    """The host's last labels."""
+    return F.substring_index(host, ".", -labels)
 
 
 def featured(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -97,34 +97,53 @@ def featured(pages: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
-def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """(labels, slot, n, blocked): labelled URLs in each slot; at most 2 * SUFFIX_SLOTS rows."""
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """(labels, suffix, n, blocked): labelled URLs of each suffix."""
     each = labelled.select("blocked", F.inline(F.array(*[
-        F.struct(F.lit(k).alias("labels"), F.col(f"suffix_{k}").alias("slot")) for k in (1, 2)])))
-    return each.groupBy("labels", "slot").agg(F.count("*").alias("n"), F.sum("blocked").alias("blocked"))
+        F.struct(F.lit(k).alias("labels"), F.col(f"suffix_{k}").alias("suffix")) for k in (1, 2)])))
+    return each.groupBy("labels", "suffix").agg(F.count("*").alias("n"), F.sum("blocked").alias("blocked"))
+
+
+def commonest(counts: DataFrame) -> DataFrame:
+    """The rows of ``counts`` with most labelled URLs; at most 2 * SUFFIX_SLOTS rows."""
+    one, two = (counts.filter(F.col("labels") == k).orderBy(F.desc("n"), "suffix").limit(SUFFIX_SLOTS) for k in (1, 2))
+    return one.unionByName(two)
 
 
-def with_statistics(rows: DataFrame, statistics: DataFrame, own: bool) -> DataFrame:
-    """Smoothed block rate and log count of each suffix; ``own`` takes the row's label out of them."""
+def suffix_statistics(labelled: DataFrame) -> DataFrame:
+    """``suffix_counts`` of the commonest suffixes."""
+    return commonest(suffix_counts(labelled))
+
+
+def with_statistics(rows: DataFrame, statistics: DataFrame, own: bool, others: DataFrame | None = None) -> DataFrame:
+    """Smoothed block rate and log count of each suffix; ``own`` takes the row's label out of them.
+
+    ``statistics`` are those of the commonest suffixes, ``others`` those of all other suffixes, if there are any.
+    """
     for k in (1, 2):
-        of = statistics.filter(F.col("labels") == k).select(
-            F.col("slot").alias(f"suffix_{k}"), F.col("n").alias(f"n_{k}"), F.col("blocked").alias(f"b_{k}"))
-        n, b = F.coalesce(f"n_{k}", F.lit(0)), F.coalesce(f"b_{k}", F.lit(0))
+        of = lambda table, mark: table.filter(F.col("labels") == k).select(  # noqa: B023, E731
+            F.col("suffix").alias(f"suffix_{k}"), F.col("n").alias(f"n{mark}"), F.col("blocked").alias(f"b{mark}"))  # noqa: B023
+        # at most SUFFIX_SLOTS rows, whatever the input
+        rows = rows.join(F.broadcast(of(statistics, "_hot")), f"suffix_{k}", "left")
+        n, b = [F.col("n_hot")], [F.col("b_hot")]
+        if others is not None:
+            rows = rows.join(of(others, "_rest"), f"suffix_{k}", "left")
+            n, b = [*n, F.col("n_rest")], [*b, F.col("b_rest")]
+        n, b = F.coalesce(*n, F.lit(0)), F.coalesce(*b, F.lit(0))
         if own:
             n, b = n - 1, b - F.col("blocked")
-        # at most SUFFIX_SLOTS rows, whatever the input
-        rows = rows.join(F.broadcast(of), f"suffix_{k}", "left").withColumns({
-            f"f_rate_{k}": (b + 1) / (n + 2), f"f_count_{k}": F.floor(F.log2(n + 1.0))}).drop(f"n_{k}", f"b_{k}")
+        rows = rows.withColumns({
+            f"f_rate_{k}": (b + 1) / (n + 2), f"f_count_{k}": F.floor(F.log2(n + 1.0))}).drop("n_hot", "b_hot", "n_rest", "b_rest")
     return rows
 
 
-def train(labelled: DataFrame, statistics: DataFrame, rows: int = TRAIN_ROWS) -> GBTClassificationModel | None:
+def train(labelled: DataFrame, statistics: DataFrame, rows: int = TRAIN_ROWS, others: DataFrame | None = None) -> GBTClassificationModel | None:
     """Trees from a sample of distinct labelled URLs by hash, or None if there are not both verdicts."""
     distinct = labelled.groupBy("url").agg(F.min("blocked").alias("blocked"))
     sample = written(distinct.orderBy(F.xxhash64("url"), "url").limit(rows).coalesce(1), "url-sample")
     if len(sample.select("blocked").distinct().take(2)) < 2:
         return None
-    ready = with_statistics(featured(sample), statistics, own=True)
+    ready = with_statistics(featured(sample), statistics, own=True, others=others)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(ready).select(
         "features", F.col("blocked").cast("double").alias("label"))
     return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, stepSize=0.3, seed=7).fit(vectors)
@@ -137,15 +156,18 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], rows: int = TRAIN_ROW
     base = base.withColumns({"rule": rule, "by_rule": verdict})
     labelled = base.filter(F.col("rule").isNotNull()).select(
         "url", "suffix_1", "suffix_2", (F.col("by_rule") == "block").cast("int").alias("blocked"))
-    statistics = written(suffix_statistics(labelled), "suffix-statistics")
-    model = train(labelled, statistics, rows)
+    counts = written(suffix_counts(labelled), "suffix-counts")
+    statistics = written(commonest(counts), "suffix-statistics")
+    others = written(counts.join(F.broadcast(statistics), ["labels", "suffix"], "left_anti"), "other-suffixes")
+    others = None if others.isEmpty() else others
+    model = train(labelled, statistics, rows, others)
     out = ["page_id", "host", "path", "rule"]
     if model is None:
-        seen = statistics.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0))).first()
+        seen = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0))).first()
         only = "block" if seen[0] and seen[0] == seen[1] else "allow"
         return base.select(*out, F.coalesce("by_rule", F.lit(only)).alias("verdict"), F.lit(None).cast("double").alias("score"))
     ruled = base.filter(F.col("rule").isNotNull()).select(*out, F.col("by_rule").alias("verdict"), F.lit(None).cast("double").alias("score"))
-    free = with_statistics(base.filter(F.col("rule").isNull()), statistics, own=False)
+    free = with_statistics(base.filter(F.col("rule").isNull()), statistics, own=False, others=others)
     scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(free)).withColumn(
         "score", vector_to_array("probability")[1])
     return ruled.unionByName(scored.select(

@@ -77,6 +77,38 @@ def test_suffix_statistics_have_a_fixed_size(spark):
     assert url_filter.suffix_statistics(frame).count() <= 2 * url_filter.SUFFIX_SLOTS
 
 
+def test_statistics_are_those_of_the_suffix_itself(spark, monkeypatch):
+    """More suffixes than the broadcast table holds: each has its own counts, and unlabelled ones have none."""
+    monkeypatch.setattr(url_filter, "SUFFIX_SLOTS", 8)
+    rows = [(f"http://h{i}.x{j}/{c}", j % 2) for j in range(20) for i in range(3) for c in range(1 + (i + j) % 4)]
+    frame = url_filter.featured(spark.createDataFrame(rows, "url string, blocked int"))
+    counts = url_filter.suffix_counts(frame).cache()
+    hot = url_filter.commonest(counts)
+    others = counts.join(hot, ["labels", "suffix"], "left_anti")
+    assert hot.count() == 16 and others.count() == 20 + 60 - 16
+    n = {(k, x): 0 for k in (1, 2) for x in range(20)}
+    two = {}
+    for url, _ in rows:
+        host = url[7:].split("/")[0]
+        two[host] = two.get(host, 0) + 1
+        n[1, int(host.split("x")[1])] += 1
+    new = url_filter.featured(spark.createDataFrame([(u,) for u, _ in rows] + [("http://h0.y/",), ("http://q.x3/",)], "url string").distinct())
+    for r in url_filter.with_statistics(new, hot, own=False, others=others).collect():
+        label = r.host.split(".")[1]
+        blocked, one, both = (int(label[1:]) % 2, n[1, int(label[1:])], two.get(r.host, 0)) if label != "y" else (0, 0, 0)
+        assert (r.f_rate_1, r.f_rate_2) == ((blocked * one + 1) / (one + 2), (blocked * both + 1) / (both + 2))
+        assert (r.f_count_1, r.f_count_2) == ((one + 1).bit_length() - 1, (both + 1).bit_length() - 1)
+
+
+def test_more_suffixes_than_the_broadcast_table_holds(pages, monkeypatch):
+    rules = [("block", "bad/"), ("allow", "good/")]
+    urls = [f"http://h{i}.{'bad' if i % 2 else 'good'}/{i}" for i in range(60)] + [f"http://h{i}.org/{i}" for i in range(40)]
+    plain = {r.page_id: r.score for r in url_filter.judged(pages(urls), rules).collect()}
+    monkeypatch.setattr(url_filter, "SUFFIX_SLOTS", 4)
+    few = {r.page_id: r.score for r in url_filter.judged(pages(urls), rules).collect()}
+    assert len(few) == 100 and few == plain
+
+
 def test_without_both_verdicts(pages):
     assert {r.verdict for r in url_filter.judged(pages(["http://a.org/", None]), url_filter.RULES).collect()} == {"allow"}
     only = url_filter.judged(pages(["http://a.net/es/", "http://a.org/"]), url_filter.RULES).collect()
