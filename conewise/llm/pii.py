@@ -3,7 +3,7 @@ r"""Personal data: patterns propose spans, checksums confirm them, words nearby
 Every kind has a pattern, a validator (parts of an address, the Luhn sum of a
 card, the number of digits of a phone, mod-97 of an IBAN) and a starting score.
 A confirmed checksum raises the score, and so do words that stand within
-``CONTEXT`` characters.  The four base kinds (email, ip, card, phone) are always
+``CONTEXT`` characters of the text, other matches included.  The four base kinds (email, ip, card, phone) are always
 reported if valid; the others need a score of ``THRESHOLD``.
 
 The patterns match leftmost and without overlap within a kind.  They are
@@ -41,6 +41,7 @@ class Kind:
     hint: str  # a text without this cannot match
     valid: Callable[[Column], Column]
     score: float
+    least: int  # characters of the shortest match
     context: list[str] = field(default_factory=list)
     base: bool = True
 
@@ -102,14 +103,14 @@ def _ssn(hit: Column) -> Column:
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 KINDS = [
-    Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda h: F.lit(True), 0.9),
-    Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", _ip, 0.6, ["ip", "address", "host", "server"]),
+    Kind("email", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda h: F.lit(True), 0.9, 5),
+    Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", _ip, 0.6, 7, ["ip", "address", "host", "server"]),
     # a chain of at least twelve digits, each after at most one space or hyphen
-    Kind("card", r"[0-9](?:[ -]?[0-9]){11,}+", "[0-9][ -]?[0-9]", _luhn, 0.8, ["card", "visa", "mastercard", "credit", "karte", "carte"]),
-    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", _phone, 0.7, ["phone", "tel", "call", "mobile", "fax"]),
+    Kind("card", r"[0-9](?:[ -]?[0-9]){11,}+", "[0-9][ -]?[0-9]", _luhn, 0.8, 12, ["card", "visa", "mastercard", "credit", "karte", "carte"]),
+    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", _phone, 0.7, 4, ["phone", "tel", "call", "mobile", "fax"]),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-         "[A-Z]{2}[0-9]{2}", _mod97, 0.8, ["iban", "bank", "account", "konto", "compte", "cuenta"], base=False),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]-[0-9]", _ssn, 0.3,
+         "[A-Z]{2}[0-9]{2}", _mod97, 0.8, 12, ["iban", "bank", "account", "konto", "compte", "cuenta"], base=False),
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]-[0-9]", _ssn, 0.3, 11,
          ["ssn", "social", "security"], base=False),
 ]
 
@@ -123,9 +124,25 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _parts(kind: Kind, text: Column) -> Column:
-    """The text around the matches, and the matches."""
-    return F.struct(F.split(text, kind.pattern, -1).alias("gaps"),
-                    F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hits"))
+    """The text around the matches, the matches, and the ends of both that contexts are made of."""
+    def ended(p: Column) -> Column:
+        gaps, hits = p["gaps"], p["hits"]
+        last, first = lambda c: F.right(c, F.lit(CONTEXT)), lambda c: F.left(c, F.lit(CONTEXT))
+        tails = F.transform(hits, lambda hit, j: last(F.concat(last(F.get(gaps, j)), last(hit))))
+        heads = F.transform(hits, lambda hit, j: first(F.concat(first(hit), first(F.get(gaps, j + 1)))))
+        return F.struct(gaps.alias("gaps"), hits.alias("hits"), tails.alias("tails"), heads.alias("heads"))
+
+    return _bound(F.struct(F.split(text, kind.pattern, -1).alias("gaps"),
+                           F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hits")), ended)
+
+
+def _around(kind: Kind, p: Column, i: Column) -> tuple[Column, Column]:
+    """The ``CONTEXT`` characters of the text before and after match ``i``, over as many other matches as fit in them."""
+    many = -(-CONTEXT // kind.least)
+    before = F.slice(p["tails"], F.greatest(i - many, F.lit(0)) + 1, F.least(i, F.lit(many)))
+    after = F.slice(p["heads"], i + 2, F.lit(many))
+    return (F.right(F.concat(F.array_join(before, ""), F.right(F.get(p["gaps"], i), F.lit(CONTEXT))), F.lit(CONTEXT)),
+            F.left(F.concat(F.left(F.get(p["gaps"], i + 1), F.lit(CONTEXT)), F.array_join(after, "")), F.lit(CONTEXT)))
 
 
 def _proposals(number: int, kind: Kind, text: Column) -> Column:
@@ -133,7 +150,7 @@ def _proposals(number: int, kind: Kind, text: Column) -> Column:
         gaps = p["gaps"]
 
         def row(hit: Column, i: Column) -> Column:
-            before, after = F.right(F.get(gaps, i), F.lit(CONTEXT)), F.left(F.get(gaps, i + 1), F.lit(CONTEXT))
+            before, after = _around(kind, p, i)
             return F.struct(
                 F.lit(number).alias("kind"), i.alias("i"), F.length(F.get(gaps, i)).cast("long").alias("gap"),
                 F.length(hit).cast("long").alias("size"), kind.accepted(hit, before, after).alias("accepted"),
@@ -171,7 +188,7 @@ def _masked(kind: Kind, text: Column) -> Column:
 
         def piece(gap: Column, i: Column) -> Column:
             hit = F.get(hits, i)
-            ok = kind.accepted(hit, F.right(gap, F.lit(CONTEXT)), F.left(F.get(gaps, i + 1), F.lit(CONTEXT)))
+            ok = kind.accepted(hit, *_around(kind, p, i))
             return F.concat(gap, F.when(i < F.size(hits), F.when(ok, F.lit(kind.mask)).otherwise(hit)).otherwise(""))
 
         return F.array_join(F.transform(gaps, piece), "")

@@ -123,6 +123,18 @@ def test_checksums_and_context(frame):
     assert got == {1: [("iban", 1.0)], 2: [], 3: [("ssn", 0.7)], 4: [], 5: [], 6: [("iban", 0.8)]}
 
 
+def test_context_goes_over_neighbouring_matches(spark, frame):
+    rows = [(1, "SSN 123-45-6789, 234-56-7890, 345-67-8901 "), (2, "123-45-6789, 234-56-7890 ssn"),
+            (3, "ssn 123-45-6789" + " " * 36 + "234-56-7890 " + "é" * 40 + " 345-67-8901"),
+            (4, "ssn" + " 123-45-6789" * 5)]
+    got = {r.doc_id: [s.start for s in r.found] for r in pii.find(frame(rows)).collect()}
+    # 40 characters reach over three numbers of eleven and a space, not over 36 spaces and one
+    assert got == {1: [4, 17, 30], 2: [0, 13], 3: [4], 4: [4, 16, 28, 40]}
+    left = {r.doc_id: r.text for r in pii.stage(spark, frame([(i, t, "s") for i, t in rows]), "").collect()}
+    assert left[1] == "SSN [SSN], [SSN], [SSN] " and left[2] == "[SSN], [SSN] ssn"
+    assert left[3].count("[SSN]") == 1 and left[4] == "ssn" + " [SSN]" * 4 + " 123-45-6789"
+
+
 def test_repeated_rows_and_no_rows(spark, frame):
     docs = frame([(1, "a@b.c"), (1, "a@b.c"), (None, "1.2.3.4"), (None, "1.2.3.4")])
     got = sorted((repr(r.doc_id), len(r.found)) for r in pii.find(docs).collect())
