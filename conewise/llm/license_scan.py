@@ -6,6 +6,9 @@ template votes for the diagonal ``pos - tpos``.  Votes are added up for each
 document, template and diagonal, neighbouring diagonals (a word more or less in
 the text) are merged, and a merged span is verified: enough of the template's
 different grams must stand in it, within the length that the template allows.
+A merged span that is longer (a short notice again and again) is split: of the
+stretches of allowed length that hold enough grams, those with the most grams,
+then the shortest, then the first are taken, as long as they do not overlap.
 
 Phrases are templates too: a phrase stands where one diagonal has the votes of
 all its grams.  Short templates use grams of two words, long ones of four, told
@@ -103,6 +106,50 @@ def hits(docs: DataFrame) -> DataFrame:
                    "gram-hits", TEXT_ROWS)
 
 
+def stretches(hits: list[tuple[int, int]], k: int, most: int, least: float) -> list[tuple[int, int, int]]:
+    """(start, end, grams) of stretches without overlap of at most ``most`` words with ``least`` different grams or more.
+
+    ``hits`` are sorted (pos, tpos).  Each stretch starts and ends with a hit.
+    """
+    found = []
+    for i, (start, _) in enumerate(hits):
+        seen, end = set(), start
+        for j in range(i, len(hits)):
+            pos, tpos = hits[j]
+            if pos + k - start > most:
+                break
+            if tpos not in seen:
+                seen.add(tpos)
+                end = pos + k
+        if len(seen) >= least:
+            found.append((-len(seen), end - start, start))
+    first = hits[0][0] if hits else 0
+    taken = np.zeros(hits[-1][0] + k - first if hits else 0, bool)
+    out = []
+    for n, length, start in sorted(found):
+        place = slice(start - first, start - first + length)
+        if not taken[place].any():
+            taken[place] = True
+            out.append((start, start + length, -n))
+    return sorted(out)
+
+
+def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merged spans within the allowed length as they are, longer ones in stretches."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if r["hits"] is None:
+                out.append((r["row"], r["label"], r["phrase"], r["start"], r["end"], r["score"]))
+                continue
+            hits = [(h["pos"], h["tpos"]) for h in r["hits"]]
+            out += [(r["row"], r["label"], r["phrase"], a, b, n / r["n_grams"])
+                    for a, b, n in stretches(hits, r["k"], r["longest"], COVER * r["n_grams"])]
+        names = ["row", "label", "phrase", "start", "end", "score"]
+        types = [pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.float64()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], t) for c, t in enumerate(types)], names)
+
+
 def spans(found: DataFrame, templates: DataFrame) -> DataFrame:
     """(row, label, phrase, start, end, score): base places, and merged spans of templates with their share of grams."""
     votes = (found.filter("k > 0").withColumn("diagonal", F.col("pos") - F.col("tpos"))
@@ -119,12 +166,18 @@ def spans(found: DataFrame, templates: DataFrame) -> DataFrame:
         .groupBy("row", "tpl", "label", "phrase", "n_grams", "k", "group")
         .agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"),
              F.min(F.col("diagonal") + F.col("seen")[0]).alias("start"),
-             F.max(F.col("diagonal") + F.element_at("seen", -1) + F.col("k")).alias("end"))
+             F.max(F.col("diagonal") + F.element_at("seen", -1) + F.col("k")).alias("end"),
+             F.collect_list(F.struct("diagonal", "seen")).alias("votes"))
         .withColumn("score", F.size("seen") / F.col("n_grams"))
+        .withColumn("longest", F.col("n_grams") + F.col("k") + 2 * BAND)
     )
-    longest = F.col("n_grams") + F.col("k") + 2 * BAND
-    good = merged.filter((F.col("score") >= COVER) & (F.col("end") - F.col("start") <= longest))
-    return full.unionByName(good.select("row", "label", "phrase", "start", "end", "score"))
+    places = F.flatten(F.transform("votes", lambda v: F.transform(
+        v["seen"], lambda t: F.struct((v["diagonal"] + t).alias("pos"), t.alias("tpos")))))
+    enough = merged.filter(F.col("score") >= COVER).select(  # no part has more grams than the whole
+        "row", "label", "phrase", "start", "end", "score", "n_grams", "k", "longest",
+        F.when(F.col("end") - F.col("start") > F.col("longest"), F.sort_array(places)).alias("hits"))
+    good = enough.mapInArrow(split, "row long, label string, phrase boolean, start int, end int, score double")
+    return full.unionByName(good)
 
 
 def license_scan(docs: DataFrame) -> DataFrame:

@@ -180,5 +180,15 @@ def test_notices_with_changed_words_are_found(frame):
     assert 0.6 <= got[1].score < 1 and got[2].score == 1 and got[2].spans[0].start == 100 and got[3].score == 0
 
 
+def test_repeated_short_notices_are_found(frame):
+    rows = [(n, "x " + "All rights reserved. " * n) for n in (1, 2, 3, 4, 50)]
+    rows += [(100, "all rights x " * 9 + "all rights reserved"), (101, "all rights x " * 9)]
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(rows)).collect()}
+    assert all(got[n].labels == "all-rights-reserved" and got[n].score == 1 for n in (1, 2, 3, 4, 50, 100))
+    assert [(s.start, s.end) for s in got[50].spans] == [(1 + 3 * i, 4 + 3 * i) for i in range(50)]
+    assert [(s.start, s.end) for s in got[100].spans] == [(27, 30)]
+    assert got[101].labels == "" and got[101].score == 0
+
+
 def test_no_documents(frame):
     assert license_scan.license_scan(frame([(1, "a")]).filter("doc_id < 0")).count() == 0
