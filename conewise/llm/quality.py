@@ -12,7 +12,9 @@ smallest hash among its other lines: documents that are the same but for some
 lines count once.  Lines that at least ``min_documents`` distinct documents of
 a host share, and more than ``max_share`` of the host's documents, are removed.
 A document that loses lines is rejected as depleted if it keeps fewer than
-``min_words`` words and less than ``min_left`` of the words it had.
+``MIN_WORDS`` words and less than ``min_left`` of the words it had.  With the
+production limits the share decides only up to 30 words; a longer document that
+keeps ten words stays, however many it lost.
 
 Rows per (host, line) are counted by partial aggregates, then written, so that a
 hot line or host is split by adaptive execution in the join back.
