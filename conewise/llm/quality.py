@@ -4,9 +4,9 @@ Text rules (per document): words, their code points, symbols, repeated lines and
 words in repeated five-word windows.  A document with fewer than 10 words, or
 with more than a fifth of its words in repeated windows, fails.
 
-Line rule (across documents): each line with a word is normalised (ASCII lower
-case, one space for each run of white space, trimmed) and hashed.  For each host and line the
-distinct documents are counted.  Copies and near copies of one document must
+Line rule (across documents): each line with a word is normalised (one space
+for each run of white space, trimmed, letters as they are) and hashed.  For each
+host and line the distinct documents are counted.  Copies and near copies of one document must
 not make its own lines look like boilerplate, so a document counts by its
 smallest hash among its other lines: documents that are the same but for some
 lines count once.  Lines that at least ``min_documents`` distinct documents of
