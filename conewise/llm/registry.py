@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import exact_dedup, jaccard_join, license_scan, line_dedup, merkle, packing, pii, piece_encoding, quality, token_files, url_filter
+from conewise.llm import divergence, exact_dedup, jaccard_join, license_scan, line_dedup, merkle, packing, pii, piece_encoding, quality, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": token_files.op9_token_files,
     "op10_pii": pii.op10_pii,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -29,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op6_quality_rules": quality.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
+    "op13_source_divergence": divergence.ORACLE,
 }
