@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conewise.llm import divergence, exact_dedup, jaccard_join, license_scan, line_dedup, merkle, packing, pii, piece_encoding, quality, token_files, url_filter
+from conewise.llm import (
+    divergence,
+    exact_dedup,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    merkle,
+    packing,
+    pii,
+    piece_encoding,
+    quality,
+    substring_dedup,
+    token_files,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +35,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_pii": pii.op10_pii,
+    "op11_substring_dedup": substring_dedup.op11_substring_dedup,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
@@ -29,6 +44,7 @@ ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op6_quality_rules": quality.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op11_substring_dedup": substring_dedup.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
     "op13_source_divergence": divergence.ORACLE,
 }
