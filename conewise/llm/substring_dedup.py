@@ -51,12 +51,14 @@ from conewise.operators.hot_keys import SHARE, join_hot
 #: Words of a window.
 SIZE = 13
 #: Words of the runs of which a window's smallest is its anchor.
-ANCHOR = 3
+ANCHOR = 4
 #: Windows of a segment at most.
 MOST_WINDOWS = 16
 #: Words that a shard's segments hold on average, and distinct segments of an anchor from which they are cut.
 SHARD_WORDS = 40_000
 HEAVY = 2_000
+#: Bytes whose words are hashed at a time, so that the arrays stay in a core's cache.
+SLICE = 1 << 17
 
 _NONE = (1 << 63) - 1  # an id after all others
 _SPACE = np.zeros(256, bool)
@@ -87,7 +89,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts of any length, and the number of words of each."""
     parts = [(i, p) for i, t in enumerate(texts) for p in (_parts(t) if len(t) > hashing.MOST_BYTES // 2 else (t,))]
     hashes, counts = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
-    for a, b in tokens.slices([len(p) + 1 for _, p in parts], hashing.MOST_BYTES // 2):
+    for a, b in tokens.slices([len(p) + 1 for _, p in parts], SLICE):
         few = parts[a:b]
         for some in (few,) if sum(len(p) + 1 for _, p in few) < hashing.MOST_BYTES else ([p] for p in few):
             if len(some) == 1 and len(some[0][1]) >= hashing.MOST_BYTES // 2:
@@ -107,16 +109,17 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), counts
 
 
-def _run_hashes(h: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(first), np.uint64)
-    for j in range(int(words.max(initial=0))):
-        more = j < words
-        out[more] = hashing.mix(out[more] * _STEP + h[first[more] + j])
-    return hashing.mix(out + words.astype(np.uint64))
+def _run_hashes(runs: np.ndarray, first: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``first`` on, from the hashes of the runs of ANCHOR words that cover them."""
+    out = runs[first + words - ANCHOR] + words.astype(np.uint64)
+    for j in range(0, int(words.max(initial=0)) - ANCHOR, ANCHOR):
+        more = np.flatnonzero(j + ANCHOR < words)
+        out[more] = hashing.mix(out[more] * _STEP + runs[first[more] + j])
+    return out
 
 
-def segments(texts: list[bytes], size: int = SIZE) -> dict[str, np.ndarray]:
-    """The segments of some texts: text, start (its first word), n (windows), anchor, and the hash of its words."""
+def segments(texts: list[bytes], size: int = SIZE, hashed: bool = True) -> dict[str, np.ndarray]:
+    """The segments of some texts: text, start (its first word), n (windows), anchor, and, if ``hashed``, the hash of its words."""
     h, counts = word_hashes(texts)
     if len(h) < size:
         none = np.zeros(0, np.int64)
@@ -141,7 +144,8 @@ def segments(texts: list[bytes], size: int = SIZE) -> dict[str, np.ndarray]:
     first = np.repeat(first, pieces) + within
     start = at[first]
     return {"text": of[start], "start": start - (np.cumsum(counts) - counts)[of[start]], "n": length,
-            "anchor": low[first].view(np.int64), "hash": _run_hashes(h, start, length + size - 1).view(np.int64)}
+            "anchor": low[first].view(np.int64),
+            "hash": _run_hashes(runs, start, length + size - 1).view(np.int64) if hashed else np.zeros(len(first), np.int64)}
 
 
 def _raw(column: pa.Array) -> list[bytes]:
@@ -177,21 +181,26 @@ class SuffixAutomaton:
         return twin
 
     def add(self, words: Iterable[str], document: int) -> None:
+        then, link, length, first = self.next, self.link, self.length, self.first
         last = 0
         for word in words:
-            state = self.next[last].get(word)
+            state = then[last].get(word)
             if state is not None:
-                last = self._split(last, word, state)
-            else:
-                new, before = self._state(self.length[last] + 1, 0, {}), last
-                while before >= 0 and word not in self.next[before]:
-                    self.next[before][word] = new
-                    before = self.link[before]
-                if before >= 0:
-                    self.link[new] = self._split(before, word, self.next[before][word])
-                last = new
-            if document < self.first[last]:
-                self.first[last] = document
+                last = state if length[state] == length[last] + 1 else self._split(last, word, state)
+                if document < first[last]:
+                    first[last] = document
+                continue
+            new, before = len(link), last
+            then.append({})
+            link.append(0)
+            length.append(length[last] + 1)
+            first.append(document)
+            while before >= 0 and word not in then[before]:
+                then[before][word] = new
+                before = link[before]
+            if before >= 0:
+                link[new] = self._split(before, word, then[before][word])
+            last = new
 
     def finish(self) -> None:
         """Documents of longer strings are those of their suffixes too."""
@@ -202,22 +211,29 @@ class SuffixAutomaton:
 
     def matches(self, words: Iterable[str]) -> Iterator[tuple[int, int]]:
         """Matching statistics: after each word, the state and the length of the longest match that ends there."""
+        then, link, lengths = self.next, self.link, self.length
         state = length = 0
         for word in words:
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.next[state]:
-                state, length = self.next[state][word], length + 1
+            step = then[state].get(word)
+            while step is None and state:
+                state = link[state]
+                length = lengths[state]
+                step = then[state].get(word)
+            if step is not None:
+                state, length = step, length + 1
             yield state, length
 
     def first_documents(self, words: list[str], size: int) -> list[int]:
         """Smallest document with each window of ``size`` words, _NONE if there is none."""
-        out = []
+        link, lengths, out = self.link, self.length, []
         for state, length in self.matches(words):
-            while length >= size and self.length[self.link[state]] >= size:
-                state = self.link[state]
-            out.append(self.first[state] if length >= size else _NONE)
+            if length < size:
+                out.append(_NONE)
+                continue
+            up = link[state]
+            while lengths[up] >= size:
+                state, up = up, link[up]
+            out.append(self.first[state])
         return out[size - 1 :]
 
 
@@ -250,12 +266,12 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64("doc_id", "text").alias("key"), "text")
 
 
-def _placed(rows: DataFrame, size: int) -> DataFrame:
+def _placed(rows: DataFrame, size: int, hashed: bool = True) -> DataFrame:
     """(anchor, hash, doc, tie, key, place): every segment of the texts; place is 256 * its first word + its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = segments(_raw(batch.column("text")), size)
+            found = segments(_raw(batch.column("text")), size, hashed)
             of = pa.array(found["text"])
             begin = batch.column("start").to_numpy()[found["text"]]
             yield pa.RecordBatch.from_arrays(
@@ -268,7 +284,7 @@ def _placed(rows: DataFrame, size: int) -> DataFrame:
 
 def passages(docs: DataFrame, size: int) -> DataFrame:
     """Written table (doc, tie, start, text, key): the runs of windows whose anchors stand in several documents; key numbers them."""
-    placed = _placed(_keyed(docs).withColumn("start", F.lit(0).cast("long")), size)
+    placed = _placed(_keyed(docs).withColumn("start", F.lit(0).cast("long")), size, hashed=False)
     anchors = (placed.select("anchor", "doc").groupBy("anchor")
                .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n")).filter("low < high"))
     anchors = written(anchors.select("anchor", "n"), "shared-anchors")
