@@ -31,15 +31,27 @@ common; and the empty set as a pivot bounds their sizes to a factor of 1/t.
 
 In each of these regions the smallest class is a document pivot, the same in all
 regions of a group of near copies: all members are compared with it exactly, and
-links make components.  The members of different components that are left are
-compared pair by pair in blocks of at most ``BLOCK``, so that a region of any
-size is spread over many tasks.  A pair must pass the bounds on sizes and places
-and a bound by ``CLASSES`` more pivots, the parts of the universe by hash: the
-differences of the two documents' counts in the parts add up to at most their
-distance.  Only pairs that pass leave a block, and they are compared exactly.
-
-Only components are asked for: pairs inside a component need no comparing.  The
-order on the second level comes from counters of fixed size (``SKETCH``, one byte
+links make components.  All members that share a document pivot make its cell, so
+a group of near copies, which fills a region for each of its rare shingles, is one
+cell.  Linked documents share a region, hence a cell.
+
+Recursion.  An open cell, one with members of several components, that has more
+than ``BLOCK`` members takes a new document pivot p.  All members are compared with
+it, links join components, and the cell splits into rings floor(d(x, p) / (1 - t)).
+By the triangle inequality d(x, p) and d(y, p) of linked documents differ by at
+most 1 - t, so their rings are the same or neighbours: each ring is joined with
+the members of the next lower one, the boundary documents, which are replicated
+to it.  Rings are cells of the next round.  A cell whose largest ring holds most
+of it is not split any more but keeps taking pivots while they link members.
+
+Blocks.  Open cells that are left are dealt in parts of about ``BLOCK`` members, with
+their whole sets: first each part is a block, then, where components are still
+apart, each two parts of a cell.  A block counts common shingles
+of all its members at once and gives only links between components, one less
+than the components it joins at most, so what leaves it grows with the members,
+however many pairs link.
+
+The order on the second level comes from counters of fixed size (``SKETCH``, one byte
 each when broadcast); shingles that share a counter change the order, never the
 result.
 
@@ -55,7 +67,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conewise.llm import hashing, shingles
@@ -64,10 +76,11 @@ from conewise.llm.components import components
 
 #: On the first level, one region more for so many shingles that linked sets may differ in.
 EXTRA = 1
-#: Members that a block of a region holds on average.
-BLOCK = 1024
-#: Parts of the universe whose counts bound a pair's distance.
-CLASSES = 64
+#: Members up to which a cell is compared in one block.
+BLOCK = 512
+#: A cell is split if its largest ring is smaller than this share of it; pivots that it takes at most.
+SPLIT = 0.7
+ROUNDS = 6
 #: Counters of the order on the second level, and how they are cut and added up.
 SKETCH = 1 << 21
 COUNTER_BLOCK = 1 << 17
@@ -179,7 +192,7 @@ def sharing(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> Dat
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Written table: (node, n, shingles, profile) of some classes, from the text of one
+    """Written table: (node, n, shingles) of some classes, from the text of one
     document of each, and rows (part, block, counts) of counters of their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,21 +201,18 @@ def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             values, counts = shingles.sets(_texts(batch), size)
             seen += np.bincount((values & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
             at, raw = (_bounds(counts) * 8).tolist(), values.tobytes()
-            profiles = np.zeros(len(counts) * CLASSES, np.int64)
-            np.add.at(profiles, np.repeat(np.arange(len(counts)), counts) * CLASSES + (values >> np.uint64(58)).astype(np.int64) % CLASSES, 1)
-            profiles = np.minimum(profiles, 65535).astype("<u2").reshape(-1, CLASSES)
             none = [pa.nulls(len(counts), t) for t in (pa.int64(), pa.int32(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array(counts), pa.array([raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-                 pa.array([p.tobytes() for p in profiles], pa.binary()), *none], names)
+                 *none], names)
         if seen.any():
             blocks = SKETCH // COUNTER_BLOCK
-            none = [pa.nulls(blocks, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+            none = [pa.nulls(blocks, t) for t in (pa.int64(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*none, pa.array([TaskContext.get().partitionId()] * blocks, pa.int64()), pa.array(range(blocks), pa.int32()),
                  pa.array([c.tobytes() for c in seen.reshape(blocks, -1)], pa.binary())], names)
 
-    schema = "node long, n long, shingles binary, profile binary, part long, block int, counts binary"
+    schema = "node long, n long, shingles binary, part long, block int, counts binary"
     names = [c.split()[0] for c in schema.split(", ")]
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), plain_text().alias("text"))
     texts = texts.select("id", F.xxhash64("text").alias("text_hash"), "text")
@@ -229,22 +239,35 @@ def shingle_order(counters: DataFrame) -> np.ndarray:
     return np.floor(4 * np.log2(total.astype(np.float64) + 1)).astype(np.uint8)
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 |x & y| >= percent |x | y|."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of both sets and of their common part: a, b, n, m, both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            out = np.zeros((3, batch.num_rows), np.int64)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                x, y = (x, y) if len(x) < len(y) else (y, x)
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+                out[:, i] = len(x), len(y), _common(x, y)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *map(pa.array, out)], ["a", "b", "n", "m", "both"])
 
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, n long, m long, both long")
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    x, y = (x, y) if len(x) < len(y) else (y, x)
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _links(n, m, both, percent: int):
+    """100 |x & y| >= percent |x | y|, for columns or arrays."""
+    return 100 * both >= percent * (n + m - both)
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 |x & y| >= percent |x | y|."""
+    return compared(pairs, sets).filter(_links(F.col("n"), F.col("m"), F.col("both"), percent)).select("a", "b")
 
 
 def second_level(sets: DataFrame, order, percent: int) -> DataFrame:
@@ -277,98 +300,164 @@ def _reachable(n: str, place: str, m: str, other: str, percent: int):
             & (F.least(n - place, m - other) * (100 + percent) >= percent * (n + m)))
 
 
-def against_pivots(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each member with the smallest class of its region."""
+def met_pivots(members: DataFrame, percent: int) -> DataFrame:
+    """Written table (cell, node, n, near): the classes in the regions of each document pivot, the cell.
+
+    ``near`` tells whether sizes and places allow a link with the pivot.
+    """
     pivots = members.groupBy("s").agg(F.min(F.struct("node", "n", "place")).alias("p"))
     met = members.join(written(pivots, "pivots"), "s")
-    return (met.filter((F.col("node") != F.col("p.node")) & _reachable("n", "place", "p.n", "p.place", percent))
-            .select(F.col("node").alias("a"), F.col("p.node").alias("b")).distinct())
-
-
-def left_over(members: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (s, node, n, place, comp) with different components that pass all bounds."""
-    sizes = members.groupBy("s").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    open_ = written(sizes.filter("low < high").select("s", "size"), "open")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = (members.join(open_, "s").join(profiles, "node")
-             .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("s", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     (F.col("own") > F.col("other")).alias("second"), "node", "n", "place", "comp", "profile"))
-    key = ["s", "i", "j"]
-    return (dealt.repartition(*key).sortWithinPartitions(*key)
-            .mapInArrow(_pairs_of_blocks(percent), "a long, b long").distinct())
-
-
-def _pairs_of_blocks(percent: int):
+    near = (F.col("node") != F.col("p.node")) & _reachable("n", "place", "p.n", "p.place", percent)
+    return written(met.select(F.col("p.node").alias("cell"), "node", "n", near.cast("int").alias("near"))
+                   .groupBy("cell", "node").agg(F.first("n").alias("n"), F.max("near").alias("near")), "cells")
+
+
+def _labelled(cells: DataFrame, found: DataFrame | None) -> DataFrame:
+    if found is None:
+        return cells.withColumn("comp", F.col("node"))
+    return cells.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _open(cells: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Written table (cell, node, n, comp, size) of the cells with several components."""
+    labelled = written(_labelled(cells.select("cell", "node", "n"), found), "labelled")
+    sizes = labelled.groupBy("cell").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return written(labelled.join(sizes.filter("low < high").select("cell", "size"), "cell"), "open")
+
+
+def _ring(percent: int) -> Column:
+    """floor(distance / (1 - t)), exact."""
+    union = F.col("n") + F.col("m") - F.col("both")
+    return F.call_function("div", 100 * (union - F.col("both")), union * F.lit(100 - percent))
+
+
+def pivot_round(cells: DataFrame, sets: DataFrame, percent: int, number: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One pivot for each cell: links (a, b), the cells' rings as new cells, and the cells that rings do not split."""
+    pivots = cells.groupBy("cell").agg(F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), "node")).alias("p"))
+    met = written(cells.join(pivots.select("cell", F.col("p.node").alias("pivot")), "cell"), "met")
+    pairs = met.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    measured = written(compared(pairs, sets), "measured", PAIR_ROWS)
+    links = measured.filter(_links(F.col("n"), F.col("m"), F.col("both"), percent) & (F.col("a") != F.col("b"))).select("a", "b")
+    rings = written(met.join(measured.select(F.col("a").alias("node"), F.col("b").alias("pivot"), _ring(percent).alias("ring")),
+                             ["node", "pivot"]).select("cell", "node", "n", "size", "ring"), "rings")
+    whole = (rings.groupBy("cell", "size", "ring").count().groupBy("cell", "size").agg(F.max("count").alias("most"))
+             .filter(F.col("most") >= SPLIT * F.col("size")).select("cell"))
+    whole = written(whole, "whole")
+    apart = rings.join(whole, "cell", "left_anti")
+    ring = F.explode(F.array("ring", F.col("ring") + 1)).alias("of")  # its own ring, and the next as a boundary document
+    split = apart.select("cell", "node", "n", ring).select(F.xxhash64("cell", "of").alias("cell"), "node", "n").distinct()
+    return links, written(split, "ring-cells"), rings.join(whole, "cell").select("cell", "node", "n")
+
+
+def block_links(cells: DataFrame, sets: DataFrame, percent: int, across: bool) -> DataFrame:
+    """Links (a, b) between different components of open cells (cell, node, comp, size): within their parts, or across them."""
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = (cells.join(sets.select("node", "shingles"), "node")
+             .withColumn("own", F.pmod(F.xxhash64("node"), parts).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)) if across else F.col("own"))
+             .filter(F.col("own") != F.col("other") if across else F.lit(True))
+             .select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     (F.col("own") > F.col("other")).alias("second"), "node", "comp", "shingles"))
+    key = ["cell", "i", "j"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("s", "i", "j", "second", "node", "n", "place", "comp")}
-            columns["profile"] = np.frombuffer(b"".join(batch.column("profile").to_pylist()), "<u2").reshape(-1, CLASSES)
-            if rest is not None:
-                columns = {c: np.concatenate((rest[c], v)) for c, v in columns.items()}
-            starts = _block_starts(columns)
-            rest = {c: v[starts[-1] :] for c, v in columns.items()}  # the last block may go on
-            yield from _pairs({c: v[: starts[-1]] for c, v in columns.items()}, starts, percent)
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            ends = _ends([table[c].to_numpy() for c in key])
+            for a, b in zip([0, *ends[:-1]], ends, strict=True):
+                yield from _joined(table.slice(a, b - a), percent)
+            rest = table.slice(ends[-1] if ends else 0)  # the last block may go on
         if rest is not None:
-            yield from _pairs(rest, np.append(_block_starts(rest), len(rest["s"])), percent)
+            yield from _joined(rest, percent)
 
-    return run
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long").distinct()
 
 
-def _block_starts(columns: dict[str, np.ndarray]) -> np.ndarray:
-    new = np.ones(len(columns["s"]), bool)
-    new[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in ("s", "i", "j")], axis=0)
-    return np.flatnonzero(new)
+def _ends(columns: list[np.ndarray]) -> list[int]:
+    """Where a row differs from the one before."""
+    return (np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1).tolist() if len(columns[0]) else []
 
 
-def _pairs(c: dict[str, np.ndarray], starts: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs within the blocks that start at ``starts`` (and end at its last)."""
-    if not len(c["s"]):
+def _joined(block: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of a block that join its components."""
+    nodes, comps, second = (block[c].to_pylist() for c in ("node", "comp", "second"))
+    if len(set(comps)) < 2:
+        return
+    i, j = block["i"][0].as_py(), block["j"][0].as_py()
+    sets = [np.frombuffer(x, np.uint64) for x in block["shingles"].to_pylist()]
+    root = {c: c for c in comps}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for x, y in _close(sets, percent):
+        u, v = find(comps[x]), find(comps[y])
+        if u != v and (i == j or second[x] != second[y]):
+            root[max(u, v)] = min(u, v)
+            out.append((nodes[x], nodes[y]))
+    if out:
+        yield pa.RecordBatch.from_pydict({"a": [max(p) for p in out], "b": [min(p) for p in out]})
+
+
+def _close(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of sets (places x < y) that link."""
+    size = np.array([len(x) for x in sets])
+    if len(sets) <= 16:
+        for x in range(len(sets)):
+            for y in range(x + 1, len(sets)):
+                if 100 * min(size[x], size[y]) >= percent * max(size[x], size[y]) and _links(size[x], size[y], _common(sets[x], sets[y]), percent):
+                    yield x, y
         return
-    own = np.searchsorted(starts, np.arange(len(c["s"])), side="right")
-    size = np.bincount(own)[own]
-    small = np.flatnonzero(size <= 32)
-    for k in range(1, int(size[small].max(initial=1))):
-        x, y = small[:-k], small[k:]
-        same = own[x] == own[y]
-        yield from _passing(c, x[same], y[same], percent)
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-        if b - a > 32:
-            for at in range(a, b - 1, 256):
-                x = np.arange(at, min(at + 256, b))
-                x, y = (g.ravel() for g in np.meshgrid(x, np.arange(at + 1, b), indexing="ij"))
-                yield from _passing(c, x[x < y], y[x < y], percent)
-
-
-def _passing(c: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    n, place = c["n"], c["place"]
-    ok = c["comp"][x] != c["comp"][y]
-    ok &= (c["i"][x] == c["j"][x]) | (c["second"][x] != c["second"][y])
-    ok &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-    ok &= np.minimum(n[x] - place[x], n[y] - place[y]) * (100 + percent) >= percent * (n[x] + n[y])
-    x, y = x[ok], y[ok]
-    for at in range(0, len(x), 50_000):
-        u, v = x[at : at + 50_000], y[at : at + 50_000]
-        apart = np.abs(c["profile"][u].astype(np.int32) - c["profile"][v]).sum(axis=1)
-        near = apart * (100 + percent) <= (100 - percent) * (n[u] + n[v])
-        a, b = c["node"][u[near]], c["node"][v[near]]
-        if len(a):
-            yield pa.RecordBatch.from_pydict({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+    values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    own = np.repeat(np.arange(len(sets)), size)
+    kept = count[at] > 1  # shingles of one member are common to none
+    number = np.cumsum(count > 1) - 1
+    at, own = number[at[kept]], own[kept]
+    order = np.argsort(at, kind="stable")
+    at, own = at[order], own[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)  # counts below 2**24 are exact
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, 2048):
+        a, b = np.searchsorted(at, (low, low + 2048))
+        marks = np.zeros((len(sets), 2048), np.float32)
+        marks[own[a:b], at[a:b] - low] = 1
+        both += marks @ marks.T
+    near = _links(size[:, None], size[None, :], both.astype(np.int64), percent)
+    for x, y in zip(*(p.tolist() for p in np.nonzero(np.triu(near, 1))), strict=True):
+        yield x, y
 
 
 def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, comp) of all linked classes; None without links."""
-    links = written(linked(against_pivots(members, percent), sets, percent), "links", PAIR_ROWS)
+    cells = met_pivots(members, percent)
+    pairs = cells.filter("near = 1").select(F.col("node").alias("a"), F.col("cell").alias("b"))
+    links = written(linked(pairs, sets, percent), "links", PAIR_ROWS)
     found = None if links.isEmpty() else components(links)
-    labelled = members.withColumn("comp", F.col("node")) if found is None else (
-        members.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    pairs = written(left_over(labelled, sets.select("node", "profile"), percent), "left-over")
-    more = written(linked(pairs, sets, percent), "links", PAIR_ROWS)
-    if more.isEmpty():
-        return found
-    return components(links.unionByName(more))
+    open_ = _open(cells, found)
+    for number in range(ROUNDS):
+        large = open_.filter(F.col("size") > BLOCK)
+        if large.isEmpty():
+            break
+        more, split, whole = pivot_round(large, sets, percent, number)
+        more = written(more, "pivot-links")
+        if more.isEmpty() and split.isEmpty():
+            break
+        links = written(links.unionByName(more), "links")
+        found = None if links.isEmpty() else components(links)
+        small = open_.filter(F.col("size") <= BLOCK).select("cell", "node", "n")
+        open_ = _open(small.unionByName(split).unionByName(whole), found)
+    for across in (False, True):  # parts by themselves first: fewer components are left to join across them
+        more = written(block_links(open_, sets, percent, across), "block-links")
+        if more.isEmpty():
+            continue
+        links = written(links.unionByName(more), "links")
+        found = components(links)
+        if not across:
+            open_ = _open(open_.select("cell", "node", "n"), found)
+    return found
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -388,7 +477,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     wanted = written(sharing(docs, classes, size, percent).select("node", "doc_id", "tie"), "wanted").hint("merge")
     made = class_sets(docs, wanted, size)
     order = docs.sparkSession.sparkContext.broadcast(shingle_order(made.filter("block is not null").select("part", "block", "counts")))
-    sets = written(made.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "shingles", "profile")]), "sets")
+    sets = written(made.filter("node is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "shingles")]), "sets")
     found = join_components(second_level(sets, order, percent), sets, percent)
     of = classes if found is None else classes.join(found, "node", "left")
     of = of.withColumn("comp", F.col("node") if found is None else F.coalesce("comp", "node"))
