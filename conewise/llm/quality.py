@@ -6,21 +6,20 @@ with more than a fifth of its words in repeated windows, fails.
 
 Line rule (across documents): each line with a word is normalised (one space
 for each run of white space, trimmed, letters as they are) and hashed.  For each
-host and line the distinct documents are counted.  Copies and near copies of one document must
-not make its own lines look like boilerplate, so a document counts by its
-smallest hash among its other lines: documents that are the same but for some
-lines count once.  Lines that at least ``min_documents`` distinct documents of
+host and line the distinct documents, told apart by their whole text, are
+counted; exact copies count once.  Lines that at least ``min_documents`` distinct documents of
 a host share, and more than ``max_share`` of the host's documents, are removed.
 A document that loses lines is rejected as depleted if it keeps fewer than
-``MIN_WORDS`` words and less than ``min_left`` of the words it had.  With the
-production limits the share decides only up to 30 words; a longer document that
-keeps ten words stays, however many it lost.
+``MIN_WORDS`` words or less than ``min_left`` of the words it had.
 
-Rows per (host, line) are counted by partial aggregates, then written, so that a
-hot line or host is split by adaptive execution in the join back.
+Distinct documents of a (host, line) are counted by partial aggregates; lines
+above the limits are written, so that a hot line or host is split by adaptive
+execution in the join back.
 
 Defined cases: a null text has no words and fails; a null host is a host of its
-own; equal rows (same id, host and text) are judged alike; a line that stands
+own; rows with the same text are one document for the counts; equal rows (same
+id, host and text) are judged alike; no rows give no rows; texts of any length are
+read whole; other columns are not read; a line that stands
 twice in a document counts once for the host and is removed at both places.
 """
 
@@ -101,14 +100,9 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def shared_lines(rows: DataFrame, min_documents: int, max_share: float) -> DataFrame:
-    """(host, line, documents): lines above both limits, documents told apart by their other lines."""
-    hashes = F.array_distinct(F.col("lines.line"))
-    lowest = rows.select("host", hashes.alias("hashes")).withColumn("low", F.array_min("hashes"))
-    lowest = lowest.withColumn("next", F.array_min(F.filter("hashes", lambda h: h != F.col("low"))))
-    seen = lowest.select("host", "low", "next", F.explode("hashes").alias("line"))
-    other = F.when(F.col("line") != F.col("low"), F.col("low")).otherwise(F.coalesce("next", F.lit(-1)))
-    counts = (seen.select(F.struct("host").alias("at"), "line", other.alias("other"))
-              .groupBy("at", "line").agg(F.countDistinct("other").alias("documents"))
+    """(host, line, documents): lines above both limits, documents told apart by their whole text."""
+    seen = rows.select(F.struct("host").alias("at"), "tie", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
+    counts = (seen.groupBy("at", "line").agg(F.countDistinct("tie").alias("documents"))
               .filter(F.col("documents") >= min_documents))
     hosts = rows.groupBy(F.struct("host").alias("at")).agg(F.count("*").alias("of"))
     return (counts.join(hosts, "at").filter(F.col("documents") > max_share * F.col("of"))
@@ -129,7 +123,7 @@ def quality(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: floa
     lost = (hit.select("row", lines.line, "words").groupBy("row")
             .agg(F.sum("words").alias("n_removed_words"), F.sort_array(F.collect_set("line")).alias("removed")))
     left = F.col("n_words") - F.col("n_removed_words")
-    depleted = (F.col("n_removed_words") > 0) & (left < MIN_WORDS) & (left < min_left * F.col("n_words"))
+    depleted = (F.col("n_removed_words") > 0) & ((left < MIN_WORDS) | (left < min_left * F.col("n_words")))
     return (
         rows.drop("lines").join(lost, "row", "left")
         .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)).cast("long"))
@@ -182,11 +176,7 @@ line_rows AS (
   FROM (SELECT r, host, unnest(lines) AS x FROM w)
 ),
 line_docs AS (SELECT r, host, line, sum(n) AS n FROM line_rows GROUP BY ALL),
-others AS (
-  SELECT a.host, a.line, a.r, min(b.line) AS other
-  FROM line_docs a LEFT JOIN line_docs b ON a.r = b.r AND a.line <> b.line GROUP BY ALL
-),
-counts AS (SELECT host, line, count(DISTINCT coalesce(other, '')) AS n FROM others GROUP BY ALL),
+counts AS (SELECT l.host, l.line, count(DISTINCT d.text) AS n FROM line_docs l JOIN d USING (r) GROUP BY ALL),
 hosts AS (SELECT host, count(*) AS n FROM d GROUP BY ALL),
 shared AS (
   SELECT c.host, c.line FROM counts c JOIN hosts h ON c.host IS NOT DISTINCT FROM h.host
@@ -204,8 +194,8 @@ m AS (
 ),
 b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR (n_removed_words > 0 AND n_words - n_removed_words < {MIN_WORDS}
-                            AND n_words - n_removed_words < {MIN_LEFT} * n_words)) AS kept,
+       NOT (base_failed OR (n_removed_words > 0 AND (n_words - n_removed_words < {MIN_WORDS}
+                            OR n_words - n_removed_words < {MIN_LEFT} * n_words))) AS kept,
        n_removed_words
 FROM b
 """
