@@ -18,7 +18,8 @@ maps need files; it is made inside ``spark.checkpoint.dir`` by the query.
 
 Defined cases: a null text is empty and holds the end id only; null ids come
 first; rows with the same id are ordered by the hash of their text and then by
-their place in the input; other columns are not read.
+their place in the input; texts of any length are encoded whole; no rows give an
+empty manifest; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,12 +37,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conewise.llm import tokens
-from conewise.llm.common import new_folder, plain_text, read_table, ship
+from conewise.llm.common import new_folder, parts_for, plain_text, read_table, ship
 
 MANIFEST = "part int, name string, width int, documents long, ids long"
 DIGESTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Characters that a task encodes at a time.
 SLICE = 2_000_000
+#: Bytes of text whose ids a file holds on average; with little text, some files for each core.
+FILE_BYTES = 128 << 20
+FILES_A_CORE = 4
 
 
 def mounted(folder: str) -> str:
@@ -55,11 +59,13 @@ def mounted(folder: str) -> str:
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, files: int | None = None) -> DataFrame:
     """Write ``docs`` (doc_id, text) as token files and return the manifest.
 
-    ``files`` defaults to ``spark.sql.shuffle.partitions``.
+    ``files`` follows from the bytes of the texts if it is not given.
     """
     spark = docs.sparkSession
     ship(spark)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not files:
+        size = docs.select(F.sum(F.octet_length(plain_text()))).first()[0] or 0
+        files = parts_for(size, FILE_BYTES, FILES_A_CORE * spark.sparkContext.defaultParallelism)
     path = mounted(folder)
     os.makedirs(path, exist_ok=True)
 
@@ -108,8 +114,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
             for f in batch.to_pylist():
                 yield from digests(f"{path}/{f['name']}", f["width"], f["base"])
 
-    return (based.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
-            .mapInArrow(read, DIGESTS))
+    return based.repartitionByRange(max(1, manifest.count()), "part").mapInArrow(read, DIGESTS)
 
 
 def digests(file: str, width: int, base: int, rows: int = 20_000) -> Iterator[pa.RecordBatch]:

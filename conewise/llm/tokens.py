@@ -6,7 +6,8 @@ a token run on over such a space.  So a text's ids are the ids of these units
 one after another.  A worker keeps the ids of units it has met, found again by
 their 64-bit hash for a whole batch at once; the library encodes the rest.
 Texts with white space before a space, where the cut is not sure, are encoded
-whole.
+whole, and so are texts that hold the string of an added token, which the library
+cuts out before its pre-tokeniser.
 """
 
 from __future__ import annotations
@@ -53,7 +54,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         with open(path, encoding="utf-8") as f:
@@ -62,8 +62,11 @@ class Encoder:
         self.by_units = (
             pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
             and not spec.get("normalizer") and spec["model"]["type"] == "BPE"
-            and all(t["special"] for t in spec.get("added_tokens", []))
         )
+        added = spec.get("added_tokens", [])
+        self.added = [t["content"] for t in added]
+        # an added token that reaches beyond its own string forbids cuts near it
+        self.reaching = [t["content"] for t in added if t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]]
         self.pretokens = regex.compile(_PRETOKENS)
         self.letters = byte_letters()
         self.start_anew()
@@ -94,9 +97,11 @@ class Encoder:
         out: list[bytes] = [b""] * len(texts)
         sizes = [len(t) * (1 if t.isascii() else 4) + 1 for t in texts]
         whole = [i for i, t in enumerate(texts)
-                 if not t or not self.by_units or t[0] == " " or sizes[i] > hashing.MOST_BYTES or _UNSURE.search(t)]
+                 if not t or not self.by_units or t[0] == " " or sizes[i] > hashing.MOST_BYTES or _UNSURE.search(t)
+                 or any(a in t for a in self.added)]
         for i in whole:
-            out[i] = b"".join(self.fresh(cuts(texts[i]) if self.by_units else [texts[i]]))
+            sure = self.by_units and not any(a in texts[i] for a in self.reaching)
+            out[i] = b"".join(self.fresh(cuts(texts[i]) if sure else [texts[i]]))
         rest = sorted(set(range(len(texts))).difference(whole))
         for a, b in slices([sizes[i] for i in rest], hashing.MOST_BYTES // 2):
             run = rest[a:b]
