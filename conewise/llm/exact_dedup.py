@@ -9,8 +9,9 @@ run of ASCII white space as one space).
 2. The batch is grouped on its own, so a digest is looked up once.
 3. A group that all filters of its bucket rule out is new and goes no further.
    The positives join the snapshots' exact buckets.
-4. Copies are checked byte for byte against the document that stays; two
-   different texts under one digest would raise an error.
+4. Each digest's documents are compared byte for byte: a task first reduces copies
+   to their distinct texts, so a hot digest sends one text a task to its bucket;
+   two different texts under one digest raise an error.
 
 A group's smallest ``doc_id`` stays.  Digests are spread evenly, so buckets have
 a bounded size; groups are reduced before each shuffle, and only plain joins
@@ -18,7 +19,7 @@ that adaptive execution can split see a group's rows.
 
 Defined cases: a null text is the empty text; null ids come after all others;
 among rows with the same id and text one stays; other columns are not read; no
-rows give no rows.
+rows give no rows; texts of any length are hashed and compared whole.
 """
 
 from __future__ import annotations
@@ -107,24 +108,25 @@ def exact_dedup(snapshots: list[DataFrame], batch: DataFrame, check_bytes: bool
               .groupBy("sha").agg(F.min("keep").alias("keep"), F.sum("n").alias("n")))
     groups = written(joined.unionByName(screened.filter("not maybe").select(*of)), "groups")
     if check_bytes:
-        verify([*snapshots, batch], groups.filter("n > 1"))
+        verify([*snapshots, batch])
     return rows.join(groups, "sha").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("row") == F.col("keep.row")).alias("kept"), "sha", "snapshot")
 
 
-def verify(sources: list[DataFrame], groups: DataFrame) -> None:
-    """Compare the normalised bytes of each group's documents with those of the one that stays."""
+def verify(sources: list[DataFrame]) -> None:
+    """Compare the normalised bytes of all documents that share a digest.
+
+    A set aggregate: each task reduces the copies of a digest to their distinct
+    texts, one unless digests clash, before they are shuffled to the digest's bucket.
+    """
     texts = reduce(DataFrame.unionByName, [
         d.select(F.col("doc_id").cast("long"), normalised(plain_text()).alias("norm"),
                  digest(plain_text()).alias("sha")) for d in sources])
-    copies = written(texts.join(groups.select("sha", F.col("keep.doc_id").alias("keep_id")), "sha"), "exact-buckets")
-    stays = (copies.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-             .groupBy("sha").agg(F.min("norm").alias("kept_norm")))
-    stays = written(stays, "kept-texts")
-    differ = copies.join(stays, "sha").filter("norm <> kept_norm").agg(F.count("*"), F.min("doc_id")).first()
+    buckets = texts.groupBy("sha").agg(F.size(F.collect_set("norm")).alias("texts"), F.min("doc_id").alias("doc_id"))
+    differ = buckets.filter("texts > 1").agg(F.count("*"), F.min("doc_id")).first()
     if differ[0]:
-        raise ValueError(f"{differ[0]} texts differ from the text kept under their SHA-256, the first has id {differ[1]}")
+        raise ValueError(f"texts differ under {differ[0]} digests, one of them has the id {differ[1]}")
 
 
 def generations(docs: DataFrame) -> tuple[list[DataFrame], DataFrame]:
