@@ -10,10 +10,13 @@ path, depth, labels, parameters, digit ratio, entropy of the characters,
 hyphens, ``www``, scheme, file suffix, and statistics of the host's last one
 and two labels.  Suffix statistics count all labelled URLs, not the sample, for
 each suffix by itself.  Those of the ``SUFFIX_SLOTS`` suffixes with most
-labelled URLs have a table of a fixed size, which may be broadcast; all others
-are joined by the suffix.  A labelled URL's own label is left out of its statistics.
+labelled URLs have a table of a fixed size, which may be broadcast; only URLs whose
+suffix is not in it are joined with the others by suffix, and suffixes that hold
+many of these URLs stay out of the shuffle's keys (``join_hot``).  A labelled URL's own label is left out of its statistics.
 
-Defined cases: a null URL has empty host and path; without labelled URLs of both
+Defined cases: a null URL has empty host and path; repeated rows are judged alike,
+each by itself; URLs of any length are read whole; no rows give no rows; other
+columns are not read; without labelled URLs of both
 verdicts the method answers with the only verdict there is, or ``allow``.
 """
 
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from conewise.llm.common import lower_ascii, read_table, written
+from conewise.operators.hot_keys import hot_keys, join_hot
 
 #: The rules of the query, as (verdict, rule).
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -125,11 +129,14 @@ def with_statistics(rows: DataFrame, statistics: DataFrame, own: bool, others: D
             F.col("suffix").alias(f"suffix_{k}"), F.col("n").alias(f"n{mark}"), F.col("blocked").alias(f"b{mark}"))  # noqa: B023
         # at most SUFFIX_SLOTS rows, whatever the input
         rows = rows.join(F.broadcast(of(statistics, "_hot")), f"suffix_{k}", "left")
-        n, b = [F.col("n_hot")], [F.col("b_hot")]
-        if others is not None:
-            rows = rows.join(of(others, "_rest"), f"suffix_{k}", "left")
-            n, b = [*n, F.col("n_rest")], [*b, F.col("b_rest")]
-        n, b = F.coalesce(*n, F.lit(0)), F.coalesce(*b, F.lit(0))
+        rest = others is not None and of(others, "_rest")
+        if rest and not rest.isEmpty():
+            met = rows.filter("n_hot is not null").withColumns({"n_rest": F.lit(None).cast("long"), "b_rest": F.lit(None).cast("long")})
+            rows = rows.filter("n_hot is null")
+            rows = join_hot(rows, rest, [f"suffix_{k}"], hot_keys(rows, [f"suffix_{k}"]), "left").unionByName(met)
+        else:
+            rows = rows.withColumns({"n_rest": F.lit(None).cast("long"), "b_rest": F.lit(None).cast("long")})
+        n, b = F.coalesce("n_hot", "n_rest", F.lit(0)), F.coalesce("b_hot", "b_rest", F.lit(0))
         if own:
             n, b = n - 1, b - F.col("blocked")
         rows = rows.withColumns({
