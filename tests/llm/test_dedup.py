@@ -109,7 +109,7 @@ def test_jaccard_components_equal_brute_force(frame, texts, size, percent):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, size, percent)
 
 
-@pytest.mark.parametrize("block", [5, 1024])
+@pytest.mark.parametrize("block", [5, 20, 1024])
 def test_large_regions_are_joined_in_blocks(frame, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rng = random.Random(8)
@@ -118,6 +118,38 @@ def test_large_regions_are_joined_in_blocks(frame, monkeypatch, block):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, 3, 90)
 
 
+def test_what_leaves_the_blocks_grows_with_the_members(spark, frame, monkeypatch):
+    """One family, two of 200 words changed: links that leave the blocks are fewer than the members, at every size."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    seen = []
+    plain = jaccard_join.block_links
+    monkeypatch.setattr(jaccard_join, "block_links", lambda *a: seen.append(jaccard_join.written(plain(*a), "seen")) or seen[-1])
+    rng = random.Random(9)
+    base = [str(rng.randrange(10**6)) for _ in range(200)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for k in rng.sample(range(200), 2):
+            w[k] = f"x{rng.random()}"
+        rows.append((i, " ".join(w)))
+    for n in (200, 400):
+        got = jaccard_join.jaccard_components(frame(rows[:n]), 3, 90).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows[:n], 3, 90)
+        assert all(links.count() < n for links in seen[-2:])
+
+
+def test_close_sets_equal_brute_force():
+    rng = np.random.default_rng(11)
+    for many in (10, 60):
+        base = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+        sets = [np.unique(np.concatenate((rng.permutation(base)[: int(rng.integers(1, 60))], rng.integers(0, 1 << 62, int(rng.integers(0, 4))).astype(np.uint64))))
+                for _ in range(many)] + [np.unique(base)] * 3
+        both = lambda x, y: len(np.intersect1d(x, y))
+        want = [(x, y) for x in range(len(sets)) for y in range(x + 1, len(sets))
+                if 100 * both(sets[x], sets[y]) >= 80 * (len(sets[x]) + len(sets[y]) - both(sets[x], sets[y]))]
+        assert sorted(jaccard_join._close(sets, 80)) == want and want
+
+
 def test_near_dedup_stage(spark, frame):
     words = [str(x) for x in range(100)]
     rows = [(4, " ".join(words)), (2, " ".join(words[:98])), (9, "quite another text of some words"), (None, " ".join(words[1:])), (7, None)]

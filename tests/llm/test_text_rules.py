@@ -58,15 +58,32 @@ def test_shared_lines_go_and_depleted_documents_are_rejected(spark, frame):
     assert quality.stage(spark, docs.filter("doc_id < 0"), "").count() == 0
 
 
-def test_near_copies_count_once(frame):
+def test_pages_of_shared_lines_only_are_rejected(frame):
     rng = random.Random(4)
-    parts = [filler(rng, 25) for _ in range(4)]
-    rows = []
-    for i in range(60):
-        own = list(parts)
-        own[i % 4] += f" {i}"
-        rows.append((i, "\n".join(own), "hot"))
-    assert all(r.kept for r in quality.quality(frame(rows)).collect())
+    lines = [filler(rng, 12) for _ in range(24)]
+    rows = [(i, "\n".join(rng.sample(lines, 12)), "hot") for i in range(500)]
+    assert len({r[1] for r in rows}) == 500
+    assert not any(r.kept for r in quality.quality(frame(rows)).collect())
+
+
+def test_whole_menus_go_from_pages_with_a_line_of_their_own(spark, frame):
+    rng = random.Random(5)
+    menu = [filler(rng, 3) for _ in range(20)]
+    own = [filler(rng, 60) for _ in range(500)]
+    docs = frame([(i, "\n".join([*menu, x]), "hot") for i, x in enumerate(own)])
+    assert all(r.n_removed_words == 60 and r.kept for r in quality.quality(docs).collect())
+    assert {r.doc_id: r.text for r in quality.stage(spark, docs, "").collect()} == dict(enumerate(own))
+
+
+def test_distinct_documents_are_counted(frame):
+    line = "a line of twelve words that some pages of a host share"
+    rng = random.Random(6)
+    few = [(i, f"{line}\n{filler(rng, 40)}", "few") for i in range(19)] * 3  # 19 distinct documents
+    one = [(100 + i, line, "one") for i in range(60)]  # one distinct document
+    long = [(200 + i, f"{line}\n" * 30 + filler(rng, 12), "long") for i in range(20)]  # 12 of 372 words left
+    got = {r.doc_id: (r.n_removed_words, r.kept) for r in quality.quality(frame(few + one + long), max_share=0.0).collect()}
+    assert all(got[i] == (0, True) for i in range(19)) and all(got[100 + i] == (0, True) for i in range(60))
+    assert all(not got[200 + i][1] and got[200 + i][0] == 360 for i in range(20))
 
 
 # --- personal data ---

@@ -15,7 +15,6 @@ from .conftest import ODD, TOKENIZER
 @pytest.fixture(scope="module")
 def library(vocabulary):
     t = Tokenizer.from_file(vocabulary(TOKENIZER))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -33,6 +32,16 @@ def test_units_equal_the_library(vocabulary, library, texts):
         assert np.frombuffer(ids, "<u2").tolist() == library(text), text[:50]
 
 
+def test_added_tokens_as_the_library_has_them(vocabulary, library):
+    mark = "<|endoftext|>"
+    cases = [mark, f"{mark}a b", f"a {mark} b", f"a b{mark}", f"a b {mark}", f"a{mark}{mark}b  {mark}\n{mark} c", f"a <|endof text|> {mark[:-1]}",
+             ("word " * 25_000) + mark + " more" * 30_000, ("word " * 19_999) + f"{mark} x {mark}" + " more" * 30_000]
+    got = tokens.encoder(vocabulary(TOKENIZER)).encode(["plain text", *cases])
+    for text, ids in zip(cases, got[1:], strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == library(text), text[:50]
+    assert library(f"a {mark} b") == [64, 220, 50256, 275]
+
+
 def test_units_after_the_store_starts_anew(vocabulary, library, texts):
     small = tokens.Encoder(vocabulary(TOKENIZER))
     for text in texts[:20]:

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conewise.llm import url_filter
 
@@ -109,6 +110,28 @@ def test_more_suffixes_than_the_broadcast_table_holds(pages, monkeypatch):
     assert len(few) == 100 and few == plain
 
 
+def test_no_hot_suffix_in_the_exchange(spark):
+    """5,000 suffixes, two of them with most URLs: one in the broadcast table, one that no label knows."""
+    urls = [(f"http://h{i}.com/", i, 0) for i in range(3000)] + [(f"http://h{i}.dev/", i, 0) for i in range(3000)]
+    urls += [(f"http://h.x{i}/", i, i % 2) for i in range(5000)]
+    frame = url_filter.featured(spark.createDataFrame(urls, "url string, page_id long, blocked int").repartition(6))
+    counts = url_filter.suffix_counts(frame.filter("suffix_1 <> 'dev'")).cache()
+    hot = url_filter.commonest(counts).cache()
+    others = counts.join(hot, ["labels", "suffix"], "left_anti").cache()
+    assert others.filter("labels = 1").count() == 5001 - url_filter.SUFFIX_SLOTS
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = url_filter.with_statistics(frame, hot, own=False, others=others)
+        tasks = got.filter("suffix_1 = 'dev'").groupBy(F.spark_partition_id()).count().collect()
+        rates = {r.suffix_1: r.f_rate_1 for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(r["count"] for r in tasks) < 1000
+    assert rates["com"] == 1 / 3002 and rates["dev"] == 0.5 and rates["x7"] == 2 / 3 and rates["x8"] == 1 / 3
+
+
 def test_without_both_verdicts(pages):
     assert {r.verdict for r in url_filter.judged(pages(["http://a.org/", None]), url_filter.RULES).collect()} == {"allow"}
     only = url_filter.judged(pages(["http://a.net/es/", "http://a.org/"]), url_filter.RULES).collect()
