@@ -42,7 +42,8 @@ By the triangle inequality d(x, p) and d(y, p) of linked documents differ by at
 most 1 - t, so their rings are the same or neighbours: each ring is joined with
 the members of the next lower one, the boundary documents, which are replicated
 to it.  Rings are cells of the next round.  A cell whose largest ring holds most
-of it is not split any more but keeps taking pivots while they link members.
+of it is not split, but may take further pivots.  Rounds go on while they split
+cells or link at least a ``SETTLED`` part of the members of large open cells.
 
 Blocks.  Open cells that are left are dealt in parts of about ``BLOCK`` members, with
 their whole sets: first each part is a block, then, where components are still
@@ -63,6 +64,7 @@ has a null id; equal rows have equal sets; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -78,9 +80,11 @@ from conewise.llm.components import components
 EXTRA = 1
 #: Members up to which a cell is compared in one block.
 BLOCK = 512
-#: A cell is split if its largest ring is smaller than this share of it; pivots that it takes at most.
+#: A cell is split if its largest ring is smaller than this share of it.
 SPLIT = 0.7
-ROUNDS = 6
+#: Rounds at most, and links for each member in a large open cell from which components are formed anew after a round.
+ROUNDS = 4
+SETTLED = 0.1
 #: Counters of the order on the second level, and how they are cut and added up.
 SKETCH = 1 << 21
 COUNTER_BLOCK = 1 << 17
@@ -320,7 +324,7 @@ def _labelled(cells: DataFrame, found: DataFrame | None) -> DataFrame:
 
 def _open(cells: DataFrame, found: DataFrame | None) -> DataFrame:
     """Written table (cell, node, n, comp, size) of the cells with several components."""
-    labelled = written(_labelled(cells.select("cell", "node", "n"), found), "labelled")
+    labelled = _labelled(cells.select("cell", "node", "n"), found)
     sizes = labelled.groupBy("cell").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     return written(labelled.join(sizes.filter("low < high").select("cell", "size"), "cell"), "open")
 
@@ -365,7 +369,7 @@ def block_links(cells: DataFrame, sets: DataFrame, percent: int, across: bool) -
         for batch in batches:
             table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
             ends = _ends([table[c].to_numpy() for c in key])
-            for a, b in zip([0, *ends[:-1]], ends, strict=True):
+            for a, b in pairwise([0, *ends]):
                 yield from _joined(table.slice(a, b - a), percent)
             rest = table.slice(ends[-1] if ends else 0)  # the last block may go on
         if rest is not None:
@@ -439,25 +443,29 @@ def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     open_ = _open(cells, found)
     for number in range(ROUNDS):
         large = open_.filter(F.col("size") > BLOCK)
-        if large.isEmpty():
+        left = large.count()
+        if not left:
             break
         more, split, whole = pivot_round(large, sets, percent, number)
         more = written(more, "pivot-links")
-        if more.isEmpty() and split.isEmpty():
-            break
         links = written(links.unionByName(more), "links")
-        found = None if links.isEmpty() else components(links)
+        settled = more.count() >= SETTLED * left
+        if not settled and split.isEmpty():
+            break
+        if settled:  # else the older components only leave more to compare
+            found = components(links)
         small = open_.filter(F.col("size") <= BLOCK).select("cell", "node", "n")
         open_ = _open(small.unionByName(split).unionByName(whole), found)
     for across in (False, True):  # parts by themselves first: fewer components are left to join across them
+        if across:
+            open_ = open_.filter(F.col("size") > BLOCK)
+            if open_.isEmpty():
+                break
+            found = None if links.isEmpty() else components(links)
+            open_ = _open(open_.select("cell", "node", "n"), found)
         more = written(block_links(open_, sets, percent, across), "block-links")
-        if more.isEmpty():
-            continue
         links = written(links.unionByName(more), "links")
-        found = components(links)
-        if not across:
-            open_ = _open(open_.select("cell", "node", "n"), found)
-    return found
+    return None if links.isEmpty() else components(links)
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -196,7 +196,9 @@ def test_shingles_of_long_texts_and_words():
         assert counts[0] == (len(set(zip(w, w[1:], w[2:]))) if len(w) > 2 else bool(w))
 
 
-def test_components_of_paths_stars_and_loops(spark):
+@pytest.mark.parametrize("part", [8, 1 << 19])  # many parts and stars, and one part
+def test_components_of_paths_stars_and_loops(spark, monkeypatch, part):
+    monkeypatch.setattr("conewise.llm.components.PART_EDGES", part)
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(200, 201), (201, 202), (202, 200)]
     edges = [(a, b) if rng.random() < 0.5 else (b, a) for a, b in edges]
