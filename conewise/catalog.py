@@ -18,7 +18,12 @@ from conewise.functions import columns as C
 from conewise.functions.rules import RETENTION_LABELS
 from conewise.operators.aggregates import distinct_values, kpis, value_counts
 from conewise.oracle.models_sql import AVG, D
+from conewise.functions.rules import STATUS_DELIVERED as DELIVERED
+from conewise.operators.ntile_cuts import ntile_by_cuts
+from conewise.operators.ordered_scan import ordered_scan
+from conewise.operators.sets import not_in, union_distinct
 from conewise.plans import reports as R
+from conewise.plans.facts import distinct_customers
 from conewise.plans.warehouse import Shop
 from conewise.sources import readers, sinks
 from conewise.sources.readers import row_counts
@@ -360,6 +365,33 @@ def _f19(shop):
     return _r01(shop).withColumn("horizonte", C.label_map("horizonte", RETENTION_LABELS))
 
 
+def _u02(shop):
+    phones = [shop.dim_mails.filter(c).select("telefono", "is_activo") for c in (F.col("tipo_identidad") == "email", F.col("tipo_identidad") != "email")]
+    return union_distinct(*phones)
+
+
+def _u02_not_in(shop):
+    m = shop.dim_mails
+    resolved = union_distinct(*[m.filter(F.col("tipo_identidad") == t).select("cliente_id") for t in ("email", "phone_bridge", "phone_only")])
+    return not_in(shop.stg_clientes.select("cliente_id", "nombre"), "cliente_id", resolved)
+
+
+def _w08(shop):
+    canje = F.col("tipo_movimiento") == "canje"
+    moves = shop.stg_puntos.select("punto_id", "fecha", "puntos", "tipo_movimiento")
+    return ordered_scan(moves, ["fecha", "punto_id"], sums={"saldo": F.col("puntos")}, fills={"ultimo_canje": F.when(canje, F.col("punto_id"))},
+                        lags={"puntos_previos": F.col("puntos")}).drop("tipo_movimiento")
+
+
+def _w05(shop):
+    lines = shop.fct_pedidos.select("pedido_id", "total")
+    return ntile_by_cuts(lines, "total", "pedido_id", 10, "decil")
+
+
+def _a03(level):
+    return lambda shop: distinct_customers(shop.clientes_por_dia, level)
+
+
 ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "R01_retention_melt": _r01,
     "R02_pnl_statement": _r02(PNL_ROWS_ARS),
@@ -378,6 +410,13 @@ ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "R11_weather_scatter": _r11_weather,
     "W13_expense_ids": _w13,
     "W16_selected_period": _w16,
+    "U02_union_distinct": _u02,
+    "U02_unresolved_customers": _u02_not_in,
+    "W08_points_balance": _w08,
+    "W05_order_deciles": _w05,
+    "A03_customers_daily": _a03("day"),
+    "A03_customers_weekly": _a03("week"),
+    "A03_customers_monthly": _a03("month"),
     "A17_segment_counts": _a17,
     "A18_sales_daily": _a18("day"),
     "A18_sales_weekly": _a18("week"),
@@ -551,6 +590,17 @@ coalesce(format('{{:.1f}}', margen_bruto_pct::double) || '%', '—') as pct from
         f"select mes, '{RETENTION_LABELS[c]}' as horizonte, cast({c} as decimal(10,1)) as retencion_pct from rpt_clientes_nuevos"
         for c in RETENTION_COLS])
     o["Q03_profile_order_fact"] = _profile_sql()
+    o["U02_union_distinct"] = """select telefono, is_activo from dim_mails where tipo_identidad = 'email'
+union select telefono, is_activo from dim_mails where tipo_identidad <> 'email'"""
+    o["U02_unresolved_customers"] = """select cliente_id, nombre from stg_clientes where cliente_id not in (
+select cliente_id from dim_mails where tipo_identidad in ('email', 'phone_bridge', 'phone_only'))"""
+    o["W08_points_balance"] = """select punto_id, fecha, puntos, sum(puntos) over w as saldo,
+last_value(case when tipo_movimiento = 'canje' then punto_id end ignore nulls) over w as ultimo_canje, lag(puntos) over (order by fecha, punto_id) as puntos_previos
+from stg_puntos window w as (order by fecha, punto_id rows between unbounded preceding and current row)"""
+    o["W05_order_deciles"] = "select pedido_id, total, ntile(10) over (order by total nulls last, pedido_id) as decil from fct_pedidos"
+    for level in ("day", "week", "month"):
+        o[f"A03_customers_{dict(day='daily', week='weekly', month='monthly')[level]}"] = f"""select cast(date_trunc('{level}', fecha) as date) as periodo,
+count(distinct cliente_id) as clientes_unicos from fct_pedidos where estado_id = {DELIVERED} and cliente_id is not null group by 1"""
     return o
 
 

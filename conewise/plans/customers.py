@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import count_when, join_ids, sum_when
-from conewise.operators.rank import global_ntile
+from conewise.operators.ntile_cuts import ntile_by_cuts
 from conewise.operators.windows import lag_change, latest_per, newest_two
 from conewise.sources.sinks import cut_lineage
 
@@ -86,9 +86,11 @@ def customer_dimension(clientes: DataFrame, mails: DataFrame, direcciones: DataF
     cci = clientes.join(ident, "cliente_id")
     rep_cols = ["tipo_identidad", "cliente_id", "nombre", "email", "telefono", "tipo_cliente", "created_at",
                 "is_activo"]
-    rep = latest_per(cci, ["cliente_id_mail_phone"], ["created_at", "cliente_id"], rep_cols)
-    ids = join_ids(cci, "cliente_id_mail_phone", "cliente_id", "todos_cliente_ids").join(
-        cci.groupBy("cliente_id_mail_phone").agg(F.count(F.lit(1)).alias("n_cliente_ids")), "cliente_id_mail_phone")
+    # representative and number of ids of an identity from one aggregate
+    rep = cci.groupBy("cliente_id_mail_phone").agg(
+        F.max_by(F.struct(*rep_cols), F.struct("created_at", "cliente_id")).alias("_rep"),
+        F.count(F.lit(1)).alias("n_cliente_ids")).select("cliente_id_mail_phone", "_rep.*", "n_cliente_ids")
+    ids = join_ids(cci, "cliente_id_mail_phone", "cliente_id", "todos_cliente_ids")
     addr = (cci.select("cliente_id", "cliente_id_mail_phone")
             .join(direcciones.filter(F.col("is_activo") == 1)
                   .select("cliente_id", "direccion_id", "barrio", "direccion", F.col("created_at").alias("_dc")),
@@ -112,9 +114,8 @@ def customer_dimension(clientes: DataFrame, mails: DataFrame, direcciones: DataF
     per = per.withColumn("dias_desde_ultimo_pedido", C.days_between("ultimo_pedido", asof).cast("bigint")) \
         .withColumn("pedidos_por_semana",
                     F.when(weeks > 0, F.col("total_pedidos") / weeks).otherwise(F.col("total_pedidos").cast("double")))
-    # monetary score: ntile(5) by kg over all buyers -- a global rank, distributed
-    per = global_ntile(per, [F.col("kg_total").asc_nulls_last(), F.col("cliente_id_mail_phone").asc()], 5,
-                       "monetario_score")
+    # monetary score: ntile(5) by kg over all buyers, by exact cut points
+    per = ntile_by_cuts(per, "kg_total", "cliente_id_mail_phone", 5, "monetario_score")
     per = per.withColumn("recencia_score", C.recency_score("dias_desde_ultimo_pedido")) \
              .withColumn("frecuencia_score", C.frequency_score("pedidos_por_semana"))
 
@@ -175,13 +176,13 @@ def cohort_retention(primer: DataFrame, fact: DataFrame, horizons=R.RETENTION_HO
     cohort = firsts.withColumn("mes_adquisicion", C.month_start("fecha_primer_pedido"))
     info = cohort.join(fact.select(F.col("pedido_id").alias("primer_pedido_id"), "tipo_retiro", "tipo_pago",
                                    F.col("total").alias("ticket_primer_pedido")), "primer_pedido_id")
-    repeats = (primer.filter(~F.col("is_primer_pedido")).select("cliente_id_mail_phone", "pedido_id")
+    repeats = (primer.select("cliente_id_mail_phone", "pedido_id", "is_primer_pedido", "fecha_primer_pedido")
                .join(fact.filter(F.col("estado_id") == R.STATUS_DELIVERED)
-                     .select("pedido_id", F.col("created_at").alias("fecha_pedido")), "pedido_id"))
-    ret = cohort.join(repeats, "cliente_id_mail_phone", "left").groupBy(
-        "cliente_id_mail_phone", "mes_adquisicion").agg(*[
-            F.max(C.flag(F.col("fecha_pedido") <= C.plus_days("fecha_primer_pedido", h))).alias(f"retuvo_{h}d")
-            for h in horizons])
+                     .select("pedido_id", F.col("created_at").alias("fecha_pedido")), "pedido_id", "left"))
+    # every order carries its identity's first date: no join of cohorts with repeat orders
+    ret = repeats.groupBy("cliente_id_mail_phone", C.month_start("fecha_primer_pedido").alias("mes_adquisicion")).agg(*[
+        F.max(C.flag(~F.col("is_primer_pedido") & (F.col("fecha_pedido") <= C.plus_days("fecha_primer_pedido", h))))
+        .alias(f"retuvo_{h}d") for h in horizons])
     new = info.groupBy(F.col("mes_adquisicion").alias("mes")).agg(
         F.countDistinct("cliente_id_mail_phone").alias("clientes_nuevos"),
         count_when(F.col("tipo_retiro") == "delivery").alias("nuevos_delivery"),

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import count_when, sum_when
+from conewise.operators.bitmaps import distinct_from_bitmaps, id_bitmaps
+from conewise.operators.hot_keys import hot_keys, join_hot
 from conewise.operators.rank import small_ntile
 from conewise.operators.windows import first_event
 
@@ -105,8 +107,8 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores, productos
     # Dimensions are joined to each other at their own size first (customer
     # fields + identity per customer; address + zone per address), so the fact
     # is shuffled once per key: pedido_id (all per-order aggregates share that
-    # partitioning), cliente_id, direccion_id.  Catch-all customers make
-    # cliente_id skewed; AQE's skew join splits those partitions.
+    # partitioning), cliente_id, direccion_id.  Catch-all customers hold a large
+    # share of the orders: their few rows of the dimension are broadcast.
     cust = cli.join(ident, "cliente_id", "left")
     addr = dirs.join(zon, "zona_id", "left").drop("zona_id")
     # orders without an address are one key of any size: they skip that join
@@ -115,7 +117,7 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores, productos
           .join(costos.select("pedido_id", "costo_ingredientes", "costo_potes", "costo_bolsa", "costo_total"),
                 "pedido_id", "left")
           .join(first, "pedido_id", "left")
-          .join(cust, "cliente_id", "left")
+          .transform(join_hot, cust, ["cliente_id"], hot_keys(p, ["cliente_id"]), "left")
           .transform(_left_where_known, addr, "direccion_id")
           .join(fx, F.to_date(ts) == F.col("_fx_fecha"), "left"))
     return j.select(
@@ -171,13 +173,14 @@ def order_wide(fact: DataFrame, clima: DataFrame, perfil: DataFrame, mails: Data
                                  F.col("distancia_max_km").alias("zona_distancia_max_km"),
                                  F.col("demora_estimada_minutos").alias("zona_demora_estimada")))
     cl = F.broadcast(clima.select(F.col("fecha").alias("_cl_fecha"), *[c for c in clima.columns if c != "fecha"]))
-    barrio, origen = C.coalesce_from([("pedido", F.col("f.barrio")), ("cliente", F.col("ultimo_barrio"))])
-    j = (fact.alias("f")
-         .join(cl, F.col("f.fecha") == F.col("_cl_fecha"), "left")
-         .join(dedup.withColumnRenamed("cliente_id_mail_phone", "_ci_ident").alias("ci"), "cliente_id", "left")
-         .join(seg, "cliente_id", "left")
-         .join(dz, "direccion_id", "left")
-         .join(z, "_zona_id", "left"))
+    barrio, origen = C.coalesce_from([("pedido", F.col("barrio")), ("cliente", F.col("ultimo_barrio"))])
+    # both customer sides have one row per customer: joined at their own size, so the fact meets them once
+    cust = dedup.withColumnRenamed("cliente_id_mail_phone", "_ci_ident").join(seg, "cliente_id", "full")
+    addr = dz.join(z, "_zona_id", "left")
+    j = (fact.withColumnRenamed("cliente_id_mail_phone", "_f_ident")
+         .join(cl, F.col("fecha") == F.col("_cl_fecha"), "left")
+         .transform(join_hot, cust, ["cliente_id"], hot_keys(fact, ["cliente_id"]), "left")
+         .transform(_left_where_known, addr, "direccion_id"))
     return j.select(
         "pedido_id", "cliente_id", F.col("_ci_ident").alias("cliente_id_mail_phone"), "direccion_id",
         "cliente_nombre", "cliente_email", "cliente_telefono", "segmento_cliente",
@@ -316,3 +319,16 @@ def daily_sales_fact(base: DataFrame, clima: DataFrame, dolar: DataFrame, fact:
         z("venta_efectivo"), z("venta_mercadopago"), z("venta_transferencia"), z("comision_mp_total"),
         z("neto_mp_total"), z("productos_vendidos"), z("sabores_vendidos"), z("pedidos_primer_pedido"),
     )
+
+
+# ---------------------------------------------------------------- A03 with A18
+
+def customers_by_day(fact: DataFrame) -> DataFrame:
+    """Bitmaps of the customers with delivered orders of each day: distinct counts of any longer span come from them."""
+    return id_bitmaps(fact.filter(F.col("estado_id") == R.STATUS_DELIVERED), [F.col("fecha")], "cliente_id")
+
+
+def distinct_customers(by_day: DataFrame, level: str) -> DataFrame:
+    """Distinct customers by ``day``, ``week`` or ``month`` of the daily bitmaps."""
+    start = {"day": F.col("fecha"), "week": C.week_start("fecha"), "month": C.month_start("fecha")}[level]
+    return distinct_from_bitmaps(by_day, [start.cast("date").alias("periodo")], "clientes_unicos")

@@ -181,6 +181,9 @@ class Shop:
         return facts.order_wide(self.fct_pedidos, self.int_clima, self.int_clientes, self.dim_mails,
                                 self.dim_clientes, self.stg_clientes_direcciones, self.stg_zonas)
 
+    @table
+    def clientes_por_dia(self): return facts.customers_by_day(self.fct_pedidos)  # noqa: E704
+
     @cached_property
     def rpt_rfm(self): return customers.rfm_report(self.dim_clientes)  # noqa: E704
 

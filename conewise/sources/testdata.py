@@ -194,7 +194,7 @@ select codigo, cliente, direccion, tipo_retiro, tipo_pago,
   cast(null as int) as last_admin_update
 from (
   select o_orderkey as codigo, o_custkey as cliente,
-    o_custkey * 2 + o_orderkey % 2 as direccion,
+    case when o_orderkey % 20 <> 7 then o_custkey * 2 + o_orderkey % 2 end as direccion,
     {retiro} as tipo_retiro, {pago} as tipo_pago,
     case when o_custkey % 14 = 0
          then concat(case when o_orderkey % 4 = 1 then ' ' else '' end, '77',
