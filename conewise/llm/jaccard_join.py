@@ -36,7 +36,7 @@ a group of near copies, which fills a region for each of its rare shingles, is o
 cell.  Linked documents share a region, hence a cell.
 
 Recursion.  An open cell, one with members of several components, that has more
-than ``BLOCK`` members takes a new document pivot p.  All members are compared with
+than ``LARGE_PARTS`` blocks takes a new document pivot p.  All members are compared with
 it, links join components, and the cell splits into rings floor(d(x, p) / (1 - t)).
 By the triangle inequality d(x, p) and d(y, p) of linked documents differ by at
 most 1 - t, so their rings are the same or neighbours: each ring is joined with
@@ -78,8 +78,10 @@ from conewise.llm.components import components
 
 #: On the first level, one region more for so many shingles that linked sets may differ in.
 EXTRA = 1
-#: Members up to which a cell is compared in one block.
-BLOCK = 512
+#: Members up to which a cell is compared in one block, and blocks from which a cell takes pivots first:
+#: a pivot moves each member's set about as often as this many blocks do.
+BLOCK = 1024
+LARGE_PARTS = 8
 #: A cell is split if its largest ring is smaller than this share of it.
 SPLIT = 0.7
 #: Rounds at most, and links for each member in a large open cell from which components are formed anew after a round.
@@ -442,7 +444,7 @@ def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     found = None if links.isEmpty() else components(links)
     open_ = _open(cells, found)
     for number in range(ROUNDS):
-        large = open_.filter(F.col("size") > BLOCK)
+        large = open_.filter(F.col("size") > BLOCK * LARGE_PARTS)
         left = large.count()
         if not left:
             break
@@ -454,7 +456,7 @@ def join_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
             break
         if settled:  # else the older components only leave more to compare
             found = components(links)
-        small = open_.filter(F.col("size") <= BLOCK).select("cell", "node", "n")
+        small = open_.filter(F.col("size") <= BLOCK * LARGE_PARTS).select("cell", "node", "n")
         open_ = _open(small.unionByName(split).unionByName(whole), found)
     for across in (False, True):  # parts by themselves first: fewer components are left to join across them
         if across:
