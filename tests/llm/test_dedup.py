@@ -112,6 +112,7 @@ def test_jaccard_components_equal_brute_force(frame, texts, size, percent):
 @pytest.mark.parametrize("block", [5, 20, 1024])
 def test_large_regions_are_joined_in_blocks(frame, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "LARGE_PARTS", 1)
     rng = random.Random(8)
     rows = [(i, t) for k in range(3) for i, t in enumerate(near_copies(rng, 25, 40, 4), 100 * k)]
     got = jaccard_join.jaccard_components(frame(rows), 3, 90).collect()
@@ -121,6 +122,7 @@ def test_large_regions_are_joined_in_blocks(frame, monkeypatch, block):
 def test_what_leaves_the_blocks_grows_with_the_members(spark, frame, monkeypatch):
     """One family, two of 200 words changed: links that leave the blocks are fewer than the members, at every size."""
     monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    monkeypatch.setattr(jaccard_join, "LARGE_PARTS", 1)
     seen = []
     plain = jaccard_join.block_links
     monkeypatch.setattr(jaccard_join, "block_links", lambda *a: seen.append(jaccard_join.written(plain(*a), "seen")) or seen[-1])
