@@ -21,6 +21,7 @@ from conewise.oracle.models_sql import AVG, D
 from conewise.functions.rules import STATUS_DELIVERED as DELIVERED
 from conewise.operators.ntile_cuts import ntile_by_cuts
 from conewise.operators.ordered_scan import ordered_scan
+from conewise.operators import trigrams
 from conewise.operators.sets import not_in, union_distinct
 from conewise.plans import reports as R
 from conewise.plans.facts import distinct_customers
@@ -90,6 +91,7 @@ RAIN_MEANS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "pedidos_deliver
 SCATTER_METRICS = ["pedidos_totales", "kg_totales", "kg_por_pedido", "venta_total_usd"]
 SELECTED_PERIOD = ("1996-01-01", "1997-12-31")
 RUNNING = {"flujo_neto": "acumulado_periodo", "flujo_neto_usd": "acumulado_periodo_usd"}
+INDEXED_PATTERN = "customer#0+[1-4]7"
 SALES_SUMS = ["pedidos_totales", "kg_totales", "venta_total", "venta_total_usd"]
 
 
@@ -228,6 +230,11 @@ def _p23(shop):
         "cliente_id_mail_phone", "nombre", "segmento_cliente", "total_gastado")
 
 
+def _p23_index(shop):
+    return trigrams.search(shop.dim_clientes, shop.nombres_trigramas, "cliente_id_mail_phone", "nombre", INDEXED_PATTERN).select(
+        "cliente_id_mail_phone", "nombre", "segmento_cliente", "total_gastado")
+
+
 def _p24(shop):
     return R.between_dates(shop.fct_ventas_diarias, "fecha", "1996-01-01", "1997-12-31").select(
         "fecha", "pedidos_totales", "venta_total")
@@ -328,13 +335,13 @@ def _s05(shop):
 
 def _s06(shop):
     path = _folder(shop, "fct_ventas_diarias")
-    shop.fct_ventas_diarias.write.parquet(path)
+    sinks.write_clustered(shop.fct_ventas_diarias, path, "fecha")
     return readers.load_table(shop.spark, path, "fecha", "1996-01-01", "1996-12-31").select("fecha", "pedidos_totales", "venta_total")
 
 
 def _exported(shop, path, names):
-    frames = {n: shop.spark.read.parquet(f"{path}/{n}") for n in names}
-    return row_counts(frames)
+    """Digests of every column of the written tables, read back."""
+    return Q.column_digests({n: shop.spark.read.parquet(f"{path}/{n}") for n in names})
 
 
 def _s07(shop):
@@ -345,7 +352,7 @@ def _s07(shop):
 
 def _s08(shop):
     path = _folder(shop, "dated")
-    names = [*shop.EXPORTED, "int_pedidos", "stg_zonas"]
+    names = [*shop.EXPORTED, *shop.INTERNAL, "stg_zonas"]
     status = sinks.export_all({n: shop.model(n) for n in names}, path, shop.as_of)
     return _exported(shop, f"{path}/{shop.as_of.replace('-', '')}", [n for n, s in status.items() if s == "ok"])
 
@@ -427,6 +434,7 @@ ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "A23_barrio_choices": _a23,
     "P22_order_facets": _p22,
     "P23_customer_search": _p23,
+    "P23_customer_search_indexed": _p23_index,
     "P24_sales_date_window": _p24,
     "P25_sugar_free_flavours": _p25("only"),
     "P25_sugared_flavours": _p25("without"),
@@ -540,6 +548,8 @@ from fct_ventas_diarias"""
 where tipo_retiro in ('delivery', 'local') and tipo_pago is not null and estado_nombre is not null"""
     o["P23_customer_search"] = """select cliente_id_mail_phone, nombre, segmento_cliente, total_gastado
 from dim_clientes where segmento_cliente is not null and coalesce(regexp_matches(nombre, '#0+1', 'i'), false)"""
+    o["P23_customer_search_indexed"] = f"""select cliente_id_mail_phone, nombre, segmento_cliente, total_gastado
+from dim_clientes where coalesce(regexp_matches(nombre, '{INDEXED_PATTERN}', 'i'), false)"""
     o["P24_sales_date_window"] = """select fecha, pedidos_totales, venta_total from fct_ventas_diarias
 where fecha >= date '1996-01-01' and fecha <= date '1997-12-31'"""
     o["P25_sugar_free_flavours"] = ("select sabor_id, sabor, veces_pedido, kg_vendidos from rpt_sabores "
@@ -573,9 +583,8 @@ from (select total, codigo % 97 = 0 or codigo % 101 = 0 as mala from raw_pedidos
     o["S05_seed_scan"] = "select * from raw_clima_buenos_aires"
     o["S06_mart_window"] = """select fecha, pedidos_totales, venta_total from fct_ventas_diarias
 where fecha between date '1996-01-01' and date '1996-12-31'"""
-    count = lambda n: f"select '{n}' as tabla, count(*) as filas from {n}"
-    o["S07_mart_export"] = _union([count(n) for n in Shop.EXPORTED])
-    o["S08_dated_export"] = _union([count(n) for n in [*Shop.EXPORTED, "int_pedidos"]])
+    o["S07_mart_export"] = _union([_digest_sql(n) for n in Shop.EXPORTED])
+    o["S08_dated_export"] = _union([_digest_sql(n) for n in [*Shop.EXPORTED, *Shop.INTERNAL]])
     o["S10_csv_sink"] = """select strftime(fecha, '%Y-%m-%d') as fecha, cast(cast(valor_blue as decimal(38,2)) as varchar) as valor_blue
 from stg_dolar_blue"""
 
@@ -604,6 +613,15 @@ count(distinct cliente_id) as clientes_unicos from fct_pedidos where estado_id =
     return o
 
 
+def _digest_sql(table: str) -> str:
+    """``quality.column_digests`` of one table."""
+    return f"""select '{table}' as tabla, columna, count(*) as filas, count(valor) as valores,
+  cast(coalesce(sum(cast('0x' || substr(md5(valor), 1, 8) as bigint)), 0) as bigint) as suma
+from (select case when regexp_matches(typeof(columns(*)), 'INT|DECIMAL|DOUBLE|FLOAT')
+        then try_cast(columns(*)::varchar as decimal(38,6))::varchar else columns(*)::varchar end from {table})
+unpivot include nulls (valor for columna in (columns(*))) group by columna"""
+
+
 #: The order fact's columns in order, with their kinds.
 FACT_COLUMNS = {
     "entero": ["pedido_id", "cliente_id", "cliente_id_mail_phone", "direccion_id", "anio", "mes_num", "dia_semana", "hora", "estado_id",

@@ -20,9 +20,17 @@ def _usd(x, rate="tipo_cambio_promedio"):
     return C.to_usd(x, rate, 2)
 
 
+def expenses_by_month(egresos: DataFrame) -> DataFrame:
+    """Expenses by month, category and means of payment: what D16 to D18 read (a table of calendar size)."""
+    return egresos.groupBy(C.month_start("fecha").alias("mes"), F.year("fecha").cast("bigint").alias("anio"),
+                           F.month("fecha").cast("bigint").alias("mes_num"), "categoria", "medio_pago").agg(
+        F.sum("monto").alias("monto"), F.count(F.lit(1)).alias("cantidad_egresos"))
+
+
 # ---------------------------------------------------------------- D16
 
 def pnl_monthly(daily: DataFrame, egresos: DataFrame, fx_month: DataFrame) -> DataFrame:
+    """P&L; ``egresos`` are the expenses by month."""
     inc = daily.groupBy(C.month_start("fecha").alias("mes"),
                         F.year("fecha").cast("bigint").alias("anio"),
                         F.month("fecha").cast("bigint").alias("mes_num")).agg(
@@ -41,7 +49,7 @@ def pnl_monthly(daily: DataFrame, egresos: DataFrame, fx_month: DataFrame) -> Da
     cat = F.col("categoria")
     supply = cat.isin(R.PNL_SUPPLY_CATEGORIES)
     named = [c for _, c in R.PNL_NAMED_CATEGORIES]
-    exp = egresos.groupBy(C.month_start("fecha").alias("mes")).agg(
+    exp = egresos.groupBy("mes").agg(
         sum_when(supply, "monto").alias("gasto_insumos"),
         *[sum_when(cat == c, "monto").alias(name) for name, c in R.PNL_NAMED_CATEGORIES],
         sum_when(~cat.isin(named + R.PNL_SUPPLY_CATEGORIES + [R.PNL_INVESTMENT]), "monto").alias("gasto_otros"),
@@ -73,6 +81,7 @@ def pnl_monthly(daily: DataFrame, egresos: DataFrame, fx_month: DataFrame) -> Da
 # ---------------------------------------------------------------- D17
 
 def cash_flow_monthly(daily: DataFrame, egresos: DataFrame, fx_month: DataFrame) -> DataFrame:
+    """Cash flow; ``egresos`` are the expenses by month."""
     inf = daily.groupBy(C.month_start("fecha").alias("mes"),
                         F.year("fecha").cast("bigint").alias("anio"),
                         F.month("fecha").cast("bigint").alias("mes_num")).agg(
@@ -81,7 +90,7 @@ def cash_flow_monthly(daily: DataFrame, egresos: DataFrame, fx_month: DataFrame)
         F.sum("venta_transferencia").alias("cobros_transferencia"),
         (F.sum("venta_efectivo") + F.sum("neto_mp_total") + F.sum("venta_transferencia")).alias("total_inflows"),
         F.sum("costo_delivery_total").alias("costo_delivery"))
-    out = egresos.filter(F.col("categoria") != R.PNL_INVESTMENT).groupBy(C.month_start("fecha").alias("mes")).agg(
+    out = egresos.filter(F.col("categoria") != R.PNL_INVESTMENT).groupBy("mes").agg(
         *[sum_when(F.col("medio_pago") == m, "monto").alias(name) for name, m in R.CASH_OUT_MEANS],
         F.sum("monto").alias("total_egresos"))
     zero = F.lit(0)
@@ -103,9 +112,9 @@ def cash_flow_monthly(daily: DataFrame, egresos: DataFrame, fx_month: DataFrame)
 # ---------------------------------------------------------------- D18
 
 def expenses_yoy(egresos: DataFrame, fx_month: DataFrame) -> DataFrame:
-    em = egresos.groupBy(C.month_start("fecha").alias("mes"), F.year("fecha").cast("bigint").alias("anio"),
-                         F.month("fecha").cast("bigint").alias("mes_num"), "categoria").agg(
-        F.sum("monto").alias("monto_total"), F.count(F.lit(1)).alias("cantidad_egresos"))
+    """Expenses against the same month a year before; ``egresos`` are the expenses by month."""
+    em = egresos.groupBy("mes", "anio", "mes_num", "categoria").agg(
+        F.sum("monto").alias("monto_total"), F.sum("cantidad_egresos").alias("cantidad_egresos"))
     prev = em.select("categoria", "mes_num", (F.col("anio") + 1).alias("anio"),
                      F.col("monto_total").alias("monto_mismo_mes_anio_anterior"))
     j = em.join(prev, ["categoria", "mes_num", "anio"], "left").join(F.broadcast(fx_month), "mes", "left")
@@ -129,8 +138,9 @@ def margin_breakdown(fact: DataFrame, fx_month: DataFrame) -> DataFrame:
         "costo_total": "round(sum(costo_total), 2)",
         "contribucion_mg": "round(sum(contribucion_mg), 2)",
         "kg_totales": "round(sum(kg_total), 2)",
-        "margen_pct": "case when sum(total) > 0 then round(100.0BD * sum(contribucion_mg) / sum(total), 1) else 0 end",
-    })
+        "_total": "sum(total)",
+        "_margen": "sum(contribucion_mg)",
+    }).withColumn("margen_pct", C.pct("_margen", "_total", 1, 0))
     from pyspark.sql import Window
     w = Window.partitionBy("dimension_tipo", "dimension_valor").orderBy("mes")
     j = g.join(F.broadcast(fx_month), "mes", "left")

@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from conewise.operators import trigrams
 from conewise.plans import cost, customers, facts, finance, identity, ranking, staging
 from conewise.sources.sinks import input_root, materialise_once, remove_folder, table_root
 
@@ -184,6 +185,12 @@ class Shop:
     @table
     def clientes_por_dia(self): return facts.customers_by_day(self.fct_pedidos)  # noqa: E704
 
+    @table
+    def nombres_trigramas(self): return trigrams.postings(self.dim_clientes, "cliente_id_mail_phone", "nombre")  # noqa: E704
+
+    @table
+    def egresos_por_mes(self): return finance.expenses_by_month(self.stg_egresos)  # noqa: E704
+
     @cached_property
     def rpt_rfm(self): return customers.rfm_report(self.dim_clientes)  # noqa: E704
 
@@ -193,14 +200,14 @@ class Shop:
 
     @cached_property
     def rpt_pnl(self):  # noqa: E704
-        return finance.pnl_monthly(self.fct_ventas_diarias, self.stg_egresos, self.fx_monthly)
+        return finance.pnl_monthly(self.fct_ventas_diarias, self.egresos_por_mes, self.fx_monthly)
 
     @cached_property
     def rpt_cash_flow(self):  # noqa: E704
-        return finance.cash_flow_monthly(self.fct_ventas_diarias, self.stg_egresos, self.fx_monthly)
+        return finance.cash_flow_monthly(self.fct_ventas_diarias, self.egresos_por_mes, self.fx_monthly)
 
     @cached_property
-    def rpt_egresos(self): return finance.expenses_yoy(self.stg_egresos, self.fx_monthly)  # noqa: E704
+    def rpt_egresos(self): return finance.expenses_yoy(self.egresos_por_mes, self.fx_monthly)  # noqa: E704
 
     @cached_property
     def rpt_margenes(self): return finance.margin_breakdown(self.fct_pedidos, self.fx_monthly)  # noqa: E704
@@ -235,6 +242,9 @@ class Shop:
     EXPORTED = ["fct_ventas_diarias", "fct_pedidos", "dim_clientes", "rpt_productos_vendidos", "rpt_sabores",
                 "rpt_pnl", "rpt_cash_flow", "rpt_egresos", "rpt_rfm", "rpt_margenes", "rpt_puntos", "rpt_zonas",
                 "rpt_clientes_nuevos"]
+    #: Relations of the dated export besides the marts: all that are not staging.
+    INTERNAL = ["dim_mails", "int_clientes", "int_clima", "int_costos_pedido", "int_pedidos", "int_primer_pedido",
+                "int_ventas_diarias", "rpt_sabores_populares"]
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)

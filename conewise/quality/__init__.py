@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conewise.sources.sinks import materialise
-
 # The staging tables whose key the source project tests for
 # unique and not null, and that key.
 KEYED_TABLES = {
@@ -78,43 +76,86 @@ def column_kind(t: T.DataType) -> str:
     return "logico" if isinstance(t, T.BooleanType) else "texto"
 
 
-def profile(df: DataFrame, sample_limit: int = 10) -> DataFrame:
+#: Size of the sketches (2^n registers) that tell columns with few values, and the most values counted in a set.
+SKETCH, FEW = 10, 1000
+
+
+def profile(df: DataFrame, sample_limit: int = 10, few: int = FEW) -> DataFrame:
     """Q03: one row per column - kind, rows, nulls, exact distinct count, range
     of numbers and dates, and the sorted values of text columns with at most
     ``sample_limit`` distinct values.
 
-    Counts, nulls and ranges are plain aggregates of one pass.  Only the exact
-    distinct counts unpivot the cells; equal cells are dropped before they are
-    shuffled and the distinct ones are written once for counts and values.
+    A first pass takes counts, nulls, ranges and a sketch of each column.  Columns
+    whose sketch tells at most ``few`` values are counted together, in sets that
+    stay in the aggregate buffer; the others one by one, each from a scan of that
+    column alone.  Sketches only choose the way: all counts are exact.  ``df``
+    should be a table, as it is read once per column with many values.
     """
+    few = max(few, sample_limit)
     fields = [(i + 1, f.name, column_kind(f.dataType)) for i, f in enumerate(df.schema.fields)]
     aggs = [F.count(F.lit(1)).alias("filas")]
     for i, name, kind in fields:
         c = F.col(f"`{name}`")
         aggs.append(F.count_if(c.isNull()).alias(f"nulos_{i}"))
+        sketch = F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), SKETCH)
+        aggs.append(F.hll_sketch_estimate(sketch).alias(f"cerca_{i}"))
         for low, pick in (("min", F.min), ("max", F.max)):
-            as_number = pick(c).cast("double") if kind in ("entero", "numero") else F.lit(None).cast("double")
-            as_date = pick(c.cast("timestamp_ntz")) if kind == "fecha" else F.lit(None).cast("timestamp_ntz")
-            aggs += [as_number.alias(f"{low}_n_{i}"), as_date.alias(f"{low}_d_{i}")]
-    wide = df.agg(*aggs)
-    stats = wide.select("filas", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("posicion"), F.lit(name).alias("columna"), F.lit(kind).alias("tipo"),
-                 F.col(f"nulos_{i}").alias("nulos"), F.col(f"min_n_{i}").alias("minimo"), F.col(f"max_n_{i}").alias("maximo"),
-                 F.col(f"min_d_{i}").alias("desde"), F.col(f"max_d_{i}").alias("hasta"))
-        for i, name, kind in fields])).alias("_s")).select("filas", "_s.*")
-    cells = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("posicion"), F.col(f"`{name}`").cast("string").alias("s")) for i, name, _ in fields])).alias("_c"))
-    values = materialise(cells.select("_c.*").filter(F.col("s").isNotNull()).distinct(), "profile-values")
-    counts = values.groupBy("posicion").agg(F.count(F.lit(1)).alias("distintos"))
-    few = counts.filter(F.col("distintos") <= sample_limit).select("posicion")
-    texts = [i for i, _, kind in fields if kind == "texto"]
-    # at most sample_limit values of each column that has no more
-    sample = (values.filter(F.col("posicion").isin(texts)).join(F.broadcast(few), "posicion", "left_semi").groupBy("posicion")
-              .agg(F.array_join(F.array_sort(F.collect_list("s")), ", ").alias("valores")))
-    # one row per column on every side
-    return (stats.join(F.broadcast(counts), "posicion", "left").join(F.broadcast(sample), "posicion", "left")
-            .select("posicion", "columna", "tipo", "filas", F.lit(len(fields)).alias("columnas"), "nulos", F.coalesce("distintos", F.lit(0)).alias("distintos"),
-                    "minimo", "maximo", "desde", "hasta", "valores"))
+            if kind in ("entero", "numero"):
+                aggs.append(pick(c).cast("double").alias(f"{low}_n_{i}"))
+            elif kind == "fecha":
+                aggs.append(pick(c.cast("timestamp_ntz")).alias(f"{low}_d_{i}"))
+    one = df.agg(*aggs).first().asDict()  # one row, a few values per column
+    stats = df.sparkSession.createDataFrame(
+        [(i, name, kind, one["filas"], len(fields), one[f"nulos_{i}"], *[one.get(f"{k}_{i}") for k in ("min_n", "max_n", "min_d", "max_d")])
+         for i, name, kind in fields],
+        "posicion int, columna string, tipo string, filas long, columnas int, nulos long, minimo double, maximo double, "
+        "desde timestamp_ntz, hasta timestamp_ntz")
+
+    small = [x for x in fields if (one[f"cerca_{x[0]}"] or 0) <= few]
+    counts = []
+    if small:
+        sets = df.agg(*[F.collect_set(f"`{name}`").alias(f"s_{i}") for i, name, _ in small])
+        rows = []
+        for i, _, kind in small:
+            s = F.col(f"s_{i}")
+            listed = F.array_join(F.array_sort(s), ", ") if kind == "texto" else F.lit(None).cast("string")
+            rows.append(F.struct(F.lit(i).alias("posicion"), F.size(s).cast("long").alias("distintos"),
+                                 F.when(F.size(s).between(1, sample_limit), listed).alias("valores")))
+        counts.append(sets.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*"))
+    for i, name, _ in [x for x in fields if x not in small]:
+        values = df.select(F.col(f"`{name}`").alias("v")).filter("v is not null").distinct()
+        counts.append(values.agg(F.count("*").alias("distintos")).select(
+            F.lit(i).alias("posicion"), "distintos", F.lit(None).cast("string").alias("valores")))
+    found = counts[0]
+    for c in counts[1:]:
+        found = found.unionByName(c)
+    # one row per column on both sides
+    return stats.join(F.broadcast(found), "posicion").select(
+        "posicion", "columna", "tipo", "filas", "columnas", "nulos", "distintos", "minimo", "maximo", "desde", "hasta", "valores")
+
+
+def column_digests(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per table and column: (tabla, columna, filas, valores, suma).
+
+    ``suma`` adds up the first 32 bits of each value's MD5 (numbers as decimals of
+    six places), so it does not depend on the order of rows: two tables with the
+    same digests hold the same values in each column.  One pass per table.
+    """
+    parts = []
+    for table, df in frames.items():
+        aggs, rows = [F.count(F.lit(1)).alias("filas")], []
+        for i, f in enumerate(df.schema.fields):
+            c = F.col(f"`{f.name}`")
+            text = (c.cast("decimal(38,6)") if isinstance(f.dataType, _NUMERIC) else c).cast("string")
+            digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+            aggs += [F.count(c).alias(f"n_{i}"), F.coalesce(F.sum(digest), F.lit(0)).cast("long").alias(f"s_{i}")]
+            rows.append(F.struct(F.lit(f.name).alias("columna"), F.col(f"n_{i}").alias("valores"), F.col(f"s_{i}").alias("suma")))
+        parts.append(df.agg(*aggs).select(F.lit(table).alias("tabla"), "filas", F.explode(F.array(*rows)).alias("_r"))
+                     .select("tabla", "_r.columna", "filas", "_r.valores", "_r.suma"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def cost_coverage(order_cost: DataFrame) -> DataFrame:
