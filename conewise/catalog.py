@@ -395,6 +395,11 @@ def _w05(shop):
     return ntile_by_cuts(lines, "total", "pedido_id", 10, "decil")
 
 
+def _a07(shop):
+    return shop.identidad_ids.select("cliente_id_mail_phone", "chunk", "position", "first_id", "n_ids",
+                                     F.array_join(F.col("ids").cast("array<string>"), ", ").alias("ids"))
+
+
 def _a03(level):
     return lambda shop: distinct_customers(shop.clientes_por_dia, level)
 
@@ -421,6 +426,7 @@ ON_SHOP: dict[str, Callable[[Shop], DataFrame]] = {
     "U02_unresolved_customers": _u02_not_in,
     "W08_points_balance": _w08,
     "W05_order_deciles": _w05,
+    "A07_identity_id_chunks": _a07,
     "A03_customers_daily": _a03("day"),
     "A03_customers_weekly": _a03("week"),
     "A03_customers_monthly": _a03("month"),
@@ -607,6 +613,11 @@ select cliente_id from dim_mails where tipo_identidad in ('email', 'phone_bridge
 last_value(case when tipo_movimiento = 'canje' then punto_id end ignore nulls) over w as ultimo_canje, lag(puntos) over (order by fecha, punto_id) as puntos_previos
 from stg_puntos window w as (order by fecha, punto_id rows between unbounded preceding and current row)"""
     o["W05_order_deciles"] = "select pedido_id, total, ntile(10) over (order by total nulls last, pedido_id) as decil from fct_pedidos"
+    o["A07_identity_id_chunks"] = """select cliente_id_mail_phone, chunk, cast(sum(n_ids) over w - n_ids as bigint) as position, first_id, n_ids, ids
+from (select cliente_id_mail_phone, cast(floor(c.cliente_id / 100000) as bigint) as chunk, min(c.cliente_id) as first_id,
+        count(*) as n_ids, string_agg(cast(c.cliente_id as varchar), ', ' order by c.cliente_id) as ids
+      from dim_mails join stg_clientes c using (cliente_id) where cliente_id_mail_phone is not null group by 1, 2)
+window w as (partition by cliente_id_mail_phone order by chunk)"""
     for level in ("day", "week", "month"):
         o[f"A03_customers_{dict(day='daily', week='weekly', month='monthly')[level]}"] = f"""select cast(date_trunc('{level}', fecha) as date) as periodo,
 count(distinct cliente_id) as clientes_unicos from fct_pedidos where estado_id = {DELIVERED} and cliente_id is not null group by 1"""

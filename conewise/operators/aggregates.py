@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,21 +33,39 @@ def sum_when(cond: Column, value: Column | str, zero=0) -> Column:
     return F.sum(F.when(cond, v).otherwise(F.lit(zero)))
 
 
-def join_ids(df: DataFrame, key: str, id_col: str, name: str, sep: str = ", ",
-             bucket: int = 100_000) -> DataFrame:
-    """Ordered id list ``'1, 2, 3'`` per key.
+def id_chunks(df: DataFrame, key: str, id_col: str, size: int = 100_000) -> DataFrame:
+    """A07 as a table: the ordered ids of each key in chunks (key, chunk, position, first_id, n_ids, ids).
 
-    Two levels, so a key holding a large share of the rows is never sorted or
-    buffered whole in one task: ordered partial lists per (key, id range of
-    ``bucket`` ids), then the partials joined in range order.  Ranges are
-    monotone in the id, so the result is the id list in id order.  (The output
-    string itself grows with the key; it is the feature.)
+    A chunk holds the ids of one range of ``size`` ids, so chunks are in id order
+    and a key of any size is spread over many rows and tasks (unique ids: at most
+    ``size`` a chunk).  ``position`` is the place of the first id in the key's
+    whole list, from 0: a prefix sum over narrow rows (key, chunk, count), of which
+    a key has one per range.  Null ids are left out.
     """
-    rng = F.floor(F.col(id_col) / F.lit(bucket)).alias("_rng")
-    parts = df.groupBy(key, rng).agg(
-        F.expr(f"listagg(cast({id_col} as string), '{sep}') within group (order by {id_col})").alias("_part"))
-    return parts.groupBy(key).agg(
-        F.expr(f"listagg(_part, '{sep}') within group (order by _rng)").alias(name))
+    known = df.filter(F.col(id_col).isNotNull()).select(
+        key, F.floor(F.col(id_col) / F.lit(size)).alias("chunk"), F.col(id_col).alias("_id"))
+    before = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    places = (known.groupBy(key, "chunk").agg(F.count(F.lit(1)).alias("n_ids"))
+              .withColumn("position", F.coalesce(F.sum("n_ids").over(before), F.lit(0))))
+    lists = known.groupBy(key, "chunk").agg(F.sort_array(F.collect_list("_id")).alias("ids"))
+    return (lists.withColumnRenamed(key, "_key").withColumnRenamed("chunk", "_chunk")
+            .join(places, F.col("_key").eqNullSafe(F.col(key)) & (F.col("_chunk") == F.col("chunk")))
+            .select(key, "chunk", "position", F.col("ids")[0].alias("first_id"), "n_ids", "ids"))
+
+
+def ids_text(chunks: DataFrame, key: str, name: str, sep: str = ", ") -> DataFrame:
+    """A07 as text: the ids of each key's chunks in order, ``'1, 2, 3'``.
+
+    Each chunk becomes one string where it lies; only these are put together for a
+    key.  (That string grows with the key; jobs that need the ids read the chunks.)
+    """
+    parts = chunks.filter(F.size("ids") > 0).select(key, "chunk", F.array_join(F.col("ids").cast("array<string>"), sep).alias("_part"))
+    return parts.groupBy(key).agg(F.expr(f"listagg(_part, '{sep}') within group (order by chunk)").alias(name))
+
+
+def join_ids(df: DataFrame, key: str, id_col: str, name: str, sep: str = ", ", bucket: int = 100_000) -> DataFrame:
+    """Ordered id list ``'1, 2, 3'`` per key, by way of its chunks."""
+    return ids_text(id_chunks(df, key, id_col, bucket), key, name, sep)
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conewise.functions import columns as C
 from conewise.functions import rules as R
-from conewise.operators.aggregates import count_when, join_ids, sum_when
+from conewise.operators.aggregates import count_when, id_chunks, ids_text, sum_when
 from conewise.operators.ntile_cuts import ntile_by_cuts
 from conewise.operators.windows import lag_change, latest_per, newest_two
 from conewise.sources.sinks import cut_lineage
@@ -20,8 +20,15 @@ ADDRESS_PAYLOAD = ["direccion_id", "direccion", "piso", "depto", "barrio", "lati
                    "distancia_km", "zona_id"]
 
 
+def identity_ids(clientes: DataFrame, mails: DataFrame) -> DataFrame:
+    """Chunks of the customer ids of each identity, which D02 and D13 read."""
+    known = mails.select("cliente_id", "cliente_id_mail_phone").filter(F.col("cliente_id_mail_phone").isNotNull())
+    return id_chunks(known.join(clientes.select("cliente_id"), "cliente_id"), "cliente_id_mail_phone", "cliente_id")
+
+
 def customer_profile(clientes: DataFrame, mails: DataFrame, direcciones: DataFrame,
-                     zonas: DataFrame) -> DataFrame:
+                     zonas: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row per customer; ``ids`` are the chunks of ``identity_ids``."""
     order = ["created_at", "direccion_id"]
     newest, previous = newest_two(direcciones, "cliente_id", order, ADDRESS_PAYLOAD)
     zm = direcciones.join((zonas.select("zona_id", "distancia_max_km", "demora_estimada_minutos")),
@@ -43,7 +50,9 @@ def customer_profile(clientes: DataFrame, mails: DataFrame, direcciones: DataFra
     member_info = cut_lineage(members.join(per_ident, "cliente_id_mail_phone").select(
         "cliente_id", "cliente_id_mail_phone", "total_clientes_identidad",
         (F.col("cliente_id") == F.col("_newest_id")).alias("_is_newest")))
-    earlier = join_ids(member_info.filter(~F.col("_is_newest")), "cliente_id_mail_phone", "cliente_id", "cliente_ids_anteriores")
+    newest_ids = member_info.filter("_is_newest").select("cliente_id_mail_phone", F.col("cliente_id").alias("_newest_id"))
+    earlier = ids_text(ids.join(newest_ids, "cliente_id_mail_phone").withColumn("ids", F.array_remove("ids", F.col("_newest_id"))),
+                       "cliente_id_mail_phone", "cliente_ids_anteriores")
     member_info = member_info.drop("cliente_id_mail_phone")
 
     ud = newest.select("cliente_id", *[F.col(c).alias(f"ud_{c}") for c in ADDRESS_PAYLOAD])
@@ -78,8 +87,8 @@ def customer_profile(clientes: DataFrame, mails: DataFrame, direcciones: DataFra
 # ---------------------------------------------------------------- D13
 
 def customer_dimension(clientes: DataFrame, mails: DataFrame, direcciones: DataFrame,
-                       fact: DataFrame, as_of) -> DataFrame:
-    """One row per identity with RFM scores and segment; ``as_of`` replaces current_date."""
+                       fact: DataFrame, as_of, chunks: DataFrame) -> DataFrame:
+    """One row per identity with RFM scores and segment; ``as_of`` replaces current_date, ``chunks`` are of ``identity_ids``."""
     asof = F.lit(as_of).cast("date")
     ident = mails.select("cliente_id", "cliente_id_mail_phone", "tipo_identidad").filter(
         F.col("cliente_id_mail_phone").isNotNull())
@@ -90,7 +99,7 @@ def customer_dimension(clientes: DataFrame, mails: DataFrame, direcciones: DataF
     rep = cci.groupBy("cliente_id_mail_phone").agg(
         F.max_by(F.struct(*rep_cols), F.struct("created_at", "cliente_id")).alias("_rep"),
         F.count(F.lit(1)).alias("n_cliente_ids")).select("cliente_id_mail_phone", "_rep.*", "n_cliente_ids")
-    ids = join_ids(cci, "cliente_id_mail_phone", "cliente_id", "todos_cliente_ids")
+    ids = ids_text(chunks, "cliente_id_mail_phone", "todos_cliente_ids")
     addr = (cci.select("cliente_id", "cliente_id_mail_phone")
             .join(direcciones.filter(F.col("is_activo") == 1)
                   .select("cliente_id", "direccion_id", "barrio", "direccion", F.col("created_at").alias("_dc")),

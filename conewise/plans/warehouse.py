@@ -149,10 +149,13 @@ class Shop:
         return cost.order_cost(self.stg_pedidos, self.stg_pedidos_productos, self.line_flavours,
                                self.stg_productos, self.stg_costos_sabores)
 
+    @table
+    def identidad_ids(self): return customers.identity_ids(self.stg_clientes, self.dim_mails)  # noqa: E704
+
     @table
     def int_clientes(self):  # noqa: E704
         return customers.customer_profile(self.stg_clientes, self.dim_mails, self.stg_clientes_direcciones,
-                                          self.stg_zonas)
+                                          self.stg_zonas, self.identidad_ids)
 
     @cached_property
     def fx_monthly(self): return facts.fx_monthly(self.stg_dolar_blue)  # noqa: E704
@@ -175,7 +178,7 @@ class Shop:
     @table
     def dim_clientes(self):  # noqa: E704
         return customers.customer_dimension(self.stg_clientes, self.dim_mails, self.stg_clientes_direcciones,
-                                            self.fct_pedidos, self.as_of)
+                                            self.fct_pedidos, self.as_of, self.identidad_ids)
 
     @cached_property
     def int_pedidos(self):  # noqa: E704

@@ -108,6 +108,21 @@ def test_join_ids_ordered(spark):
     assert got == ", ".join(str(i) for i in sorted(ids))
 
 
+def test_id_chunks_hold_a_hot_key_in_parts(spark):
+    rnd = random.Random(5)
+    ids = rnd.sample(range(-700, 20_000), 3000)
+    rows = [(1, i) for i in ids] + [(2, 5), (None, 9), (None, -9), (3, None)]
+    got = A.id_chunks(spark.createDataFrame(rows, "k int, id int"), "k", "id", size=100).collect()
+    chunks = sorted((r for r in got if r.k == 1), key=lambda r: r.chunk)
+    assert len(chunks) > 100 and max(r.n_ids for r in chunks) <= 100
+    whole = sorted(ids)
+    for r in chunks:
+        assert r.ids == whole[r.position : r.position + r.n_ids] and r.first_id == r.ids[0]
+    assert sum(r.n_ids for r in chunks) == len(whole)
+    assert sorted((repr(r.k), r.position, r.ids) for r in got if r.k != 1) == [
+        ("2", 0, [5]), ("None", 0, [-9]), ("None", 1, [9])]
+
+
 def test_rule_columns(spark):
     df = spark.createDataFrame([(m, h) for m, h in [(1, 12), (4, 15), (7, 19), (10, 23), (12, 3)]],
                                "m int, h int")
