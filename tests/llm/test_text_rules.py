@@ -197,6 +197,43 @@ def test_notices_with_changed_words_are_found(frame):
     assert 0.6 <= got[1].score < 1 and got[2].score == 1 and got[2].spans[0].start == 100 and got[3].score == 0
 
 
+def test_whole_notices_are_told_from_their_relatives(frame):
+    whole = {label: text for text, label, _ in license_scan.NOTICES}
+    rows = [(1, "x " * 30 + whole["lgpl"]), (2, whole["agpl"] + " y" * 9), (3, whole["gpl"]), (4, whole["isc"].replace("AUTHOR", "OWNER")),
+            (5, license_scan.NOTICES[1][0] + " 3. " + whole["bsd-3-clause"]), (6, license_scan.NOTICES[1][0]),
+            (7, "Licensed under CC BY 4.0"), (8, "licensed under CC BY-NC 4.0"), (9, whole["cc-by-nd"]), (10, whole["cc-by-sa"])]
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(rows)).collect()}
+    assert [got[i].labels for i in range(1, 11)] == [
+        "lgpl", "agpl", "gpl", "isc", "bsd,bsd-3-clause", "bsd", "cc-by", "cc-by,cc-by-nc", "cc-by-nd", "cc-by-sa"]
+    assert got[1].score == 1 and got[1].spans[-1].start == 30
+
+
+def test_spans_are_verified_by_their_words(frame):
+    rng = random.Random(8)
+    template = license_scan.text_words(license_scan.NOTICES[0][0])
+    for _ in range(50):
+        found = [rng.choice(template + [b"x"]) for _ in range(rng.randint(0, 60))]
+        best = [0] * (len(template) + 1)
+        for w in found:
+            row = [0]
+            for i, t in enumerate(template):
+                row.append(best[i] + 1 if t == w else max(best[i + 1], row[-1]))
+            best = row
+        assert license_scan.in_order(found, template) == best[-1]
+    # all grams of a notice, its parts in reverse order: no word-for-word copy
+    words = license_scan.NOTICES[3][0].split()
+    parts = [words[i : i + 9] for i in range(0, len(words), 6)]
+    rows = [(1, " ".join(w for part in parts for w in part)), (2, " ".join(w for part in parts[::-1] for w in part))]
+    got = {r.doc_id: r for r in license_scan.license_scan(frame(rows)).collect()}
+    assert not any(s.end - s.start > 60 for s in got[2].spans or [])
+
+
+def test_equal_rows_and_null_ids_of_licenses(frame):
+    rows = [(1, "MIT license"), (1, "MIT license"), (1, "apache license"), (None, "cc by"), (None, "cc by"), (None, None), (2, None)]
+    got = sorted((repr(r.doc_id), r.base_labels, r.n_base) for r in license_scan.license_scan(frame(rows)).collect())
+    assert got == [("1", "apache", 1), ("1", "mit", 1), ("1", "mit", 1), ("2", "", 0), ("None", "", 0), ("None", "cc-by", 1), ("None", "cc-by", 1)]
+
+
 def test_repeated_short_notices_are_found(frame):
     rows = [(n, "x " + "All rights reserved. " * n) for n in (1, 2, 3, 4, 50)]
     rows += [(100, "all rights x " * 9 + "all rights reserved"), (101, "all rights x " * 9)]
