@@ -279,7 +279,7 @@ def holds(found: list[bytes], template: list[bytes], must: list[bytes], phrase:
 def verified(docs: DataFrame, found: DataFrame, proposed: DataFrame) -> DataFrame:
     """Written table (text, label, phrase, start, end, score) of the spans whose words hold; text is (doc_id, text_hash).
 
-    Only texts with a proposed span are moved, equal rows as one.
+    Texts are moved at most once, to meet the spans proposed for them; equal rows are read as one.
     """
     templates = [(text_words(text), text_words(must), tpl < len(PHRASES)) for tpl, (text, _, must) in enumerate(SOUGHT)]
 
