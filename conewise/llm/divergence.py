@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -152,8 +153,8 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         counts = batch.column("counts")
-        size = np.asarray(pa.compute.list_value_length(counts)).astype(np.int64)
-        flat = pa.compute.list_flatten(counts)
+        size = np.asarray(pc.list_value_length(counts)).astype(np.int64)
+        flat = pc.list_flatten(counts)
         p, p0 = (np.asarray(flat.field(c)) for c in ("p", "p0"))
         names = flat.field("source").dictionary_encode()
         langs = batch.column("lang").dictionary_encode()

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def cut(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPAC
         encoder = tokens.encoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            sizes = pa.compute.binary_length(batch.column(1)).to_pylist()
+            sizes = pc.binary_length(batch.column(1)).to_pylist()
             for a, b in tokens.slices(sizes, _SLICE):
                 out: list[tuple] = []
                 texts, doc_ids = (batch.column(i).slice(a, b - a).to_pylist() for i in (1, 0))

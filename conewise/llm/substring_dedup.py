@@ -41,6 +41,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -334,12 +335,12 @@ def distinct_segments(found: DataFrame, placed: DataFrame, size: int) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("wanted")
-            flat = pa.compute.list_flatten(lists)
+            flat = pc.list_flatten(lists)
             place = np.asarray(flat.field("place"))
-            begin = np.repeat(batch.column("start").to_numpy(), np.asarray(pa.compute.list_value_length(lists)))
+            begin = np.repeat(batch.column("start").to_numpy(), np.asarray(pc.list_value_length(lists)))
             first, words = (place >> 8) - begin, (place & 255) + size - 1
             texts, at = [], 0
-            for text, many in zip(batch.column("text").to_pylist(), np.asarray(pa.compute.list_value_length(lists)).tolist(), strict=True):
+            for text, many in zip(batch.column("text").to_pylist(), np.asarray(pc.list_value_length(lists)).tolist(), strict=True):
                 own = text.split(" ")
                 texts += [" ".join(own[a : a + w]) for a, w in zip(first[at : at + many].tolist(), words[at : at + many].tolist(), strict=True)]
                 at += many

@@ -32,6 +32,7 @@ from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,7 +83,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 doc_id = batch.column(0)
                 doc_file.write(doc_id.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
                 nul_file.write(doc_id.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes())
-                sizes = np.asarray(pa.compute.binary_length(batch.column(1)))
+                sizes = np.asarray(pc.binary_length(batch.column(1)))
                 for a, b in tokens.slices(sizes.tolist(), SLICE):
                     got = [ids + end for ids in encoder.encode(batch.column(1).slice(a, b - a).to_pylist())]
                     ids_file.writelines(got)

@@ -1,5 +1,8 @@
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 
 from conewise.llm import divergence
@@ -68,3 +71,19 @@ def test_long_texts_are_folded_in_parts(monkeypatch):
 
 def test_no_rows(frame):
     assert divergence.audit(frame([(1, "a")], TYPES).filter("doc_id > 1")).count() == 0
+
+
+def test_pairs_need_nothing_that_others_import():
+    """A worker that has only this module: pyarrow does not load its functions by itself."""
+    code = """
+import pyarrow as pa
+from conewise.llm import divergence, packing, substring_dedup, token_files
+kind = pa.list_(pa.struct([("source", pa.string()), ("p", pa.int64()), ("p0", pa.int64())]))
+row = [{"source": "a", "p": 9, "p0": 2}, {"source": "b", "p": 4, "p0": 2}]
+batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([row], kind)], ["lang", "counts"])
+(out,) = divergence._met([batch])
+print(sorted((r["source"], r["item"]) for r in out.to_pylist()))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    ran = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert ran.stdout.strip() == "[('a', 'b'), ('b', 'a')]", ran.stderr
