@@ -84,7 +84,8 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores, productos
     lp = lineas.select("pedido_id", "pedido_producto_id", "producto_id")
     prod_kg = lp.join(productos.select("producto_id", "peso_kg"), "producto_id", "left").groupBy("pedido_id").agg(
         F.count(F.lit(1)).alias("cantidad_productos"), F.sum("peso_kg").alias("kg_total"))
-    flav = sabores.groupBy("pedido_id").agg(F.countDistinct("sabor_id").alias("cantidad_sabores"))
+    # dealt by order, which serves the distinct count and the join alike
+    flav = sabores.filter(F.col("pedido_id").isNotNull()).select("pedido_id", "sabor_id").repartition("pedido_id").groupBy("pedido_id").agg(F.countDistinct("sabor_id").alias("cantidad_sabores"))
 
     cli = clientes.select("cliente_id", F.col("nombre").alias("cliente_nombre"),
                           F.col("email").alias("cliente_email"), F.col("telefono").alias("cliente_telefono"))
@@ -106,19 +107,21 @@ def order_fact(pedidos, clientes, direcciones, zonas, lineas, sabores, productos
 
     # Dimensions are joined to each other at their own size first (customer
     # fields + identity per customer; address + zone per address), so the fact
-    # is shuffled once per key: pedido_id (all per-order aggregates share that
-    # partitioning), cliente_id, direccion_id.  Catch-all customers hold a large
-    # share of the orders: their few rows of the dimension are broadcast.
+    # is shuffled once per key: direccion_id, cliente_id, pedido_id (all per-order
+    # aggregates share that partitioning and come last, so they are carried
+    # through no other shuffle).  Catch-all customers hold a large share of the
+    # orders: their few rows of the dimension are broadcast.
     cust = cli.join(ident, "cliente_id", "left")
     addr = dirs.join(zon, "zona_id", "left").drop("zona_id")
-    # orders without an address are one key of any size: they skip that join
-    j = (p.join(prod_kg, "pedido_id", "left")
+    # orders without an address are one key of any size: they skip that join,
+    # which is the first one, as both ways read what lies before it
+    j = (p.transform(_left_where_known, addr, "direccion_id")
+          .transform(join_hot, cust, ["cliente_id"], hot_keys(p, ["cliente_id"]), "left")
+          .join(prod_kg, "pedido_id", "left")
           .join(flav, "pedido_id", "left")
           .join(costos.select("pedido_id", "costo_ingredientes", "costo_potes", "costo_bolsa", "costo_total"),
                 "pedido_id", "left")
           .join(first, "pedido_id", "left")
-          .transform(join_hot, cust, ["cliente_id"], hot_keys(p, ["cliente_id"]), "left")
-          .transform(_left_where_known, addr, "direccion_id")
           .join(fx, F.to_date(ts) == F.col("_fx_fecha"), "left"))
     return j.select(
         "pedido_id", "cliente_id", "cliente_id_mail_phone", "direccion_id",
