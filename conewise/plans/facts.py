@@ -181,9 +181,9 @@ def order_wide(fact: DataFrame, clima: DataFrame, perfil: DataFrame, mails: Data
     cust = dedup.withColumnRenamed("cliente_id_mail_phone", "_ci_ident").join(seg, "cliente_id", "full")
     addr = dz.join(z, "_zona_id", "left")
     j = (fact.withColumnRenamed("cliente_id_mail_phone", "_f_ident")
-         .join(cl, F.col("fecha") == F.col("_cl_fecha"), "left")
+         .transform(_left_where_known, addr, "direccion_id")
          .transform(join_hot, cust, ["cliente_id"], hot_keys(fact, ["cliente_id"]), "left")
-         .transform(_left_where_known, addr, "direccion_id"))
+         .join(cl, F.col("fecha") == F.col("_cl_fecha"), "left"))
     return j.select(
         "pedido_id", "cliente_id", F.col("_ci_ident").alias("cliente_id_mail_phone"), "direccion_id",
         "cliente_nombre", "cliente_email", "cliente_telefono", "segmento_cliente",
