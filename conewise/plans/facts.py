@@ -269,7 +269,6 @@ def daily_sales_base(fact: DataFrame, registro: DataFrame,
 def daily_sales_fact(base: DataFrame, clima: DataFrame, dolar: DataFrame, fact: DataFrame) -> DataFrame:
     d = fact.filter(F.col("estado_id") == R.STATUS_DELIVERED)
     det = d.groupBy(F.col("fecha").alias("_sd_fecha")).agg(
-        F.countDistinct("cliente_id").alias("clientes_unicos"),
         F.round(F.avg("total"), 2).alias("ticket_promedio"),
         count_when(F.col("tipo_retiro") == "delivery").alias("pedidos_delivery"),
         count_when(F.col("tipo_retiro") == "local").alias("pedidos_local"),
@@ -286,6 +285,10 @@ def daily_sales_fact(base: DataFrame, clima: DataFrame, dolar: DataFrame, fact:
         F.sum("cantidad_sabores").alias("sabores_vendidos"),
         count_when(F.col("is_primer_pedido")).alias("pedidos_primer_pedido"),
     )
+    # distinct customers on their own: in one aggregate with the sums, every day
+    # and customer would carry a buffer of each sum through the shuffle
+    who = (d.select(F.col("fecha").alias("_cu_fecha"), "cliente_id").distinct()
+           .groupBy("_cu_fecha").agg(F.count("cliente_id").alias("clientes_unicos")))
     # calendar-sized sides (one row per day)
     cl = F.broadcast(clima.select(F.col("fecha").alias("_cl_fecha"), "temperatura_maxima", "temperatura_minima",
                                   "temperatura_promedio", "categoria_temperatura", "flg_precipitaciones",
@@ -294,7 +297,8 @@ def daily_sales_fact(base: DataFrame, clima: DataFrame, dolar: DataFrame, fact:
     fx = F.broadcast(dolar.select(F.col("fecha").alias("_fx_fecha"), "valor_blue"))
     j = (base.join(cl, F.col("fecha") == F.col("_cl_fecha"), "left")
              .join(fx, F.col("fecha") == F.col("_fx_fecha"), "left")
-             .join(det, F.col("fecha") == F.col("_sd_fecha"), "left"))
+             .join(det, F.col("fecha") == F.col("_sd_fecha"), "left")
+             .join(who, F.col("fecha") == F.col("_cu_fecha"), "left"))
     month = F.month("fecha")
     rate = F.nullif(F.col("valor_blue"), F.lit(0))
     zero = F.lit(0)
