@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from conewise.functions import columns as C
 from conewise.functions import rules as R
+from conewise.operators.dealing import deal
 
 
 def order_dates(pedidos: DataFrame) -> DataFrame:
@@ -33,12 +34,16 @@ def line_flavours(lineas: DataFrame, sabores_linea: DataFrame, productos: DataFr
     """One row per line and flavour with the line's product weight and number of flavours.
 
     The only join of lines with flavours in the warehouse: cost, fact and
-    flavour rankings all read this table.
+    flavour rankings all read this table.  Flavours are dealt by line once, which
+    serves their count and the join; lines take their weight before, as they carry
+    fewer columns than the joined rows.
     """
-    per_line = sabores_linea.groupBy("pedido_producto_id").agg(F.count(F.lit(1)).alias("sabores_en_producto"))
-    return (sabores_linea.select("pedido_producto_id", "sabor_id").join(per_line, "pedido_producto_id")
-            .join(lineas.select("pedido_producto_id", "pedido_id", "producto_id"), "pedido_producto_id")
-            .join(productos.select("producto_id", "peso_kg"), "producto_id", "left")
+    known = sabores_linea.filter(F.col("pedido_producto_id").isNotNull()).select("pedido_producto_id", "sabor_id")
+    counted = deal(known, ["pedido_producto_id"], sabores_linea.count()).withColumn(
+        "sabores_en_producto", F.count(F.lit(1)).over(Window.partitionBy("pedido_producto_id")))
+    weighed = (lineas.select("pedido_producto_id", "pedido_id", "producto_id")
+               .join(productos.select("producto_id", "peso_kg"), "producto_id", "left").drop("producto_id"))
+    return (counted.join(weighed, "pedido_producto_id")
             .select("pedido_id", "pedido_producto_id", "sabor_id", "peso_kg", "sabores_en_producto"))
 
 

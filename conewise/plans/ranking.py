@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import count_when
+from conewise.operators.dealing import deal
 from conewise.operators.rank import global_row_number
 from conewise.operators.windows import share_of_total
 from conewise.plans.facts import fx_period_average
@@ -63,14 +64,20 @@ def product_ranking(lineas, pedidos, productos, categorias, costos, dolar) -> Da
 def flavour_ranking(line_flavours, pedidos, costos, sabores, categorias, dolar,
                     multiplier: int = R.FLAVOUR_PRICE_MULTIPLIER) -> DataFrame:
     delivered = pedidos.filter(F.col("estado_id") == R.STATUS_DELIVERED).select("pedido_id", "created_at")
-    ls = line_flavours.filter(F.col("peso_kg") > 0).join(delivered, "pedido_id")
+    weighed = line_flavours.filter(F.col("peso_kg") > 0).select("pedido_id", "sabor_id", "peso_kg", "sabores_en_producto")
+    ls = deal(weighed, ["pedido_id"], line_flavours.count()).join(delivered, "pedido_id")
     est = C.season(F.month("created_at"))
     kg = F.try_divide(F.col("peso_kg"), F.nullif(F.col("sabores_en_producto"), F.lit(0)))
-    m = ls.groupBy("sabor_id").agg(
-        F.count(F.lit(1)).alias("veces_pedido"), F.countDistinct("pedido_id").alias("pedidos_distintos"),
-        F.round(F.sum(kg), 2).alias("kg_vendidos"),
-        count_when(est == "Verano").alias("n_verano"), count_when(est == "Otoño").alias("n_otono"),
-        count_when(est == "Invierno").alias("n_invierno"), count_when(est == "Primavera").alias("n_primavera"))
+    seasons = {"n_verano": "Verano", "n_otono": "Otoño", "n_invierno": "Invierno", "n_primavera": "Primavera"}
+    # rows of one order and flavour first, as they are dealt by order: an order is
+    # then one row of its flavour, and no sum is dealt by both keys
+    per_order = ls.groupBy("pedido_id", "sabor_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(kg).alias("_kg"),
+        *[count_when(est == label).alias(n) for n, label in seasons.items()])
+    m = per_order.groupBy("sabor_id").agg(
+        F.sum("_n").alias("veces_pedido"), F.count(F.lit(1)).alias("pedidos_distintos"),
+        F.round(F.sum("_kg").cast(per_order.schema["_kg"].dataType), 2).alias("kg_vendidos"),
+        *[F.sum(n).alias(n) for n in seasons])
     cp = costos.filter(F.col("tiene_match")).groupBy("sabor_id").agg(
         F.round(F.avg("costo_por_kg"), 2).alias("_cp"))
     dp = fx_period_average(dolar)
