@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conewise.functions import columns as C
 from conewise.functions import rules as R
 from conewise.operators.aggregates import count_when, sum_when
-from conewise.operators.bitmaps import distinct_from_bitmaps, id_bitmaps
+from conewise.operators.bitmaps import distinct_from_bitmaps, distinct_of_whole, id_bitmaps
 from conewise.operators.hot_keys import hot_keys, join_hot
 from conewise.operators.rank import small_ntile
 from conewise.operators.windows import first_event
@@ -338,4 +338,5 @@ def customers_by_day(fact: DataFrame) -> DataFrame:
 def distinct_customers(by_day: DataFrame, level: str) -> DataFrame:
     """Distinct customers by ``day``, ``week`` or ``month`` of the daily bitmaps."""
     start = {"day": F.col("fecha"), "week": C.week_start("fecha"), "month": C.month_start("fecha")}[level]
-    return distinct_from_bitmaps(by_day, [start.cast("date").alias("periodo")], "clientes_unicos")
+    distinct = distinct_of_whole if level == "day" else distinct_from_bitmaps  # a day's bitmaps are whole as they are
+    return distinct(by_day, [start.cast("date").alias("periodo")], "clientes_unicos")

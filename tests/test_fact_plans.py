@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from conewise.operators.bitmaps import id_bitmaps
 from conewise.operators.dealing import deal
 from conewise.plans import cost, facts, ranking
 from conewise.sources.testdata import RawTables
@@ -11,6 +12,10 @@ def optimised(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_order_fact_aggregates_its_lines_once(shop):
     df = facts.order_fact(shop.stg_pedidos, shop.stg_clientes, shop.stg_clientes_direcciones, shop.stg_zonas,
                           shop.stg_pedidos_productos, shop.line_flavours, shop.stg_productos, shop.int_costos_pedido,
@@ -88,3 +93,20 @@ def test_order_lines_are_grouped_where_they_were_dealt(spark, tmp_path):
     got = RawTables(spark, str(tmp_path))["pedidos_productos"].select("codigo", "id_pedido", "id_producto", "fecha_sys").collect()
     day = 86400
     assert sorted(map(tuple, got), key=str) == sorted([(9, 1, 4, 9132 * day), (10, 1, 5, 9131 * day), (None, None, 6, 9131 * day)], key=str)
+
+
+def test_no_bitmap_is_dealt_before_it_is_whole(spark):
+    df = spark.createDataFrame([(1, 5), (1, 5), (1, 40000), (2, 5), (2, None), (None, 5)], "fecha int, id long")
+    daily = id_bitmaps(df, [F.col("fecha")], "id")
+    plan = planned(daily)
+    whole, partial = plan.index("bitmap_construct_agg("), plan.index("partial_bitmap_construct_agg(")
+    assert whole < partial and "Exchange" not in plan[whole:partial]
+    assert sorted((r[0] or 0, r[1]) for r in daily.select("fecha", "bucket").collect()) == [(0, 1), (1, 1), (1, 2), (2, 1)]
+
+
+def test_daily_customers_move_no_bitmap(spark, shop):
+    df = facts.distinct_customers(shop.clientes_por_dia, "day")
+    assert "bitmap_or_agg" not in optimised(df)
+    want = {r["fecha"]: r["n"] for r in shop.fct_pedidos.filter("estado_id = 3").groupBy("fecha")
+            .agg(F.countDistinct("cliente_id").alias("n")).collect() if r["n"]}
+    assert {r["periodo"]: r["clientes_unicos"] for r in df.collect()} == want
